@@ -55,13 +55,6 @@ def insert_fixed(df: DataFrame, contract: Contract, lineage: tuple[str, ...] = (
     return df.select(*lineage, *[column(c) for c in contract.columns])
 
 
-def slice_columns(df: DataFrame, columns: list[str], skip_cols: int) -> list[str]:
-    """Columns left after ``skip_cols`` leading ones."""
-    if skip_cols >= len(columns):
-        raise ConfigurationError(f"no columns left after skip_cols={skip_cols}")
-    return columns[skip_cols:]
-
-
 def add_lineage(df: DataFrame, source_columns: list[str], timestamp: str | None = None,
                 stamp: Column | None = None, source_name: Column | None = None) -> DataFrame:
     """Load time and source name at the end, each only if the source lacks it.

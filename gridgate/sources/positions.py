@@ -7,77 +7,86 @@ file: one count per split, summed up per file on a frame with one row per split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridgate.config import JVM_CHARSETS
 from gridgate.session import staged
 
-FILE, ORDINAL = "_file", "_ordinal"
+FILE, ORDINAL, HEAD = "_file", "_ordinal", "_head"
 _SPLIT, _TICK = "_split", "_tick"
 
 
 def with_split(df: DataFrame) -> DataFrame:
     """Add file, split start and running id to a frame read straight from files."""
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(_SPLIT),
-    ).withColumn(_TICK, F.monotonically_increasing_id())
+    placed = df.select("*", F.col("_metadata.file_path").alias(FILE),
+                       F.col("_metadata.file_block_start").alias(_SPLIT))
+    return retick(placed)
 
 
-def split_offsets(ticked: DataFrame) -> DataFrame:
-    """One row per split: first running id and rows of the file before it.
+def retick(df: DataFrame) -> DataFrame:
+    """(Re)start the running id, say after rows were filtered out or exploded."""
+    return df.withColumn(_TICK, F.monotonically_increasing_id())
 
-    The window runs over splits of one file, not over rows.
+
+def split_offsets(ticked: DataFrame, head: Column | None = None) -> DataFrame:
+    """One row per split: first running id, rows of the file before the split.
+
+    With ``head`` every split also carries the first row of its file. The
+    windows run over the splits of one file, not over rows.
     """
-    counts = ticked.groupBy(FILE, _SPLIT).agg(F.min(_TICK).alias("_first"), F.count("*").alias("_n"))
-    before = Window.partitionBy(FILE).orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    head = F.lit(None).cast("string") if head is None else head
+    counts = ticked.groupBy(FILE, _SPLIT).agg(
+        F.min(_TICK).alias("_first"), F.count("*").alias("_n"), F.min_by(head, _TICK).alias(HEAD))
+    splits = Window.partitionBy(FILE).orderBy(_SPLIT)
     return counts.select(
-        FILE, _SPLIT, "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        FILE, _SPLIT, "_first",
+        F.coalesce(F.sum("_n").over(splits.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.first(HEAD).over(splits).alias(HEAD))
 
 
-def with_ordinals(ticked: DataFrame, name: str = ORDINAL) -> DataFrame:
+def with_ordinals(ticked: DataFrame, name: str = ORDINAL, head: Column | None = None,
+                  head_row: int = 0) -> DataFrame:
     """0-based position of every row in its file.
 
-    ``ticked`` may be any narrow, deterministic transformation of
-    :func:`with_split` whose last step was the running id, so the same function
-    also numbers the rows that are left after a filter (see :func:`retick`).
+    ``ticked`` is any narrow, deterministic transformation of a file scan whose
+    last step was :func:`retick`. With ``head`` the rows also carry ``_head``:
+    that expression for row ``head_row`` of their file.
 
-    The offsets are staged, which pins them to one reading of the splits and
-    lets Spark see their true size when it picks the join.
+    The offsets are staged. That pins them to one reading of the splits and
+    shows Spark their true size, so it broadcasts them only when they are small.
     """
-    offsets = staged(split_offsets(ticked.select(FILE, _SPLIT, _TICK)), "splits")
-    return (
-        ticked.join(offsets, [FILE, _SPLIT])
-        .withColumn(name, F.col("_before") + F.col(_TICK) - F.col("_first"))
-        .drop(_SPLIT, _TICK, "_first", "_n", "_before")
-    )
+    offsets = staged(split_offsets(ticked, head if head_row == 0 else None), "splits")
+    if head is not None and head_row > 0:
+        found = _placed(ticked, offsets.drop(HEAD), name).filter(F.col(name) == head_row)
+        offsets = staged(offsets.drop(HEAD).join(found.select(FILE, head.alias(HEAD)), FILE, "left"), "splits")
+    if head is None:
+        offsets = offsets.drop(HEAD)
+    return _placed(ticked, offsets, name)
 
 
-def retick(ticked: DataFrame) -> DataFrame:
-    """Restart the running id after rows were filtered out."""
-    return ticked.withColumn(_TICK, F.monotonically_increasing_id())
+def _placed(ticked: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    return (ticked.join(offsets, [FILE, _SPLIT])
+            .withColumn(name, F.col("_before") + F.col(_TICK) - F.col("_first"))
+            .drop(_SPLIT, _TICK, "_first", "_before"))
 
 
-def numbered_lines(spark: SparkSession, paths, charset: str = "UTF-8", separator: str | None = None) -> DataFrame:
-    """Lines of text files with ``_file`` and ``_ordinal``.
+def read_lines(spark: SparkSession, paths, encoding: str = "utf-8", separator: str | None = None) -> DataFrame:
+    """Lines (or pieces between ``separator``) of text files in one ``value`` column.
 
-    Charsets other than UTF-8 go through the CSV reader with a separator and a
-    quote that cannot occur; UTF-16 files are not splittable, one task each.
+    Charsets other than UTF-8 go through the CSV reader with a separator that
+    cannot occur and without quotes; UTF-16 files cannot be split, one task each.
     """
-    if charset == "UTF-8":
-        reader = spark.read
-        if separator:
-            reader = reader.option("lineSep", separator)
-        lines = reader.text(paths)
-    else:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        reader = (spark.read.schema("value string").option("sep", "\x01").option("quote", "")
-                  .option("encoding", charset).option("mode", "PERMISSIVE")
-                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-        if charset.startswith("UTF-16"):
-            reader = reader.option("multiLine", True)
-        elif separator:
-            reader = reader.option("lineSep", separator)
-        lines = reader.csv(paths)
-    return with_ordinals(with_split(lines))
+    charset = JVM_CHARSETS[encoding.lower()]
+    if charset in ("UTF-8", "US-ASCII"):
+        reader = spark.read.option("lineSep", separator) if separator else spark.read
+        return reader.text(paths)
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    reader = (spark.read.schema("value string").option("sep", "\x01").option("quote", "")
+              .option("encoding", charset).option("maxCharsPerColumn", -1)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if charset.startswith("UTF-16"):
+        reader = reader.option("multiLine", True)
+    elif separator:
+        reader = reader.option("lineSep", separator)
+    return reader.csv(paths)
