@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -219,6 +219,12 @@ def infer_types(cells: DataFrame, dialect: str = "gp", keys: tuple[str, ...] = (
     return cells.groupBy(*keys).agg(*flags).select(*keys, lattice(present, dialect).alias("type_text"))
 
 
+def head_sample(rows: DataFrame, lineage: list[str], ordinal: str, sample: int = SAMPLE_ROWS) -> DataFrame:
+    """First ``sample`` rows of every file; each task keeps no more than that per file before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*lineage).orderBy(ordinal))
+    return rows.withColumn("_place", place).filter(F.col("_place") <= sample).drop("_place")
+
+
 def infer_contract(rows: DataFrame, columns: list[str], dialect: str = "gp", detect: bool = False,
                    ordinal: str | None = None, first_row: int = 0, sample: int | None = None) -> Contract:
     """Contract of one frame: one pass, one row of flags comes back.
