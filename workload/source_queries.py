@@ -1 +1,255 @@
-"""pending"""
+"""Scans, sinks, publishing and whole runs, as round trips of the tables' rows."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from gridgate.config import IntakeConfig
+from gridgate.errors import DataValidationError
+from gridgate.operators.contract import contract_of_table
+from gridgate.plans import publish
+from gridgate.plans.load import run_load
+from gridgate.plans.sinks import in_order, insert_statements, write_by_table, write_csv, write_dump
+from gridgate.session import scratch_path
+from gridgate.sources.delimited import scan_delimited
+from gridgate.sources.insert_dump import dump_rows, dump_tables, read_dump, scan_insert_dump
+from gridgate.sources.positions import FILE, ORDINAL
+from gridgate.sources.routing import route
+from gridgate.sources.workbook import scan_workbooks
+from workload.books import text_files, workbooks_of
+from workload.registry import query
+
+CHUNK = 1000
+_CUSTOMER = ("SELECT cast(c_custkey AS varchar) AS c_custkey, c_name, cast(c_nationkey AS varchar) AS c_nationkey, "
+             "c_mktsegment{} FROM customer{}")
+_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+def _customer_lines(t, lead, first="", separator=","):
+    line = F.concat_ws(separator, *([F.lit(first)] if first else []), *_COLUMNS)
+    return text_files(t.customer, F.expr(f"c_custkey div {CHUNK}"), lead, line, "c_custkey")
+
+
+@query(_CUSTOMER.format(f", c_custkey % {CHUNK} + 1 AS place", ""))
+def scan_delimited_lines(spark, t):
+    scan = scan_delimited(spark, _customer_lines(t, [" " + ", ".join(c.upper() for c in _COLUMNS)]))
+    return scan.rows.select(*_COLUMNS, F.col(ORDINAL).alias("place"))
+
+
+@query(_CUSTOMER.format("", ""))
+def scan_tabs(spark, t):
+    return scan_delimited(spark, _customer_lines(t, ["\t".join(_COLUMNS)], separator="\t"), "\t").rows.select(*_COLUMNS)
+
+
+@query(_CUSTOMER.format(f", c_custkey % {CHUNK} + 3 AS place", f" WHERE c_custkey % {CHUNK} < 900"))
+def scan_offsets(spark, t):
+    """Two lines above the header and a column at the left are skipped, 900 rows per file are kept."""
+    folder = _customer_lines(t, ["made by hand", "", ",".join(["junk", *_COLUMNS])], "x")
+    scan = scan_delimited(spark, folder, skip_rows=2, skip_cols=1, max_row=900)
+    return scan.rows.select(*_COLUMNS, F.col(ORDINAL).alias("place"))
+
+
+@query("SELECT cast(doc_id AS varchar) AS doc_id, text, lang, source FROM documents")
+def scan_quoted_newlines(spark, t):
+    """Whole texts with quotes and line ends, written by the CSV sink and read back."""
+    path = scratch_path(spark, "documents")
+    write_csv(in_order(t.documents.select("doc_id", "text", "lang", "source"), ["doc_id"]), path)
+    return scan_delimited(spark, path, quoted_newlines=True).rows.drop(FILE, ORDINAL)
+
+
+@query("SELECT cast(c_custkey AS varchar) AS c_custkey, c_name, cast(cast(c_acctbal AS decimal(18,2)) AS varchar) AS c_acctbal, "
+       "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS note, ' a,\"b\" ' AS odd FROM customer")
+def export_csv(spark, t):
+    path = scratch_path(spark, "export")
+    rows = t.customer.select(
+        "c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("note"), F.lit(' a,"b" ').alias("odd"))
+    write_csv(in_order(rows, ["c_custkey"]), path)
+    return scan_delimited(spark, path).rows.drop(FILE, ORDINAL)
+
+
+_ENCODED = ("cp1251", "utf-16", "koi8-r", "utf-8")
+
+
+@query("SELECT unnest(['cp1251', 'utf-16', 'koi8-r', 'utf-8']) AS encoding, cast(c_custkey AS varchar) AS c_custkey, "
+       "'Клиент ' || c_custkey AS title FROM customer")
+def scan_encodings(spark, t):
+    rows = t.customer.select("c_custkey", F.concat(F.lit("Клиент "), "c_custkey").alias("title"))
+    frames = []
+    for encoding in _ENCODED:
+        path = scratch_path(spark, "encoded")
+        write_csv(in_order(rows, ["c_custkey"]), path, encoding=encoding)
+        scan = scan_delimited(spark, path, encoding=encoding)
+        frames.append(scan.rows.select(F.lit(encoding).alias("encoding"), "c_custkey", "title"))
+    united = frames[0]
+    for frame in frames[1:]:
+        united = united.unionByName(frame)
+    return united
+
+
+@query("""SELECT o_orderkey // 500 AS batch, 'INSERT INTO s.orders (o_orderkey, o_orderstatus, price, note)' || chr(10) || chr(9) || 'VALUES '
+  || string_agg('(' || o_orderkey || ', ' || chr(39) || o_orderstatus || chr(39) || ', ' || cast(o_totalprice AS decimal(18,2)) || ', '
+  || CASE WHEN o_orderkey % 4 = 0 THEN 'NULL' ELSE chr(39) || 'it' || chr(39) || chr(39) || 's ' || o_orderpriority || chr(39) END || ')',
+  ',' || chr(10) || chr(9) || chr(9) ORDER BY o_orderkey) || ';' AS statement FROM orders GROUP BY 1""")
+def render_insert_dump(spark, t):
+    return _order_statements(t)
+
+
+def _dump_columns(t):
+    return t.orders.select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("it's "), "o_orderpriority")).alias("note"))
+
+
+def _order_statements(t):
+    rows = _dump_columns(t)
+    return insert_statements(rows, rows.columns, "s.orders", "gp", F.col("o_orderkey"), 500)
+
+
+@query("""SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus, cast(cast(o_totalprice AS decimal(18,2)) AS varchar) AS price,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'it' || chr(39) || 's ' || o_orderpriority END AS note FROM orders""")
+def scan_insert_dump_rows(spark, t):
+    path = scratch_path(spark, "dump")
+    write_dump(_order_statements(t), path, ["batch"])
+    return scan_insert_dump(spark, path, "s.orders").rows.drop(FILE, ORDINAL)
+
+
+@query("SELECT cast(doc_id AS varchar) AS doc_id, nullif(text, '') AS text, source FROM documents")
+def scan_dump_texts(spark, t):
+    """Whole texts as escaped literals; no line end is left inside a literal."""
+    path = scratch_path(spark, "dump")
+    rows = t.documents.select("doc_id", "text", "source")
+    write_dump(insert_statements(rows, rows.columns, "s.documents", "ch", F.col("doc_id"), 100), path, ["batch"])
+    return scan_insert_dump(spark, path, dialect="ch").rows.drop(FILE, ORDINAL)
+
+
+@query("SELECT 'customer' AS table_name, count(*) AS \"rows\", sum(length(c_name))::bigint AS chars FROM customer "
+       "UNION ALL SELECT 'supplier', count(*), sum(length(s_name))::bigint FROM supplier")
+def split_dump_by_table(spark, t):
+    path, out = scratch_path(spark, "dump"), scratch_path(spark, "tables")
+    customers = t.customer.select("c_custkey", "c_name")
+    suppliers = t.supplier.select("s_suppkey", "s_name")
+    both = (insert_statements(customers, customers.columns, "a.customer", "gp", F.col("c_custkey"), 300)
+            .unionByName(insert_statements(suppliers, suppliers.columns, "b.supplier", "gp", F.col("s_suppkey"), 300)))
+    write_dump(both, path, ["batch"])
+    write_by_table(dump_rows(read_dump(spark, path)), out)
+    rows = spark.read.parquet(out)
+    return rows.groupBy(F.col("_table").alias("table_name")).agg(
+        F.count("*").alias("rows"), F.sum(F.length(F.element_at("cells", 2))).alias("chars"))
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS \"rows\", 'o_orderkey,o_orderstatus,price,note' AS columns FROM orders")
+def dump_table_list(spark, t):
+    path = scratch_path(spark, "dump")
+    write_dump(_order_statements(t), path, ["batch"])
+    return dump_tables(dump_rows(read_dump(spark, path))).groupBy(F.col("_table").alias("table_name")).agg(
+        F.sum("rows").alias("rows"), F.min(F.array_join("columns", ",")).alias("columns"))
+
+
+@query(_CUSTOMER.format(f", cast(c_custkey // {CHUNK} AS varchar) AS book, c_custkey % {CHUNK} + 2 AS place", ""))
+def scan_workbook_rows(spark, t):
+    rows = t.customer.select(F.expr(f"c_custkey div {CHUNK}").alias("chunk"), *_COLUMNS)
+    scan = scan_workbooks(spark, workbooks_of(rows, "chunk", _COLUMNS, "c_custkey"), "sales", skip_rows=1, columns=_COLUMNS)
+    return scan.rows.select(*_COLUMNS, F.regexp_extract(FILE, r"(\d+)", 1).alias("book"), F.col(ORDINAL).alias("place"))
+
+
+_SUFFIX = "['csv', 'XLSX', 'sql', 'pdf', 'tsv', 'txt', 'xlsm']"
+
+
+@query(f"""SELECT path, CASE i WHEN 0 THEN 'delimited' WHEN 1 THEN 'workbook' WHEN 2 THEN 'dump' WHEN 4 THEN 'delimited' WHEN 5 THEN 'dump'
+  WHEN 6 THEN 'workbook' END AS format, CASE WHEN i = 3 THEN 'unsupported suffix' END AS reason
+FROM (SELECT page_id % 7 AS i, url || '/in.' || {_SUFFIX}[page_id % 7 + 1] AS path FROM pages)""")
+def route_files(spark, t):
+    return route(t.pages.selectExpr(f"concat(url, '/in.', array{_SUFFIX.replace('[', '(').replace(']', ')')}[page_id % 7]) as path"))
+
+
+# ------------------------------------------------------------------ publishing
+
+def _database(spark) -> str:
+    name = f"gridgate_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'db')}'")
+    return name
+
+
+@query("SELECT unnest([1, 2]) AS load_no, o_orderkey, o_orderstatus FROM orders")
+def publish_append(spark, t):
+    table = f"{_database(spark)}.orders"
+    for number in (1, 2):
+        publish.append(t.orders.select(F.lit(number).alias("load_no"), "o_orderkey", "o_orderstatus"), table)
+    return spark.table(table)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def publish_replace(spark, t):
+    table = f"{_database(spark)}.orders"
+    publish.append(t.orders.select("o_orderkey", F.lit("old").alias("o_orderstatus")), table)
+    publish.replace(t.orders.select("o_orderkey", "o_orderstatus"), table)
+    return spark.table(table)
+
+
+@query("SELECT 'new' AS kept_in, o_orderkey, o_orderstatus FROM orders UNION ALL SELECT 'backup', o_orderkey, 'old' FROM orders")
+def publish_with_backup(spark, t):
+    table = f"{_database(spark)}.orders"
+    publish.append(t.orders.select("o_orderkey", F.lit("old").alias("o_orderstatus")), table)
+    backup = publish.via_backup(t.orders.select("o_orderkey", "o_orderstatus"), table)
+    return spark.table(table).select(F.lit("new").alias("kept_in"), "*").union(
+        spark.table(backup).select(F.lit("backup").alias("kept_in"), "*"))
+
+
+@query("SELECT 'o_orderkey' AS col_name, 'bigint' AS type_text, 0::bigint AS free FROM orders UNION "
+       "SELECT 'price', 'decimal(18,2)', count(*) FILTER (WHERE o_totalprice IS NULL) FROM orders")
+def contract_from_catalog(spark, t):
+    table = f"{_database(spark)}.orders"
+    publish.append(_dump_columns(t).select("o_orderkey", "price"), table)
+    rows = contract_of_table(spark, table, "gp").frame(spark, table)
+    free = spark.table(table).agg(F.count_if(F.col("price").isNull()).alias("price"),
+                                  F.count_if(F.col("o_orderkey").isNull()).alias("o_orderkey")).unpivot(
+        [], ["price", "o_orderkey"], "col_name", "free")
+    return rows.join(free, "col_name").select("col_name", "type_text", "free")
+
+
+# ----------------------------------------------------------------------- runs
+
+_RUN_TYPES = {"c_custkey": "integer", "c_name": "varchar(18)", "c_nationkey": "smallint", "c_mktsegment": "varchar(9)"}
+
+
+@query(_CUSTOMER.format("", "").replace(
+    ", c_mktsegment FROM", ", CASE WHEN length(c_mktsegment) <= 9 THEN c_mktsegment END AS c_mktsegment FROM"))
+def load_run(spark, t):
+    """Text files to a checked CSV export in coerce mode, read back."""
+    outcome = run_load(spark, IntakeConfig(
+        _inbox(spark, t), "gp", "csv", "coerce", dtypes=_RUN_TYPES, output_dir=scratch_path(spark, "out"), timestamp="load_dttm",
+        source_name_column=True))
+    return scan_delimited(spark, outcome.output).rows.select(*_COLUMNS)
+
+
+def _inbox(spark, t):
+    path = scratch_path(spark, "inbox")
+    write_csv(in_order(t.customer.select(*_COLUMNS), ["c_custkey"]), path)
+    return path
+
+
+@query("""SELECT unnest(['ignore', 'coerce', 'raise', 'verify']) AS error_mode, unnest([true, true, false, false]) AS published,
+  (SELECT count(*) FROM customer) AS rows_read,
+  unnest([0, bad, bad, bad]) AS errors FROM (SELECT count(*) FILTER (WHERE length(c_mktsegment) > 9) AS bad FROM customer)""")
+def error_modes(spark, t):
+    """What each mode publishes, how many rows it read and how many errors it saw."""
+    inbox, counts = _inbox(spark, t), None
+    for mode in ("ignore", "coerce", "raise", "verify"):
+        config = IntakeConfig(inbox, "gp", "sql", mode, dtypes=_RUN_TYPES, output_dir=scratch_path(spark, "out"))
+        published = True
+        try:
+            outcome = run_load(spark, config)
+        except DataValidationError as error:
+            outcome, published = error.outcome, False
+        label = [F.lit(mode).alias("error_mode"), F.lit(published).alias("published")]
+        none = F.lit(0).cast("bigint")
+        found = outcome.metrics.select(*label, (F.col("rows_written") + F.col("rows_skipped")).alias("rows_read"),
+                                       none.alias("errors"))
+        if outcome.verdicts is not None:
+            found = found.union(outcome.verdicts.select(*label, none, "errors"))
+        counts = found if counts is None else counts.union(found)
+    return counts.groupBy("error_mode", "published").agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("errors").alias("errors"))
