@@ -57,3 +57,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores when their source has fewer splits than cores.
+
+    Costly rules on a small file would otherwise run in one task. A source with
+    enough splits, that is any large one, comes back unchanged and unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

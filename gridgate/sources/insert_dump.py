@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridgate.errors import SourceError
+from gridgate.session import staged
 from gridgate.sources.delimited import Scan
 from gridgate.sources.positions import FILE, ORDINAL, read_lines, retick, with_ordinals, with_split
 
@@ -106,6 +107,7 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
 
     ``table`` may carry a schema, which is then compared too. Without it the
     first table of the first file is taken. Short tuples are padded with NULL.
+    The statements are taken apart once; counting and reading use staged tuples.
     """
     rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect)
     if table is None:
@@ -119,7 +121,7 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
         known = [r[0] for r in rows.select("_full_table").distinct().limit(20).collect()]
         raise SourceError(f"table {table!r} not found in the dump; it has {sorted(known)}")
     columns = list(lead._names)
-    placed = with_ordinals(retick(mine.select(FILE, "_split", "_names", "items")))
+    placed = with_ordinals(staged(retick(mine.select(FILE, "_split", "_names", "items")), "tuples"))
     at = lambda i: F.get("items", F.array_position("_names", columns[i]).cast("int") - 1)["text"]
     cells = [at(i).alias(c) for i, c in enumerate(columns)]
     rejected = (spark.createDataFrame([], f"{FILE} string, reason string") if whole_files

@@ -11,6 +11,7 @@ from gridgate.operators import contract as contracts
 from gridgate.operators import headers, template
 from gridgate.operators.validate import FAULTS, apply_contract
 from gridgate.sources.workbook import sheet
+from gridgate.session import spread
 from workload.registry import query
 
 _TABLE_TYPES = (("o_orderkey", "bigint", "o_orderkey IS NOT NULL"), ("o_custkey", "bigint", "o_custkey IS NOT NULL"),
@@ -25,7 +26,7 @@ _TABLE_TYPES = (("o_orderkey", "bigint", "o_orderkey IS NOT NULL"), ("o_custkey"
     f"0::bigint AS rejected FROM orders" for name, kind, filled in _TABLE_TYPES))
 def contract_from_table(spark, t):
     """Declared types of a table, and how many of its cells, as text, keep to them."""
-    table = t.orders
+    table = spread(t.orders)
     contract = contracts.contract_of_schema(table.schema, "gp")
     columns = [c.name for c in contract.columns]
     checked = apply_contract(table.select(*[F.col(c).cast("string").alias(c) for c in columns]), contract, columns)
@@ -99,7 +100,7 @@ def _line_cells(t):
     texts["l_shiptime"] = "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')"
     texts["l_flag"] = "if(l_linenumber > 3, 'true', 'FALSE')"
     entries = ", ".join(f"named_struct('col_name', '{c}', 'cell', {sql})" for c, sql in texts.items())
-    cells = t.lineitem.select(F.col("l_returnflag").alias("table_name"), F.explode(F.expr(f"array({entries})")).alias("x"))
+    cells = spread(t.lineitem).select(F.col("l_returnflag").alias("table_name"), F.explode(F.expr(f"array({entries})")).alias("x"))
     return cells.select("table_name", "x.col_name", contracts.kind_of_text(F.col("x.cell")).alias("kind"))
 
 
@@ -265,7 +266,7 @@ def _reserved(words):
 SELECT name, count(*) AS uses, name IN ({_reserved(GP_RESERVED)}) AS gp,
   name IN ({_reserved(GP_RESERVED + CH_RESERVED)}) AS ch FROM w WHERE name IN ({_reserved(GP_RESERVED + CH_RESERVED)}) GROUP BY name""")
 def reserved_words(spark, t):
-    words = t.documents.select(F.explode(F.split(F.regexp_replace("text", "[^A-Za-z_]+", " "), " ")).alias("word"))
+    words = spread(t.documents).select(F.explode(F.split(F.regexp_replace("text", "[^A-Za-z_]+", " "), " ")).alias("word"))
     name = F.lower("word").alias("name")
     return (words.select(name).filter(is_reserved(F.col("name"), "ch")).groupBy("name").agg(F.count("*").alias("uses"))
             .select("name", "uses", is_reserved(F.col("name"), "gp").alias("gp"), is_reserved(F.col("name"), "ch").alias("ch")))

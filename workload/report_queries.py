@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridgate.operators import reports
 from gridgate.operators.contract import Contract
 from gridgate.operators.validate import apply_contract, violations
-from gridgate.session import staged
+from gridgate.session import spread, staged
 from workload.registry import query
 from workload.row_queries import ORDER_COLUMNS, checked_orders
 
@@ -22,7 +22,7 @@ def line_violations(t):
     texts = {"l_quantity": "cast(l_quantity as string)",
              "l_extendedprice": "cast(cast(l_extendedprice as decimal(18,2)) as string)",
              "l_shipdate": "date_format(l_shipdate, 'yyyy-MM-dd')"}
-    raw = t.lineitem.select(F.col("l_linestatus").alias("_file"), F.col("l_linenumber").alias("_line"), *[
+    raw = spread(t.lineitem).select(F.col("l_linestatus").alias("_file"), F.col("l_linenumber").alias("_line"), *[
         F.expr(texts.get(c, f"cast({c} as string)")).alias(c) for c in LINE_COLUMNS])
     contract = Contract.of(LINE_TYPES, "gp")
     return violations(apply_contract(raw, contract, LINE_COLUMNS), contract, LINE_COLUMNS, ["_file"], "_line")
@@ -48,7 +48,7 @@ EVENT_COLUMNS = list(EVENT_TYPES)
 
 def event_violations(t, file="'events'", keys=(), user="user_id"):
     """Events as one text sheet in key order; the sheet row is event_id + 2."""
-    raw = t.events.selectExpr(
+    raw = spread(t.events).selectExpr(
         "event_id", f"{file} as _file", f"cast({user} as string) as user_id", "event_type",
         "cast(cast(value as decimal(18,2)) as string) as value")
     contract = Contract.of(EVENT_TYPES, "gp", keys)
@@ -113,7 +113,7 @@ def violations_long(spark, t):
   chr(cast(65 + f.i AS int)) || (o_orderkey + 2) AS cell, f.value AS value
 FROM ({_ORDER_FAULTS}) WHERE f IS NOT NULL""")
 def violations_by_message(spark, t):
-    return reports.by_message(order_violations(t)).select("message_no", "message", "cell", "value")
+    return reports.by_message(staged(order_violations(t), "violations")).select("message_no", "message", "cell", "value")
 
 
 @query("""SELECT source AS file, sum((length(text) > 4000)::int + (length(source) > 4)::int)::bigint AS errors,

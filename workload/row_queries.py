@@ -11,6 +11,7 @@ from gridgate.operators.contract import ColumnSpec, Contract
 from gridgate.operators.project import (
     add_lineage, clean_cells, drop_blank_rows, insert_fixed, is_blank_row, rename_by_position)
 from gridgate.operators.validate import FAULTS, apply_contract
+from gridgate.session import spread
 from workload.registry import query
 
 _PADDED = ("CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN '  ' || p_name || '\t' "
@@ -102,7 +103,7 @@ ORDER_COLUMNS = list(ORDER_TYPES)
 def raw_orders(t):
     """Orders as a text sheet; the date is written day first."""
     texts = ORDER_TEXT | {"o_orderdate": "date_format(o_orderdate, 'dd.MM.yyyy')"}
-    return t.orders.select(F.col("o_orderkey").alias("_key"), F.col("o_orderstatus").alias("_file"), *[
+    return spread(t.orders).select(F.col("o_orderkey").alias("_key"), F.col("o_orderstatus").alias("_file"), *[
         F.expr(texts[c].format(s="string")).alias(c) for c in ORDER_COLUMNS])
 
 
@@ -145,7 +146,7 @@ FROM documents""")
 def render_literals(spark, t):
     text, count, flag = T.StringType(), T.LongType(), T.BooleanType()
     even = F.col("n_chars") % 2 == 0
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", literal(F.col("text"), text, "gp").alias("gp_text"),
         literal(F.col("text"), text, "ch").alias("ch_text"),
         literal(F.col("n_chars"), count, "gp").alias("number_literal"),
