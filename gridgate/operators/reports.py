@@ -44,7 +44,7 @@ def row_ranges(violations: DataFrame, keys: list[str], row: str = "row", shown:
     """
     r = F.col("_r")
     run = F.floor(r / width)
-    copies = F.array_append(F.array(run), F.when(r % width == 0, run - 1).when(r % width == width - 1, run + 1))
+    copies = F.array(run, F.when(r % width == 0, run - 1), F.when(r % width == width - 1, run + 1))
     rows = (violations.select(*keys, F.col(row).cast("long").alias("_r"))
             .select(*keys, "_r", F.explode(copies).alias("_run")).filter("_run is not null"))
     order = Window.partitionBy(*keys, "_run").orderBy("_r")

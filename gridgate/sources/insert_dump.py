@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridgate.config import JVM_CHARSETS
 from gridgate.errors import SourceError
 from gridgate.session import staged
 from gridgate.sources.delimited import Scan
@@ -27,7 +28,8 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
     piece. Backslashes escape in the ``ch`` dialect only.
     """
     if whole_files:
-        source = spark.read.option("wholetext", True).text(paths)
+        files = spark.read.format("binaryFile").load(paths)
+        source = files.select(F.decode("content", JVM_CHARSETS[encoding.lower()]).alias("value"), "_metadata")
     else:
         source = read_lines(spark, paths, encoding, separator)
     quoted = _quoted(dialect)
