@@ -73,8 +73,10 @@ def cleaned_name(name: Column) -> Column:
     """Latin lower-case form of a display name: transliterated, blanks and
     hyphens to ``_``, other characters dropped, runs of ``_`` collapsed."""
     text = F.translate(F.lower(name), "".join(CYRILLIC_SINGLE), "".join(CYRILLIC_SINGLE.values()))
+    spelled = text
     for letter, latin in CYRILLIC_MULTI.items():
-        text = F.replace(text, F.lit(letter), F.lit(latin))
+        spelled = F.replace(spelled, F.lit(letter), F.lit(latin))
+    text = F.when(text.rlike(f"[{''.join(CYRILLIC_MULTI)}]"), spelled).otherwise(text)
     text = F.regexp_replace(text, "[^a-z0-9_]", "")
     return F.regexp_replace(F.btrim(text, F.lit("_")), "_{2,}", "_")
 

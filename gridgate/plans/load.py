@@ -102,21 +102,21 @@ def _open(spark: SparkSession, config: IntakeConfig) -> tuple[Scan, Contract | N
                                 config.encoding_input)
         return scan, None, table_or_dump_name(config.table_name, wanted or config.table_name)
     files = spark.read.format("binaryFile").load(config.source)
-    template = _template(spark, files, config.dialect)
+    sheets = staged(read_sheets(files), "sheets")
+    template = _template(sheets, config.dialect)
     if template is None:
-        return scan_workbooks(spark, files, config.sheet_name, **common), None, config.table_name
+        return scan_workbooks(spark, files, config.sheet_name, decoded=sheets, **common), None, config.table_name
     contract, skip_rows = template
     names = [c.name for c in contract.columns if c.fixed is None]
     displays = [c.display.lower() for c in contract.columns if c.fixed is None]
     scan = scan_workbooks(spark, files, DATA_SHEET, skip_rows, config.skip_cols, config.max_row,
-                          check_header=False, columns=displays)
+                          check_header=False, columns=displays, decoded=sheets)
     rows = scan.rows.toDF(FILE, ORDINAL, *names)
     return Scan(rows, names, scan.rejected, config.skip_cols), contract, config.table_name
 
 
-def _template(spark: SparkSession, files: DataFrame, dialect: str) -> tuple[Contract, int] | None:
+def _template(sheets: DataFrame, dialect: str) -> tuple[Contract, int] | None:
     """Contract and offset of the first template among the workbooks."""
-    sheets = staged(read_sheets(files), "templates")
     lead = templates(sheets).filter("is_template").orderBy(FILE).first()
     if lead is None:
         return None

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridgate.errors import ConfigurationError
 
@@ -92,21 +93,12 @@ def publish(df: DataFrame, table: str, mode: str):
 
 # ----------------------------------------------------------------------- JDBC
 
-# Drivers and system queries of the two databases.
+# Drivers and catalog views of the two databases.
 _DRIVERS = {"gp": "org.postgresql.Driver", "ch": "com.clickhouse.jdbc.ClickHouseDriver"}
-_COLUMN_QUERIES = {
-    "gp": """SELECT column_name AS col_name, ordinal_position AS ordinal,
-  CASE WHEN data_type = 'character varying' AND character_maximum_length IS NOT NULL
-         THEN 'character varying(' || character_maximum_length || ')'
-       WHEN data_type IN ('character', 'char') AND character_maximum_length IS NOT NULL
-         THEN 'character(' || character_maximum_length || ')'
-       WHEN data_type IN ('numeric', 'decimal') AND numeric_precision IS NOT NULL
-         THEN data_type || '(' || numeric_precision || ',' || numeric_scale || ')'
-       ELSE data_type END AS type_text
-FROM information_schema.columns WHERE table_schema = '{scheme}' AND table_name = '{table}'""",
-    "ch": """SELECT name AS col_name, position AS ordinal,
-  replaceRegexpOne(type, '^Nullable\\((.+)\\)$', '\\1') AS type_text
-FROM system.columns WHERE database = '{scheme}' AND table = '{table}'""",
+_CATALOGS = {
+    "gp": "select column_name, ordinal_position, data_type, character_maximum_length, numeric_precision, numeric_scale "
+          "from information_schema.columns where table_schema = '{scheme}' and table_name = '{table}'",
+    "ch": "select name, position, type from system.columns where database = '{scheme}' and table = '{table}'",
 }
 
 
@@ -129,7 +121,28 @@ def write_jdbc(df: DataFrame, options: dict[str, str], replace_rows: bool = Fals
 
 def jdbc_contract(spark: SparkSession, dialect: str, url: str, scheme: str, table: str, **login) -> DataFrame:
     """Contract rows of a database table; no rows when it does not exist."""
-    query = _COLUMN_QUERIES[dialect].format(scheme=scheme.replace("'", "''"), table=table.replace("'", "''"))
+    names = {"scheme": scheme.replace("'", "''"), "table": table.replace("'", "''")}
     options = jdbc_options(dialect, url, table, **login)
     keep = {k: v for k, v in options.items() if k in ("url", "driver", "user", "password")}
-    return spark.read.format("jdbc").options(**keep).option("query", query).load()
+    rows = spark.read.format("jdbc").options(**keep).option("query", _CATALOGS[dialect].format(**names)).load()
+    return catalog_columns(rows, dialect)
+
+
+def catalog_columns(rows: DataFrame, dialect: str) -> DataFrame:
+    """``col_name, ordinal, type_text`` from rows of a database's column catalog.
+
+    Lengths and digits that the catalog leaves open leave the type unbounded.
+    """
+    if dialect == "ch":
+        inner = F.regexp_extract("type", r"^Nullable\((.+)\)$", 1)
+        return rows.select(F.col("name").alias("col_name"), F.col("position").cast("int").alias("ordinal"),
+                           F.when(inner != "", inner).otherwise(F.col("type")).alias("type_text"))
+    kind = F.col("data_type")
+    sized = F.when(kind.isin("character varying", "character", "char"), F.format_string(
+        "(%d)", F.col("character_maximum_length").cast("int")))
+    digits = F.when(kind.isin("numeric", "decimal"), F.format_string(
+        "(%d,%d)", F.col("numeric_precision").cast("int"), F.col("numeric_scale").cast("int")))
+    known = F.coalesce(F.when(F.col("character_maximum_length").isNotNull(), sized),
+                       F.when(F.col("numeric_precision").isNotNull(), digits), F.lit(""))
+    return rows.select(F.col("column_name").alias("col_name"), F.col("ordinal_position").cast("int").alias("ordinal"),
+                       F.concat(kind, known).alias("type_text"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridgate.config import JVM_CHARSETS
 from gridgate.errors import HeaderError, SourceError
 from gridgate.functions.text import WHITESPACE
-from gridgate.sources.positions import FILE, HEAD, ORDINAL, read_lines, with_ordinals, with_split
+from gridgate.sources.positions import FILE, HEAD, ORDINAL, place, read_lines, with_split
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ def scan_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
         source = read_lines(spark, paths, encoding)
         head = F.split("value", _literally(delimiter))
         cell = lambda i: F.col(f"_cells._c{i}")
-    placed = with_ordinals(with_split(source), head=head, head_row=skip_rows)
+    placed, heads = place(with_split(source), head=head, head_row=skip_rows)
     matches = F.coalesce(_normal(F.col(HEAD)) == F.array([F.lit(n) for n in names]), F.lit(False))
     data = placed.filter(matches & (F.col(ORDINAL) > skip_rows))
     if max_row is not None:
@@ -69,8 +69,7 @@ def scan_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
         data = data.withColumn("_cells", F.from_csv("value", _layout(len(names)), {
             "sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}))
     rows = data.select(FILE, ORDINAL, *[cell(i + skip_cols).alias(c) for i, c in enumerate(columns)])
-    rejected = placed.filter(~matches & (F.col(ORDINAL) == skip_rows)).select(
-        FILE, F.lit("header differs from the first file").alias("reason"))
+    rejected = heads.filter(~matches).select(FILE, F.lit("header differs from the first file").alias("reason"))
     return Scan(rows, columns, rejected, skip_cols)
 
 

@@ -23,54 +23,65 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
     """Statements of dump files, one row each.
 
     Files split at ``separator``; a piece may still hold several statements. A
-    quoted text that contains the separator leaves a piece with an open quote,
-    which :func:`broken_pieces` reports; ``whole_files`` reads such files in one
-    piece. Backslashes escape in the ``ch`` dialect only.
+    quoted text that contains the separator leaves pieces with an open quote,
+    marked ``_broken``; ``whole_files`` reads such files in one piece.
+    Backslashes escape in the ``ch`` dialect only.
     """
     if whole_files:
         files = spark.read.format("binaryFile").load(paths)
         source = files.select(F.decode("content", JVM_CHARSETS[encoding.lower()]).alias("value"), "_metadata")
     else:
         source = read_lines(spark, paths, encoding, separator)
-    quoted = _quoted(dialect)
-    clean = F.regexp_replace("value", F.lit(rf"(?s)({quoted})|--[^\n]*+|/\*.*?\*/"), F.lit("$1"))
-    row = rf"\((?:[^()']++|{quoted}|\([^()']*+\))*+\)"
-    statement = rf"(?is)INSERT\s+INTO\s+([^\s(]+)\s*\(([^)]+)\)\s*VALUES\s*+((?:{row}\s*+,?+\s*+)++)"
-    pieces = with_split(source).withColumn("_clean", clean)
-    found = pieces.withColumn("_statement", F.explode(F.regexp_extract_all("_clean", F.lit(statement), F.lit(0))))
-    part = lambda i: F.regexp_extract("_statement", statement, i)
+    quoted, text = _quoted(dialect), F.col("value")
+    commented = F.contains(text, F.lit("--")) | F.contains(text, F.lit("/*"))
+    clean = F.when(commented, F.regexp_replace(
+        text, F.lit(rf"(?s)({quoted})|--[^\n]*+|/\*.*?\*/"), F.lit("$1"))).otherwise(text)
+    head = r"INSERT\s+INTO\s+([^\s(]+)\s*\(([^)]+)\)\s*VALUES\s*+"
+    row = _tuple(dialect)
+    statement = F.regexp_extract_all("_clean", F.lit(rf"(?is){head}(?:{row}\s*+,?+\s*+)++"), F.lit(0))
+    pieces = with_split(source).select(FILE, "_split", "_tick", clean.alias("_clean"))
+    found = pieces.select(FILE, "_split", "_tick", _open_quote(F.col("_clean"), dialect).alias("_broken"),
+                          F.explode_outer(statement).alias("_statement")).filter("_broken or _statement is not null")
+    part = lambda i: F.regexp_extract("_statement", rf"(?is)^{head}", i)
     full = F.lower(F.regexp_replace(part(1), r'[`"\[\]]', ""))
     names = F.transform(F.split(part(2), ","), lambda c: F.btrim(F.lower(c), F.lit(' `"[]\n\r\t')))
-    bare = F.regexp_replace(full, r"^[^.]*\.", "")
+    body = F.substring("_statement", F.length(part(0)) + 1, F.length("_statement"))
     return found.select(
-        FILE, "_split", "_tick", full.alias("_full_table"), bare.alias("_table"), names.alias("_names"),
-        F.regexp_extract_all(part(3), F.lit(f"({row})"), F.lit(1)).alias("_tuples"))
+        FILE, "_split", "_tick", "_broken", full.alias("_full_table"),
+        F.regexp_replace(full, r"^[^.]*\.", "").alias("_table"), names.alias("_names"),
+        F.regexp_extract_all(body, F.lit(f"({row})"), F.lit(1)).alias("_tuples"))
 
 
-def broken_pieces(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "utf-8",
-                  separator: str = ";\n") -> DataFrame:
-    """Files in which a quoted text crosses the statement separator."""
-    quoted = _quoted(dialect)
-    bare = F.regexp_replace("value", F.lit(rf"(?s){quoted}|--[^\n]*+|/\*.*?\*/"), F.lit(""))
-    lines = read_lines(spark, paths, encoding, separator)
-    return (lines.filter(F.contains(bare, F.lit("'"))).select(F.col("_metadata.file_path").alias(FILE)).distinct()
-            .withColumn("reason", F.lit("quoted text contains the statement separator")))
+def _tuple(dialect: str) -> str:
+    return rf"\((?:[^()']++|{_quoted(dialect)}|\([^()']*+\))*+\)"
+
+
+def _open_quote(text: Column, dialect: str) -> Column:
+    """An odd number of quotes; escaped ones come in pairs or do not count."""
+    if dialect == "ch":
+        text = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit("\\'"), F.lit(""))
+    return (F.length(text) - F.length(F.replace(text, F.lit("'"), F.lit("")))) % 2 == 1
 
 
 def _quoted(dialect: str) -> str:
     return _ESCAPED_QUOTED if dialect == "ch" else _PLAIN_QUOTED
 
 
-def dump_rows(dump: DataFrame, dialect: str = "gp") -> DataFrame:
-    """One row per tuple: ``items`` as ``struct<kind, text>``, NULL for SQL NULL."""
+def dump_rows(dump: DataFrame, dialect: str = "gp", kinds: bool = True) -> DataFrame:
+    """One row per tuple: ``items`` as ``struct<kind, text>``, NULL for SQL NULL.
+
+    Pieces marked ``_broken`` keep a row even without a tuple. ``kinds=False``
+    leaves the kinds out when only the text is of interest.
+    """
     item = rf"\s*+({_quoted(dialect)}|(?:[^,'()]++|\([^()]*+\))*+)\s*+(?:,|$)"
-    rows = dump.select(FILE, "_split", "_tick", "_full_table", "_table", "_names", F.explode("_tuples").alias("_t"))
+    rows = dump.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
+                       F.explode_outer("_tuples").alias("_t")).filter("_broken or _t is not null")
     body = F.substring("_t", F.lit(2), F.length("_t") - 2)
-    items = F.transform(F.regexp_extract_all(body, F.lit(item), F.lit(1)), lambda raw: _typed(raw, dialect))
-    return rows.select(FILE, "_split", "_tick", "_full_table", "_table", "_names", items.alias("items"))
+    items = F.transform(F.regexp_extract_all(body, F.lit(item), F.lit(1)), lambda raw: _typed(raw, dialect, kinds))
+    return rows.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names", items.alias("items"))
 
 
-def _typed(raw: Column, dialect: str) -> Column:
+def _typed(raw: Column, dialect: str, kinds: bool) -> Column:
     """Quoted means text; bare words are NULL, booleans, numbers, or text."""
     word = F.trim(raw)
     quoted = F.startswith(word, F.lit("'"))
@@ -85,19 +96,20 @@ def _typed(raw: Column, dialect: str) -> Column:
             .when(word.rlike(r"^[+-]?\d+$"), "int")
             .when(word.rlike(r"^[+-]?(\d+\.\d*|\.\d+|\d+(\.\d*)?[eE][+-]?\d+)$"), "float").otherwise("str"))
     absent = (~quoted & (F.upper(word) == "NULL")) | (value == "")
-    return F.when(~absent, F.struct(kind.alias("kind"), value.alias("text")))
+    fields = [kind.alias("kind"), value.alias("text")] if kinds else [value.alias("text")]
+    return F.when(~absent, F.struct(*fields))
 
 
 def dump_tables(rows: DataFrame) -> DataFrame:
     """Tables of each file: row count, columns, and place of the first row."""
-    return rows.groupBy(FILE, "_table").agg(
+    return rows.filter("items is not null").groupBy(FILE, "_table").agg(
         F.count("*").alias("rows"), F.min_by("_names", F.struct("_split", "_tick")).alias("columns"),
         F.min(F.struct("_split", "_tick")).alias("first_at"))
 
 
 def first_table(rows: DataFrame) -> str:
     """Name of the table that comes first in the first file."""
-    found = rows.groupBy().agg(F.min_by("_table", F.struct(FILE, "_split", "_tick")).alias("t")).first()
+    found = rows.filter("items is not null").groupBy().agg(F.min_by("_table", F.struct(FILE, "_split", "_tick")).alias("t")).first()
     if found is None or found.t is None:
         raise SourceError("no INSERT statements found")
     return found.t
@@ -110,22 +122,26 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
     ``table`` may carry a schema, which is then compared too. Without it the
     first table of the first file is taken. Short tuples are padded with NULL.
     The statements are taken apart once; counting and reading use staged tuples.
+    Files with a text that crosses the separator are listed in ``rejected``.
     """
-    rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect)
+    rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect, kinds=False)
     if table is None:
         wanted = F.col("_table") == first_table(rows)
     else:
         key = table.lower()
         wanted = F.col("_full_table" if "." in key else "_table") == key
-    mine = rows.filter(wanted)
+    wanted = wanted & F.col("items").isNotNull()
+    taken = staged(retick(rows.filter(wanted | F.col("_broken")).select(
+        FILE, "_split", "_broken", "_names", F.when(wanted, F.col("items")).alias("items"))), "tuples")
+    mine = taken.filter("items is not null")
     lead = mine.select("_names").first()
+    broken = taken.filter("_broken").select(FILE).distinct().withColumn(
+        "reason", F.lit("quoted text contains the statement separator"))
     if lead is None:
         known = [r[0] for r in rows.select("_full_table").distinct().limit(20).collect()]
-        raise SourceError(f"table {table!r} not found in the dump; it has {sorted(known)}")
+        raise SourceError(f"table {table!r} not found in the dump; it has {sorted(k for k in known if k)}")
     columns = list(lead._names)
-    placed = with_ordinals(staged(retick(mine.select(FILE, "_split", "_names", "items")), "tuples"))
+    placed = with_ordinals(mine)
     at = lambda i: F.get("items", F.array_position("_names", columns[i]).cast("int") - 1)["text"]
     cells = [at(i).alias(c) for i, c in enumerate(columns)]
-    rejected = (spark.createDataFrame([], f"{FILE} string, reason string") if whole_files
-                else broken_pieces(spark, paths, dialect, encoding, separator))
-    return Scan(placed.select(FILE, ORDINAL, *cells), columns, rejected, 0, 2)
+    return Scan(placed.select(FILE, ORDINAL, *cells), columns, broken, 0, 2)

@@ -45,9 +45,14 @@ def split_offsets(ticked: DataFrame, head: Column | None = None) -> DataFrame:
         F.first(HEAD).over(splits).alias(HEAD))
 
 
-def with_ordinals(ticked: DataFrame, name: str = ORDINAL, head: Column | None = None,
-                  head_row: int = 0) -> DataFrame:
-    """0-based position of every row in its file.
+def with_ordinals(ticked: DataFrame, name: str = ORDINAL) -> DataFrame:
+    """0-based position of every row in its file, see :func:`place`."""
+    return place(ticked, name)[0]
+
+
+def place(ticked: DataFrame, name: str = ORDINAL, head: Column | None = None,
+          head_row: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Rows with their 0-based position in the file, and ``_file, _head`` per file.
 
     ``ticked`` is any narrow, deterministic transformation of a file scan whose
     last step was :func:`retick`. With ``head`` the rows also carry ``_head``:
@@ -60,9 +65,8 @@ def with_ordinals(ticked: DataFrame, name: str = ORDINAL, head: Column | None =
     if head is not None and head_row > 0:
         found = _placed(ticked, offsets.drop(HEAD), name).filter(F.col(name) == head_row)
         offsets = staged(offsets.drop(HEAD).join(found.select(FILE, head.alias(HEAD)), FILE, "left"), "splits")
-    if head is None:
-        offsets = offsets.drop(HEAD)
-    return _placed(ticked, offsets, name)
+    heads = offsets.filter(F.col(_SPLIT) == 0).select(FILE, HEAD)
+    return _placed(ticked, offsets if head is not None else offsets.drop(HEAD), name), heads
 
 
 def _placed(ticked: DataFrame, offsets: DataFrame, name: str) -> DataFrame:

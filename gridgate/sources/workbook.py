@@ -196,15 +196,16 @@ def cell_text(index: int) -> Column:
 
 def scan_workbooks(spark: SparkSession, files: DataFrame, sheet_name: str | None = None, skip_rows: int = 0,
                    skip_cols: int = 0, max_row: int | None = None, check_header: bool = True,
-                   columns: list[str] | None = None) -> Scan:
+                   columns: list[str] | None = None, decoded: DataFrame | None = None) -> Scan:
     """Text cells of one sheet of every workbook; ``files`` has ``path`` and ``content``.
 
     Rows keep their true place in the sheet. ``columns`` saves looking the
     header up; without it the header of the first file is used. Files with
     another header are listed in ``rejected``. Decoding runs once: its rows are
-    staged and every later step reads only the columns it needs.
+    staged and every later step reads only the columns it needs. ``decoded`` may
+    bring staged rows along.
     """
-    decoded = staged(read_sheets(files), "sheets")
+    decoded = staged(read_sheets(files), "sheets") if decoded is None else decoded
     mine = sheet(decoded, sheet_name)
     heads = mine.filter(F.col("row_idx") == skip_rows + 1).select(FILE, _names(skip_cols).alias("names"))
     if columns is None:

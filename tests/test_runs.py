@@ -71,6 +71,17 @@ def test_jdbc_options():
     assert options["batchsize"] == "500" and options["numPartitions"] == "4" and options["isolationLevel"] == "NONE"
 
 
+def test_catalog_columns(spark):
+    rows = [("id", 1, "integer", None, 32, 0), ("name", 2, "character varying", 50, None, None), ("free", 3, "character varying", None, None, None),
+            ("amount", 4, "numeric", None, 12, 2), ("any", 5, "numeric", None, None, None), ("code", 6, "character", 3, None, None)]
+    df = spark.createDataFrame(rows, "column_name string, ordinal_position int, data_type string, character_maximum_length int, "
+                                     "numeric_precision int, numeric_scale int")
+    assert [r.type_text for r in publish.catalog_columns(df, "gp").orderBy("ordinal").collect()] == [
+        "integer", "character varying(50)", "character varying", "numeric(12,2)", "numeric", "character(3)"]
+    df = spark.createDataFrame([("a", 1, "Nullable(Decimal(18, 2))"), ("b", 2, "UInt8")], "name string, position int, type string")
+    assert [r.type_text for r in publish.catalog_columns(df, "ch").collect()] == ["Decimal(18, 2)", "UInt8"]
+
+
 def config(tmp_path, source, **options):
     return IntakeConfig(source, **{"dtypes": TYPES, "output_dir": str(tmp_path / "out"), **options})
 

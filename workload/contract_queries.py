@@ -41,7 +41,7 @@ _WORDS = "string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' ')"
 
 def _turn_words(t, text="text"):
     """One header row per conversation turn: the words of the whole turn."""
-    return t.conversations.select(
+    return spread(t.conversations).select(
         "conv_id", "turn", F.split(F.regexp_replace(text, r"\s+", " "), " ").alias("cells"))
 
 
