@@ -20,7 +20,7 @@ from gridgate.functions.temporal import parse_datetime, parse_time
 from gridgate.functions.text import sql_stripped, sql_text
 
 # Shapes of literals.
-LONG_TEXT = r"^\s*[+-]?\d{1,19}\s*$"
+LONG_TEXT = r"^\s*[+-]?0*\d{1,19}\s*$"
 INTEGER_TEXT = r"^[+-]?\d+$"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 NOT_FINITE_TEXT = r"(?i)^[+-]?(inf|infinity|s?nan\d*)$"

@@ -45,10 +45,17 @@ def rename_by_position(df: DataFrame, columns: list[str], names: list[str]) -> D
     return df.withColumnsRenamed(dict(zip(columns, names)))
 
 
-def insert_fixed(df: DataFrame, contract: Contract, lineage: tuple[str, ...] = ()) -> DataFrame:
-    """Columns in contract order; fixed columns become constants at their place."""
+def insert_fixed(df: DataFrame, contract: Contract, lineage: tuple[str, ...] = (),
+                 per_file: DataFrame | None = None, key: str = "_file") -> DataFrame:
+    """Columns in contract order; fixed columns become constants at their place.
+
+    ``per_file`` holds the fixed values of each file in columns of their own.
+    """
+    if per_file is not None:
+        df = df.join(per_file, key)
+
     def column(spec):
-        if spec.fixed is not None:
+        if spec.fixed is not None and per_file is None:
             return F.lit(spec.fixed).alias(spec.name)
         return F.col(f"`{spec.name}`") if spec.name in df.columns else F.lit(None).cast("string").alias(spec.name)
 

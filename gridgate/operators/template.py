@@ -101,6 +101,22 @@ def expected_headers(contract: DataFrame) -> DataFrame:
         FILE, place.alias("pos"), F.col("display").alias("name"))
 
 
+def fixed_by_file(contract: DataFrame, names: list[str]) -> DataFrame:
+    """One row per file with its fixed values in columns."""
+    return contract.groupBy(FILE).agg(*[
+        F.max(F.when(F.col("col_name") == n, F.col("fixed_value"))).alias(n) for n in names])
+
+
+def unlike(contract: DataFrame, starts: DataFrame, lead: str) -> DataFrame:
+    """Files whose definitions, fixed values aside, differ from those of ``lead``."""
+    shape = F.struct("ordinal", "display", "is_key", "col_name", "type_text", F.col("fixed_value").isNull().alias("from_rows"), "problem")
+    shapes = contract.groupBy(FILE).agg(F.sort_array(F.collect_list(shape)).alias("_shape"))
+    both = starts.join(shapes, FILE, "left")
+    first = both.filter(F.col(FILE) == lead).select(F.struct("skip_rows", "_shape").alias("_lead"))
+    return both.join(first, ~F.struct("skip_rows", "_shape").eqNullSafe(F.col("_lead"))).select(
+        FILE, F.lit("template differs from the first file").alias("reason"))
+
+
 def collect_template(contract: DataFrame, dialect: str = "gp") -> Contract:
     """Contract of one template file."""
     rows = contract.orderBy("ordinal").collect()

@@ -14,7 +14,8 @@ from gridgate.operators.contract import (
     Contract, contract_from_ddl, contract_of_table, infer_contract)
 from gridgate.operators.project import add_lineage, clean_cells, insert_fixed, is_blank_row
 from gridgate.operators.template import (
-    DATA_SHEET, collect_template, data_headers, expected_headers, start_rows, template_contract, templates)
+    DATA_SHEET, collect_template, data_headers, expected_headers, fixed_by_file, start_rows, template_contract,
+    templates, unlike)
 from gridgate.operators.headers import alignment
 from gridgate.operators.numbering import rank_within
 from gridgate.operators.validate import FAULTS, apply_contract, violations
@@ -30,6 +31,16 @@ from gridgate.sources.workbook import read_sheets, scan_workbooks
 BLANK = "_blank"
 
 
+@dataclass(frozen=True)
+class Template:
+    """Definitions shared by the template workbooks of a run, and what differs by file."""
+
+    contract: Contract
+    skip_rows: int
+    fixed: DataFrame | None
+    rejected: DataFrame
+
+
 @dataclass(frozen=True)
 class Outcome:
     """Frames of a finished run; all of them are lazy and read staged rows."""
@@ -48,7 +59,8 @@ def run_load(spark: SparkSession, config: IntakeConfig) -> Outcome:
 
     Checked modes write the checked rows to the scratch folder once. Findings,
     metrics, the gate and the sink all read that copy, each only the columns it
-    needs; nothing is published before the gate, and ``verify`` never publishes.
+    needs; nothing is published before the gate. ``verify`` never publishes and
+    keeps the findings alone.
     """
     prepare(spark)
     scan, template, table = _open(spark, config)
@@ -65,7 +77,10 @@ def run_load(spark: SparkSession, config: IntakeConfig) -> Outcome:
     rows = clean_cells(rows, scan.columns, config.strip, config.blank_to_null)
     if not checking:
         return _finish(spark, config, scan, rows, contract, template, table)
-    checked = staged(apply_contract(rows, contract, scan.columns, config.rule_options), "checked")
+    checked = apply_contract(rows, contract, scan.columns, config.rule_options)
+    if config.error_mode == "verify":
+        checked = checked.select(FILE, ORDINAL, BLANK, FAULTS)
+    checked = staged(checked, "checked")
     live = checked.filter(~F.col(BLANK))
     found = staged(violations(live, contract, scan.columns, [FILE], scan.row, scan.skip_cols), "violations")
     files = checked.select(FILE).distinct()
@@ -86,7 +101,7 @@ def _metrics(rows: DataFrame) -> DataFrame:
     return reports.load_metrics(rows, [FILE], F.col(BLANK))
 
 
-def _open(spark: SparkSession, config: IntakeConfig) -> tuple[Scan, Contract | None, str]:
+def _open(spark: SparkSession, config: IntakeConfig) -> tuple[Scan, Template | None, str]:
     kind = source_format(spark, config.source)
     common = dict(skip_rows=config.skip_rows, skip_cols=config.skip_cols, max_row=config.max_row)
     if kind == "delimited":
@@ -106,34 +121,35 @@ def _open(spark: SparkSession, config: IntakeConfig) -> tuple[Scan, Contract | N
     template = _template(sheets, config.dialect)
     if template is None:
         return scan_workbooks(spark, files, config.sheet_name, decoded=sheets, **common), None, config.table_name
-    contract, skip_rows = template
+    contract = template.contract
     names = [c.name for c in contract.columns if c.fixed is None]
     displays = [c.display.lower() for c in contract.columns if c.fixed is None]
-    scan = scan_workbooks(spark, files, DATA_SHEET, skip_rows, config.skip_cols, config.max_row,
+    scan = scan_workbooks(spark, files, DATA_SHEET, template.skip_rows, config.skip_cols, config.max_row,
                           check_header=False, columns=displays, decoded=sheets)
     rows = scan.rows.toDF(FILE, ORDINAL, *names)
-    return Scan(rows, names, scan.rejected, config.skip_cols), contract, config.table_name
+    return Scan(rows, names, scan.rejected.union(template.rejected), config.skip_cols), template, config.table_name
 
 
-def _template(sheets: DataFrame, dialect: str) -> tuple[Contract, int] | None:
-    """Contract and offset of the first template among the workbooks."""
+def _template(sheets: DataFrame, dialect: str) -> Template | None:
+    """What the template workbooks among the sheets agree on; None without any."""
     lead = templates(sheets).filter("is_template").orderBy(FILE).first()
     if lead is None:
         return None
-    mine = sheets.filter(F.col(FILE) == lead[FILE])
-    start = start_rows(mine).first()
+    starts, rows = start_rows(sheets), staged(template_contract(sheets), "template")
+    start, mine = starts.filter(F.col(FILE) == lead[FILE]).first(), rows.filter(F.col(FILE) == lead[FILE])
     if start is None or start.problem:
         raise SourceError(f"{lead[FILE]}: {start.problem if start else 'no start address'}")
-    rows = template_contract(mine)
-    contract = collect_template(rows, dialect)
-    gaps = alignment(data_headers(mine), expected_headers(rows), [FILE]).orderBy("pos").limit(5).collect()
+    contract = collect_template(mine, dialect)
+    gaps = alignment(data_headers(sheets), expected_headers(rows), [FILE]).orderBy(FILE, "pos").limit(5).collect()
     if gaps:
         raise SourceError("header mismatch between data and configuration sheet: " + "; ".join(
-            f"{g.pos}: {g.found_name!r} vs {g.expected_name!r}" for g in gaps))
-    return contract, start.skip_rows
+            f"{g[FILE]} {g.pos}: {g.found_name!r} vs {g.expected_name!r}" for g in gaps))
+    fixed = [c.name for c in contract.columns if c.fixed is not None]
+    return Template(contract, start.skip_rows, fixed_by_file(rows, fixed) if fixed else None,
+                    unlike(rows, starts, lead[FILE]))
 
 
-def _contract(spark: SparkSession, config: IntakeConfig, scan: Scan, template: Contract | None,
+def _contract(spark: SparkSession, config: IntakeConfig, scan: Scan, template: Template | None,
               table: str) -> Contract | None:
     """Contract by policy: given types, table or template with inference behind them, DDL."""
     inferred = lambda: infer_contract(
@@ -143,23 +159,23 @@ def _contract(spark: SparkSession, config: IntakeConfig, scan: Scan, template: C
     elif config.policy == "bd":
         contract = contract_of_table(spark, f"{config.scheme_name}.{table}", config.dialect) or inferred()
     elif config.policy == "ods_template":
-        contract = template or inferred()
+        contract = template.contract if template else inferred()
     elif config.policy == "user_string":
         contract = contract_from_ddl(spark, config.ddl, config.dialect)
     else:
-        contract = template
+        contract = template.contract if template else None
     if contract is None:
         return None
-    return contract.with_keys({c.name for c in template.columns if c.is_key} if template else config.key_columns)
+    return contract.with_keys({c.name for c in template.contract.columns if c.is_key} if template else config.key_columns)
 
 
 def _finish(spark: SparkSession, config: IntakeConfig, scan: Scan, rows: DataFrame, contract: Contract | None,
-            template: Contract | None, table: str, outcome: Outcome | None = None) -> Outcome:
+            template: Template | None, table: str, outcome: Outcome | None = None) -> Outcome:
     """Fixed columns, lineage columns, sink."""
     metrics = outcome.metrics if outcome else _metrics(rows)
     live = rows.filter(~F.col(BLANK)).drop(BLANK)
     if template is not None:
-        live = insert_fixed(live, template, (FILE, ORDINAL))
+        live = insert_fixed(live, template.contract, (FILE, ORDINAL), template.fixed)
     columns = [c for c in live.columns if c not in (FILE, ORDINAL)]
     stamp = F.lit(spark.sql("select current_timestamp() t").first().t)
     named = F.element_at(F.split(FILE, "/"), -1) if config.source_name_column else None

@@ -1,3 +1,6 @@
+import random
+from decimal import Decimal, InvalidOperation
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,45 @@ def test_unknown_and_registered_types(spark):
         assert judge(spark, "jsonb", "gp", ["{}", "x"])[1][1].message == "not a JSON object"
     finally:
         rules._custom.clear()
+
+
+def expected_decimal(text, precision, scale):
+    """Digit counts the plain way, from Python's own decimals."""
+    try:
+        number = Decimal(text)
+    except InvalidOperation:
+        return None
+    _, digits, exponent = number.as_tuple()
+    if not isinstance(exponent, int) or max(0, -exponent) > scale or max(0, len(digits) + exponent) > precision - scale:
+        return None
+    return number
+
+
+def random_literal(dice):
+    whole = "".join(dice.choice("0123456789") for _ in range(dice.randrange(0, 6)))
+    fraction = dice.choice(["", ".", "." + "".join(dice.choice("0019") for _ in range(dice.randrange(0, 5)))])
+    power = dice.choice(["", "", "", f"e{dice.randrange(-4, 5)}", "E+2"])
+    return dice.choice(["", "-", "+"]) + whole + fraction + power
+
+
+@pytest.mark.parametrize("precision,scale", [(5, 2), (2, 2), (4, 0), (9, 6), (1, 1)])
+def test_decimals_match_python(spark, precision, scale):
+    dice = random.Random(precision * 10 + scale)
+    texts = [random_literal(dice) for _ in range(400)]
+    for text, (value, fault) in zip(texts, judge(spark, f"decimal({precision},{scale})", "gp", texts)):
+        wanted = expected_decimal(text, precision, scale)
+        assert (None if value is None else Decimal(value)) == wanted, (text, value, fault)
+
+
+def test_integers_match_python(spark):
+    dice = random.Random(1)
+    texts = [dice.choice(["", "-", "+", " "]) + "".join(dice.choice("0123456789") for _ in range(dice.randrange(0, 21))) for _ in range(400)]
+    for type_text, bits in (("Int64", 64), ("Int8", 8), ("Int128", 128)):
+        for text, (value, _) in zip(texts, judge(spark, type_text, "ch", texts)):
+            try:
+                wanted = int(text)
+            except ValueError:
+                wanted = None
+            if wanted is not None and not -(2 ** (bits - 1)) <= wanted < 2 ** (bits - 1):
+                wanted = None
+            assert (None if value is None else int(value)) == wanted, (type_text, text)

@@ -146,6 +146,18 @@ def test_template_run(spark, tmp_path):
         run_load(spark, config(tmp_path, wrong, policy="ods_template", dtypes=None))
 
 
+def test_templates_keep_their_own_fixed_values(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "a.xlsx", make_template(SIMPLE, DATA))
+    put(tmp_path / "in", "b.xlsx", make_template(SIMPLE, [["file 8"], *DATA[1:3]]))
+    inbox = config(tmp_path, str(tmp_path / "in"), policy="ods_template", dtypes=None, export="csv", error_mode="raise")
+    back = scan_delimited(spark, run_load(spark, inbox).output).rows
+    assert sorted((r.id, r.origin) for r in back.collect()) == [("1", "file 7"), ("1", "file 8"), ("2", "file 7")]
+    put(tmp_path / "in", "c.xlsx", make_template([["Код", "table", "true", "id", "text"], *SIMPLE[1:]], DATA))
+    with pytest.raises(SourceError, match="template differs"):
+        run_load(spark, inbox)
+
+
 def test_dump_run_takes_the_table_name(spark, tmp_path):
     run = run_load(spark, config(tmp_path, put(tmp_path, "in.sql", "INSERT INTO a.users (id, amount) VALUES (1, 2), (2, 'x');\n"), error_mode="coerce", scheme_name="b"))
     assert "INSERT INTO b.users (id, amount)" in spark.read.text(run.output, wholetext=True).first().value

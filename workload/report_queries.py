@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridgate.operators import reports
 from gridgate.operators.contract import Contract
-from gridgate.operators.validate import apply_contract, violations
+from gridgate.operators.validate import FAULTS, apply_contract, violations
 from gridgate.session import spread, staged
 from workload.registry import query
 from workload.row_queries import ORDER_COLUMNS, checked_orders
@@ -17,7 +17,7 @@ LINE_TYPES = {"l_orderkey": "smallint", "l_partkey": "integer", "l_quantity": "d
 LINE_COLUMNS = list(LINE_TYPES)
 
 
-def line_violations(t):
+def checked_lines(t):
     """Line items as a text sheet per line status, checked against a contract that is too tight."""
     texts = {"l_quantity": "cast(l_quantity as string)",
              "l_extendedprice": "cast(cast(l_extendedprice as decimal(18,2)) as string)",
@@ -25,7 +25,27 @@ def line_violations(t):
     raw = spread(t.lineitem).select(F.col("l_linestatus").alias("_file"), F.col("l_linenumber").alias("_line"), *[
         F.expr(texts.get(c, f"cast({c} as string)")).alias(c) for c in LINE_COLUMNS])
     contract = Contract.of(LINE_TYPES, "gp")
-    return violations(apply_contract(raw, contract, LINE_COLUMNS), contract, LINE_COLUMNS, ["_file"], "_line")
+    return apply_contract(raw, contract, LINE_COLUMNS), contract
+
+
+def line_violations(t):
+    checked, contract = checked_lines(t)
+    return violations(checked, contract, LINE_COLUMNS, ["_file"], "_line")
+
+
+@query("""SELECT CASE WHEN l_orderkey <= 32767 THEN l_orderkey END AS l_orderkey, l_partkey,
+  cast(cast(l_quantity AS decimal(3,1)) AS varchar) AS l_quantity,
+  CASE WHEN l_extendedprice < 10000 THEN cast(cast(l_extendedprice AS decimal(18,2)) AS varchar) END AS l_extendedprice,
+  CASE WHEN l_discount IN (0.0, 0.1) THEN cast(cast(l_discount AS decimal(3,1)) AS varchar) END AS l_discount,
+  l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
+  l_orderkey > 32767 OR l_extendedprice >= 10000 OR l_discount NOT IN (0.0, 0.1) AS broken FROM lineitem""")
+def coerce_lineitem(spark, t):
+    """Every line item, its rejected cells as NULL."""
+    checked, _ = checked_lines(t)
+    return checked.select(
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_partkey").cast("bigint").alias("l_partkey"),
+        *[F.col(c).cast("string").alias(c) for c in LINE_COLUMNS[2:] if c != "l_tax"],
+        F.col(FAULTS).isNotNull().alias("broken"))
 
 
 @query("""WITH v AS (SELECT l_linestatus AS file,
