@@ -23,7 +23,7 @@ from gridgate.plans import publish as tables
 from gridgate.plans.sinks import in_order, insert_statements, write_csv, write_dump, write_reports
 from gridgate.session import prepare, scratch_path, staged
 from gridgate.sources.delimited import Scan, scan_delimited
-from gridgate.sources.insert_dump import dump_rows, first_table, read_dump, scan_insert_dump
+from gridgate.sources.insert_dump import first_table, scan_insert_dump
 from gridgate.sources.positions import FILE, ORDINAL
 from gridgate.sources.routing import source_format, table_or_dump_name
 from gridgate.sources.workbook import read_sheets, scan_workbooks
@@ -111,8 +111,7 @@ def _open(spark: SparkSession, config: IntakeConfig) -> tuple[Scan, Template | N
     if kind == "dump":
         wanted = None
         if config.table_name == PLACEHOLDER_TABLE:
-            wanted = first_table(dump_rows(read_dump(spark, config.source, config.dialect, config.encoding_input),
-                                           config.dialect))
+            wanted = first_table(spark, config.source, config.dialect, config.encoding_input)
         scan = scan_insert_dump(spark, config.source, wanted or config.table_name, config.dialect,
                                 config.encoding_input)
         return scan, None, table_or_dump_name(config.table_name, wanted or config.table_name)

@@ -87,10 +87,11 @@ def _typed(raw: Column, dialect: str, kinds: bool) -> Column:
     quoted = F.startswith(word, F.lit("'"))
     text = F.replace(F.substring(word, F.lit(2), F.length(word) - 2), F.lit("''"), F.lit("'"))
     if dialect == "ch":
-        text = F.replace(text, F.lit("\\\\"), F.lit("\\\x01"))
+        plain = F.replace(text, F.lit("\\\\"), F.lit("\\\x01"))
         for letter, char in _CONTROL.items():
-            text = F.replace(text, F.lit("\\" + letter), F.lit(char))
-        text = F.replace(F.regexp_replace(text, r"\\([^\x01])", "$1"), F.lit("\\\x01"), F.lit("\\"))
+            plain = F.replace(plain, F.lit("\\" + letter), F.lit(char))
+        plain = F.replace(F.regexp_replace(plain, r"\\([^\x01])", "$1"), F.lit("\\\x01"), F.lit("\\"))
+        text = F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
     value = F.when(quoted, text).otherwise(word)
     kind = (F.when(quoted, "str").when(F.upper(word).isin("TRUE", "FALSE"), "bool")
             .when(word.rlike(r"^[+-]?\d+$"), "int")
@@ -107,12 +108,14 @@ def dump_tables(rows: DataFrame) -> DataFrame:
         F.min(F.struct("_split", "_tick")).alias("first_at"))
 
 
-def first_table(rows: DataFrame) -> str:
-    """Name of the table that comes first in the first file."""
-    found = rows.filter("items is not null").groupBy().agg(F.min_by("_table", F.struct(FILE, "_split", "_tick")).alias("t")).first()
-    if found is None or found.t is None:
-        raise SourceError("no INSERT statements found")
-    return found.t
+def first_table(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "utf-8",
+                separator: str = ";\n", whole_files: bool = False) -> str:
+    """Name of the first table of the first file that has one; reads no further."""
+    for path in sorted(spark.read.format("binaryFile").load(paths).inputFiles()):
+        lead = read_dump(spark, path, dialect, encoding, separator, whole_files).filter("_table != ''").first()
+        if lead is not None:
+            return lead._table
+    raise SourceError("no INSERT statements found")
 
 
 def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, dialect: str = "gp",
@@ -126,7 +129,7 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
     """
     rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect, kinds=False)
     if table is None:
-        wanted = F.col("_table") == first_table(rows)
+        wanted = F.col("_table") == first_table(spark, paths, dialect, encoding, separator, whole_files)
     else:
         key = table.lower()
         wanted = F.col("_full_table" if "." in key else "_table") == key
