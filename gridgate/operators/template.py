@@ -107,13 +107,15 @@ def fixed_by_file(contract: DataFrame, names: list[str]) -> DataFrame:
         F.max(F.when(F.col("col_name") == n, F.col("fixed_value"))).alias(n) for n in names])
 
 
-def unlike(contract: DataFrame, starts: DataFrame, lead: str) -> DataFrame:
+def unlike(sheets: DataFrame, contract: DataFrame, lead: str) -> DataFrame:
     """Files whose definitions, fixed values aside, differ from those of ``lead``."""
-    shape = F.struct("ordinal", "display", "is_key", "col_name", "type_text", F.col("fixed_value").isNull().alias("from_rows"), "problem")
-    shapes = contract.groupBy(FILE).agg(F.sort_array(F.collect_list(shape)).alias("_shape"))
-    both = starts.join(shapes, FILE, "left")
-    first = both.filter(F.col(FILE) == lead).select(F.struct("skip_rows", "_shape").alias("_lead"))
-    return both.join(first, ~F.struct("skip_rows", "_shape").eqNullSafe(F.col("_lead"))).select(
+    row = F.struct("ordinal", "display", "is_key", "col_name", "type_text",
+                   F.col("fixed_value").isNull().alias("from_rows"), "problem")
+    shapes = contract.groupBy(FILE).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    known = templates(sheets).join(start_rows(sheets), FILE, "left").join(shapes, FILE, "left").select(
+        FILE, F.to_json(F.struct("is_template", "skip_rows", "_rows")).alias("_shape"))
+    expected = known.filter(F.col(FILE) == lead).first()._shape
+    return known.filter(F.col("_shape") != expected).select(
         FILE, F.lit("template differs from the first file").alias("reason"))
 
 

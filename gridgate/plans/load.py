@@ -145,7 +145,7 @@ def _template(sheets: DataFrame, dialect: str) -> Template | None:
             f"{g[FILE]} {g.pos}: {g.found_name!r} vs {g.expected_name!r}" for g in gaps))
     fixed = [c.name for c in contract.columns if c.fixed is not None]
     return Template(contract, start.skip_rows, fixed_by_file(rows, fixed) if fixed else None,
-                    unlike(rows, starts, lead[FILE]))
+                    unlike(sheets, rows, lead[FILE]))
 
 
 def _contract(spark: SparkSession, config: IntakeConfig, scan: Scan, template: Template | None,

@@ -20,7 +20,7 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", encoding: str = "u
 
     Files appear when the job commits, so a failed job leaves no partial output.
     """
-    shown = [F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name)
+    shown = [F.col(f"`{f.name}`").cast("string").alias(f.name)
              if f.dataType.typeName() in ("timestamp", "timestamp_ntz") else F.col(f"`{f.name}`") for f in df.schema]
     charset = JVM_CHARSETS[encoding.lower()]
     if charset != "UTF-8":

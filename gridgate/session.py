@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from gridgate.errors import ConfigurationError
@@ -23,6 +25,9 @@ SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings; Python tasks get this package's functions by value, so
+    executors need no copy of it."""
+    cloudpickle.register_pickle_by_value(sys.modules["gridgate"])
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -9,6 +9,7 @@ from gridgate.plans import publish
 from gridgate.sources.delimited import scan_delimited
 from gridgate.sources.insert_dump import scan_insert_dump
 from gridgate.streaming.intake import append_stream, checked_stream, read_arriving
+from workload.books import workbook
 from tests.test_sources import DATA, SIMPLE, make_template, put
 
 TYPES = {"id": "integer", "amount": "decimal(5,2)"}
@@ -153,9 +154,10 @@ def test_templates_keep_their_own_fixed_values(spark, tmp_path):
     inbox = config(tmp_path, str(tmp_path / "in"), policy="ods_template", dtypes=None, export="csv", error_mode="raise")
     back = scan_delimited(spark, run_load(spark, inbox).output).rows
     assert sorted((r.id, r.origin) for r in back.collect()) == [("1", "file 7"), ("1", "file 8"), ("2", "file 7")]
-    put(tmp_path / "in", "c.xlsx", make_template([["Код", "table", "true", "id", "text"], *SIMPLE[1:]], DATA))
-    with pytest.raises(SourceError, match="template differs"):
-        run_load(spark, inbox)
+    for odd in (make_template([["Код", "table", "true", "id", "text"], *SIMPLE[1:]], DATA), workbook({"data": DATA})):
+        put(tmp_path / "in", "c.xlsx", odd)
+        with pytest.raises(SourceError, match="template differs"):
+            run_load(spark, inbox)
 
 
 def test_dump_run_takes_the_table_name(spark, tmp_path):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from gridgate.session import prepare
@@ -27,6 +29,7 @@ def query(sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            cloudpickle.register_pickle_by_value(sys.modules["workload"])
             return build(prepare(spark), Tables(spark, folder))
 
         run.__name__ = build.__name__
