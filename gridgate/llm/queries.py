@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridgate.llm import decontaminate
+from gridgate.llm import decontaminate, near_duplicates
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def query(sql: str | None = None):
 def op5_decontamination(spark, table):
     """Which documents hold a window of ten words of a benchmark item."""
     return decontaminate.digest(decontaminate.scan(table("documents"), table("benchmark")))
+
+
+@query()
+def op7_near_dedup(spark, table):
+    """Groups of documents whose five-word shingle sets are linked at a Jaccard similarity of 0.75 or more."""
+    return near_duplicates.near_duplicates(table("documents"))
