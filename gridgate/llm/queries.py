@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridgate.llm import decontaminate, near_duplicates
+from gridgate.llm import decontaminate, near_duplicates, repeats
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op5_decontamination(spark, table):
 def op7_near_dedup(spark, table):
     """Groups of documents whose five-word shingle sets are linked at a Jaccard similarity of 0.75 or more."""
     return near_duplicates.near_duplicates(table("documents"))
+
+
+@query()
+def op3_repeat_dedup(spark, table):
+    """What is left of each document without the strings of 50 bytes that an earlier one holds."""
+    return repeats.remove_repeats(table("documents"), with_kept=False)
