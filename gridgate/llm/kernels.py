@@ -87,7 +87,7 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def powers(base: int, n: int) -> np.ndarray:
     """The first n powers of an odd number, modulo 2**64; kept for the next call."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         table = np.full(max(n, BLOCK_BYTES + 1), base, np.uint64)
         table[0] = 1
         _powers[base] = np.multiply.accumulate(table)

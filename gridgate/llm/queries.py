@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridgate.llm import decontaminate, near_duplicates, repeats
+from gridgate.llm import decontaminate, near_duplicates, packing, repeats
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,9 @@ def op7_near_dedup(spark, table):
 def op3_repeat_dedup(spark, table):
     """What is left of each document without the strings of 50 bytes that an earlier one holds."""
     return repeats.remove_repeats(table("documents"), with_kept=False)
+
+
+@query()
+def op6_packing(spark, table):
+    """All documents in sequences of 2,048 tokens."""
+    return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
