@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridgate.llm import decontaminate, near_duplicates, packing, repeats
+from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,12 @@ def op3_repeat_dedup(spark, table):
 def op6_packing(spark, table):
     """All documents in sequences of 2,048 tokens."""
     return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_quality(spark, table):
+    """A quality score of every document, learned from the labels of three quarters of the ids."""
+    docs, labels = table("documents"), table("labels")
+    model = quality.fit(docs, labels.where(~quality.held_out()))
+    return (quality.score(docs, model).withColumn("held_out", quality.held_out())
+            .select("doc_id", "held_out", "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted")))
