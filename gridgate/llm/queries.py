@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats
+from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats, secrets
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ def op8_quality(spark, table):
     model = quality.fit(docs, labels.where(~quality.held_out()))
     return (quality.score(docs, model).withColumn("held_out", quality.held_out())
             .select("doc_id", "held_out", "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted")))
+
+
+@query()
+def op9_secrets(spark, table):
+    """Key patterns and costly credential values of every document."""
+    return secrets.scan(table("documents"))
