@@ -94,13 +94,21 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
+class RunHashes:
+    """64-bit polynomial hashes of any runs of bytes of a block, from sums over the whole block."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.multiply(_BYTE[data], powers(_BASE, len(data)), out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
+        self.inverse = powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each run of bytes, from sums over the whole block."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.multiply(_BYTE[data], powers(_BASE, len(data)), out=sums[1:])
-    np.cumsum(sums, out=sums)
-    inverse = powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return RunHashes(data)(starts, ends)
 
 
 def owner(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:

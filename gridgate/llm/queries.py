@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats, secrets
+from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats, secrets, toxicity
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,10 @@ def op8_quality(spark, table):
 def op9_secrets(spark, table):
     """Key patterns and costly credential values of every document."""
     return secrets.scan(table("documents"))
+
+
+@query()
+def op10_toxicity(spark, table):
+    """Expected severity of every document."""
+    docs = table("documents")
+    return toxicity.score(docs, toxicity.fit(docs, table("labels")))
