@@ -8,9 +8,10 @@ probability 1 / (similarity * SIGNATURE), by a hash of its path, and each place
 there. In expectation a pair at the threshold stays together along one branch per level, so that `TREES` independent
 trees miss a pair in a node of depth d with probability (1 - p)**TREES, p = 0.63, 0.47, 0.37, ... for d = 1, 2, 3.
 
-Nodes are worked on until all their texts belong to one group: first each text against the node's first one, then small
-nodes pair by pair, and large ones go down a level. Pairs pass a sketch of 128 minwise bits, then links are confirmed on the
-full sets. A node that is still large at the last level is compared pair by pair as well, so no size is left out.
+First, each text of a node is compared with the node's smallest one, and links that hold form groups. A node then needs only
+pairs across groups: each text outside its largest group against all of the node. Nodes that are small, or have few such
+texts, are compared so; others go down a level, and at the last level all are compared, so no size is left out. A node of
+one group is done. Compared pairs pass a sketch of 128 minwise bits; links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -87,14 +88,35 @@ def _features(words: int):
     return features
 
 
-def _sets(words: int):
+class IdFilter:
+    """A Bloom filter of ids with a fixed number of bits, whatever the number of ids: it spares texts a shuffle, no more."""
+
+    BITS, HASHES = 1 << 25, 4
+
+    @staticmethod
+    def of(ids: DataFrame) -> np.ndarray:
+        places = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(IdFilter.BITS)) for k in range(IdFilter.HASHES)]))
+        words = ids.select(places.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("held"))
+        table = np.zeros(IdFilter.BITS // 32, np.uint32)
+        for word, held in words.toLocalIterator():
+            table[word] = held & 0xFFFFFFFF
+        return table
+
+
+def _sets(words: int, held):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
-            held = list(shingle_sets(table, words))
-            ends = np.concatenate(([0], np.cumsum([len(x) for x in held])))
+            places = np.array(table.column("places").to_pylist(), np.int64).reshape(table.num_rows, -1)
+            hit = ((held.value[places >> 5] >> (places & 31).astype(np.uint32)) & 1).all(1)
+            table = table.filter(pa.array(hit)).combine_chunks()
+            if not table.num_rows:
+                continue
+            each = list(shingle_sets(table, words))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in each])))
             yield pa.RecordBatch.from_pydict({
                 "id": table.column("doc_id").combine_chunks(),
-                "shingles": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(held).view(np.int64)))})
+                "shingles": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(each).view(np.int64)))})
 
     return sets
 
@@ -125,8 +147,12 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (differ <= SKETCH_BITS)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _confirm(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; sets are made of the texts that may be in a pair, and only those move."""
+    pairs = staged(pairs, "pairs")
+    held = pairs.sparkSession.sparkContext.broadcast(IdFilter.of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+    places = F.array(*[F.pmod(F.xxhash64(F.lit(k), "doc_id"), F.lit(IdFilter.BITS)) for k in range(IdFilter.HASHES)])
+    sets = source.select("doc_id", "text", places.alias("places")).mapInArrow(_sets(words, held), "id long, shingles array<long>")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
@@ -170,38 +196,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = features.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
     sketches = reps.select("id", "n_shingles", "bits_a", "bits_b")
     members = reps.select("id", F.explode(_roots(trees, odds)).alias("node"))
-    sets, links, groups = None, None, None
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(sketches.withColumnRenamed("id", "a").alias("x"), "a").join(sketches.withColumnRenamed("id", "b").alias("y"), "b")
-                .where(_alike("x", "y", percent)).select("a", "b"))
-
+    nodes = members.groupBy("node").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = staged(members.join(nodes, "node"), "members")
+    stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = (stars.join(sketches.withColumnRenamed("id", "a").alias("x"), "a").join(sketches.withColumnRenamed("id", "b").alias("y"), "b")
+             .where(_alike("x", "y", percent)).select("a", "b"))
+    links = staged(_confirm(stars, source, words, percent), "links")
+    groups, pairs = staged(components(links), "groups"), None
     for level in range(1, levels + 1):
-        nodes = members.groupBy("node").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-        members = staged(members.join(nodes, "node"), "members")
-        stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        if sets is None:
-            # any later pair is of two texts that share a node now, but only those near another text can be in one
-            near = members.select("id").distinct()
-            texts = source.withColumnRenamed("doc_id", "id").join(near, "id", "left_semi").withColumnRenamed("id", "doc_id")
-            sets = staged(texts.mapInArrow(_sets(words), "id long, shingles array<long>"), "sets")
-        fresh = _confirm(alike(stars), sets, percent)
-        links = staged(fresh if links is None else links.unionByName(fresh), "links")
-        groups = staged(components(links), "groups")
-        grouped = (members.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")))
-        open_nodes = grouped.groupBy("node").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-        grouped = staged(grouped.join(open_nodes.select("node"), "node", "left_semi"), "open")
-        compared = grouped if level == levels else grouped.where(F.col("n") <= small)
-        x, y = (compared.join(sketches, "id").alias(k) for k in "xy")
-        pairs = (x.join(y, F.col("x.node") == F.col("y.node"))
-                 .where((F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.id") != F.col("x.pivot"))
+        tagged = members.select("id", "node").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        sizes = tagged.groupBy("node", "root").agg(F.count("*").alias("n")).groupBy("node").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
+        sizes = sizes.select("node", "n", F.col("most.root").alias("main"), (F.col("n") - F.col("most.n")).alias("rest")).where("rest > 0")
+        tagged = staged(tagged.join(sizes, "node"), "open")
+        now = F.lit(True) if level == levels else (F.col("n") <= small) | (F.col("rest") <= small)
+        x, y = (tagged.where(now).join(sketches, "id").alias(k) for k in "xy")
+        fresh = (x.join(y.where("root <> main"), F.col("x.node") == F.col("y.node"))
+                 .where((F.col("x.root") != F.col("y.root")) & ((F.col("x.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id")))
                         & _alike("x", "y", percent))
-                 .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-        links = staged(links.unionByName(_confirm(pairs, sets, percent)), "links")
-        large = grouped.where(F.col("n") > small)
-        if level == levels or large.isEmpty():
+                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+        fresh = staged(fresh, "alike")
+        pairs = fresh if pairs is None else pairs.unionByName(fresh)
+        deep = tagged.where(~now)
+        if level == levels or deep.isEmpty():
             break
-        members = large.join(reps.select("id", "tokens"), "id").select("id", F.explode(_children(odds)).alias("node"))
+        members = deep.select("id", "node").join(reps.select("id", "tokens"), "id").select("id", F.explode(_children(odds)).alias("node"))
+    links = staged(links.unionByName(_confirm(pairs.distinct(), source, words, percent)), "links")
     groups = components(links)
     named = classes.join(groups, "id", "left").select(*key, F.coalesce("root", "id").alias("root"))
     return (features.select("doc_id", *key).join(named, key, "left")
