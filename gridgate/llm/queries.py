@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import decontaminate, near_duplicates, packing, quality, repeats, secrets, toxicity
+from gridgate.llm import decontaminate, exact_search, near_duplicates, packing, quality, repeats, secrets, toxicity
 from gridgate.llm.common import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,16 @@ def op10_toxicity(spark, table):
     """Expected severity of every document."""
     docs = table("documents")
     return toxicity.score(docs, toxicity.fit(docs, table("labels")))
+
+
+@query("""
+with v as (select vec_id, [floor(64 * cast(x as double)) for x in embedding] as q from embeddings
+           where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
+           from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 20
+""")
+def op4_exact_top_k(spark, table):
+    """The 20 rows of the largest integer inner product for every twentieth vector."""
+    return exact_search.top_k(table("embeddings"), F.col("vec_id") % 20 == 0)
