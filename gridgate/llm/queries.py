@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import decontaminate, exact_search, near_duplicates, packing, quality, repeats, secrets, toxicity
-from gridgate.llm.common import ready
+from gridgate.llm import (decontaminate, exact_search, licenses, near_duplicates, packing, quality, repeats, secrets,
+                          token_rollup, toxicity)
+from gridgate.llm.common import new_path, ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +87,41 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 def op4_exact_top_k(spark, table):
     """The 20 rows of the largest integer inner product for every twentieth vector."""
     return exact_search.top_k(table("embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("""
+with first as (select min(doc_id) as doc_id from documents group by coalesce(text, '')),
+kept as (select * from documents where doc_id in (select doc_id from first)),
+counted as (
+    select source, lang, 'words' as tokenizer_version, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D|]+')) as n from kept
+    union all
+    select source, lang, 'words-1', len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) from kept)
+select source, lang, tokenizer_version, count(*) as n_docs, cast(sum(n) as bigint) as n_tokens from counted group by all
+""")
+def op1_token_rollup(spark, table):
+    """Token totals after a load, the removal of exact copies, and a recount of one tokenizer version."""
+    docs = table("documents")
+    store = token_rollup.RollupStore(spark, new_path(spark, "rollup"))
+    old = token_rollup.counted(docs, "words-1").unionByName(token_rollup.counted(docs, "words-1", "words"))
+    store.commit("load", token_rollup.inserted(old))
+    first = token_rollup.first_copies(docs)
+    copies = docs.select("doc_id", "source", "lang", "text")
+    gone = token_rollup.counted(copies, "words-1").join(first, "doc_id", "left_anti")
+    gone = gone.unionByName(gone.withColumn("tokenizer_version", F.lit("words")))
+    store.commit("exact-copies", token_rollup.deleted(gone))
+    before = token_rollup.counted(docs, "words-1", "words").join(first, "doc_id", "left_semi")
+    after = token_rollup.counted(docs, "words-2", "words").join(first, "doc_id", "left_semi")
+    recount = token_rollup.revised(before, after)
+    store.commit("recount-words", recount)
+    store.commit("recount-words", recount)  # sent again: no change
+    return store.totals()
+
+
+@query()
+def op2_license_scan(spark, table):
+    """License notices of every document and how much of their templates they cover."""
+    found = licenses.scan(table("documents"))
+    return found.select("doc_id", F.size("found").cast("long").alias("n_found"),
+                        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"]))), ",").alias("licenses"),
+                        F.coalesce(F.array_max(F.transform("found", lambda x: x["coverage"])), F.lit(0.0)).alias("best_coverage"),
+                        F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["license"], x["first_byte"], x["end_byte"])), ",").alias("spans"))
