@@ -49,6 +49,15 @@ class Windows:
             symbols = np.frombuffer(x, np.int32)
             self.patterns[k, size - len(symbols):] = symbols
 
+    def packed(self) -> tuple:
+        return self.vocabulary, self.items, self.lengths, self.patterns
+
+    @classmethod
+    def of(cls, packed: tuple) -> Windows:
+        windows = cls.__new__(cls)
+        windows.vocabulary, windows.items, windows.lengths, windows.patterns = packed
+        return windows
+
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         """Per word its number from 2 on; 0 for a word that no item holds."""
         if not self.vocabulary.size:
@@ -86,7 +95,7 @@ def shard_hits(windows: Windows, hashes: np.ndarray, firsts: np.ndarray) -> tupl
 
 def _scan(held, with_texts: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = held.value
+        windows = Windows.of(held.value)
         for table in blocks(batches):
             data, offsets = text_bytes(table.column("text"))
             starts, ends, hashes = word_runs(data, offsets)
@@ -165,13 +174,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, id_co
     schema = "doc_id long, n_words long, first_word array<long>, end_word array<long>, items array<long>"
     if len(parts) == 1:
         extra = ", clean_text string" if cleaned else ""
-        return source.mapInArrow(_scan(spark.sparkContext.broadcast(parts[0]), cleaned), schema + extra)
+        return source.mapInArrow(_scan(spark.sparkContext.broadcast(parts[0].packed()), cleaned), schema + extra)
     if cleaned:
         for part in parts:  # windows of one pass cannot hide those of another: a removed word was part of a hit
             raise ValueError("remove spans part by part: call scan(cleaned=True) with one part of the benchmark at a time")
     found = None
     for part in parts:
-        hits = source.mapInArrow(_scan(spark.sparkContext.broadcast(part), False), schema)
+        hits = source.mapInArrow(_scan(spark.sparkContext.broadcast(part.packed()), False), schema)
         found = hits if found is None else found.unionByName(hits)
     merged = found.groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list(F.arrays_zip("first_word", "end_word")))).alias("s"),
@@ -203,7 +212,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORD
     spark = ready(docs.sparkSession)
     out = docs
     for part in windows_of(benchmark, words):
-        out = out.mapInArrow(_cut(spark.sparkContext.broadcast(part), docs.columns), docs.schema)
+        out = out.mapInArrow(_cut(spark.sparkContext.broadcast(part.packed()), docs.columns), docs.schema)
     return out
 
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from gridgate.llm.common import ready, staged, with_text
 from gridgate.llm.kernels import LOWER, SPACE, blocks, hash_runs, mix, runs, text_bytes
@@ -183,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (it is its own).
 
     Null, empty and blank texts have no shingles and are linked with nothing. Texts of equal sets are linked with each
-    other. Ids must be distinct. An empty table gives an empty result.
+    other. A row without an id stands alone and is kept; rows of one id belong together. An empty table gives an empty result.
     """
     ready(docs.sparkSession)
     odds = round(SIGNATURE * percent / 100)
@@ -226,4 +227,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(groups, "id", "left").select(*key, F.coalesce("root", "id").alias("root"))
     return (features.select("doc_id", *key).join(named, key, "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("component_id") == F.col("doc_id")))
+            .withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id"))))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
+    """The documents without those that are not the smallest of their group; all columns as they are.
+
+    Only rows whose id may be among the dropped ones are dealt out to be checked; all others stay where they are.
+    """
+    gone = staged(near_duplicates(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "dropped")
+    held = docs.sparkSession.sparkContext.broadcast(IdFilter.of(gone))
+    places = F.array(*[F.pmod(F.xxhash64(F.lit(k), F.col("doc_id").cast("long")), F.lit(IdFilter.BITS)) for k in range(IdFilter.HASHES)])
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.array(batch.column(batch.num_columns - 1).to_pylist(), np.int64).reshape(batch.num_rows, -1)
+            hit = ((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).all(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hit)], [*batch.schema.names[:-1], "maybe dropped"])
+
+    kind = StructType([*docs.schema.fields, StructField("maybe dropped", BooleanType())])
+    marked = docs.withColumn("places of id", places).mapInArrow(maybe, kind)
+    stay = marked.where("not `maybe dropped`").drop("maybe dropped")
+    check = marked.where("`maybe dropped`").drop("maybe dropped")
+    return stay.unionByName(check.join(gone, check["doc_id"].cast("long") == gone["id"], "left_anti"))

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gridgate.llm.common import ready, with_text
 from gridgate.llm.kernels import blocks
@@ -28,6 +29,8 @@ END_ID = 1
 SENTENCE_PENALTY = 4
 HARD_PENALTY = 8
 HARD_STEP = 32
+#: Stands for a null id inside tasks.
+_NO_ID = -(1 << 63)
 
 
 def cuts(places: np.ndarray, penalties: np.ndarray, size: int) -> tuple[list[float], list[int]]:
@@ -177,9 +180,11 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE_TOKENS, sentence
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, the ids themselves.
 
     Null and empty texts are packed as their end id alone. A document is cut into as many pieces as its length asks for; an
-    empty table gives no piece. Repeated documents are packed each for itself. sequence_id is unique, not gapless.
+    empty table gives no piece. Repeated documents are packed each for itself; a null id stays null. sequence_id is unique, not gapless.
     """
     ready(docs.sparkSession)
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids array<int>" if with_ids else ""))
-    return with_text(docs, id_col, text_col).mapInArrow(_pack(vocabulary, size, sentence_penalty, hard_penalty, with_ids), schema)
+    source = with_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    packed = source.mapInArrow(_pack(vocabulary, size, sentence_penalty, hard_penalty, with_ids), schema)
+    return packed.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))

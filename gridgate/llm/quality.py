@@ -24,6 +24,8 @@ PASSAGE_WORDS = 64
 #: Labelled documents of each label that the model is fitted on, at most.
 SAMPLE = 2500
 ACCEPT = 0.7
+#: The score of every document where nothing is labelled.
+UNLABELLED = 0.5
 
 
 def _class_of(b: int) -> int:
@@ -166,7 +168,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["doc_id"])
     y = np.array([r["label"] for r in rows], np.float64)
     if not rows or y.min() == y.max():
-        model = float(y[0]) if rows else 0.5
+        model = float(y[0]) if rows else UNLABELLED
     else:
         each = [np.frombuffer(r["features"], np.float32).reshape(-1, WIDTH) for r in rows]
         model = AttentionModel(WIDTH)
@@ -187,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     ready(docs.sparkSession)
     rows = with_text(docs, id_col, text_col).join(F.broadcast(label_sample(labels, label_col, sample)), "doc_id")
     found = rows.mapInArrow(_sample_features, "doc_id long, label int, features binary").repartition(1).mapInArrow(_fit, "model binary").collect()
-    return pickle.loads(bytes(found[0].model)) if found else 0.5
+    return pickle.loads(bytes(found[0].model)) if found else UNLABELLED
 
 
 def _score(held):
@@ -220,7 +222,10 @@ def held_out(id_col: str = "doc_id"):
 
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = ACCEPT) -> DataFrame:
-    """The documents whose score reaches the threshold, all columns as they are. Blank texts are rejected like any other."""
+    """The documents whose score reaches the threshold, all columns as they are; without any label all of them.
+
+    Null and empty texts are scored like any other, as one passage without words.
+    """
     model = fit(docs, labels.where(~held_out()))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -231,7 +236,7 @@ def accept(docs: DataFrame, labels: DataFrame, threshold: float = ACCEPT) -> Dat
             judge.p, judge.mean, judge.scale = state
         for table in blocks(batches):
             if isinstance(state, float):
-                values = np.full(table.num_rows, max(state, threshold) if state == 0.5 else state)
+                values = np.full(table.num_rows, threshold if state == UNLABELLED else state)
             else:
                 x, begins = passage_features(table.column("text"))
                 values = judge.forward(x, begins)["score"]
