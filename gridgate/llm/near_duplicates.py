@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = components(links)
     named = classes.join(groups, "id", "left").select(*key, F.coalesce("root", "id").alias("root"))
     return (features.select("doc_id", *key).join(named, key, "left")
-            .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id"))))
 
 
