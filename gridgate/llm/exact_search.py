@@ -162,7 +162,7 @@ def _to_cells(pivots: np.ndarray):
 
 
 def _build(k: int):
-    def build(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         vectors = np.stack([np.asarray(x, np.int64) for x in frame["v"]])
         ids = np.full((len(frame), k + 1), np.iinfo(np.int64).max)
         for row, held in enumerate(frame["ids"]):
@@ -175,7 +175,7 @@ def _build(k: int):
 
 
 def _query_trees(k: int):
-    def query_trees(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def query_trees(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id")
         tree = CoverTree(np.stack([np.asarray(x, np.int64) for x in frame["v"]]))
         best = Best(frame["vec_id"].to_numpy()[tree.order], k)
@@ -204,6 +204,8 @@ def _visits(cells: dict[int, tuple[np.ndarray, np.ndarray]]):
     """The cells that a query tree has to visit: one of their blocks has a bound that reaches its worst k-th score."""
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = sorted(cells)
+        if not names:
+            return
         centre, radius = np.array([cells[c][0] for c in names]), np.array([cells[c][1] for c in names])
         norm = np.linalg.norm(centre, axis=1)
         for batch in batches:
