@@ -80,6 +80,8 @@ class IntakeConfig:
     timestamp: str | None = None
     source_name_column: bool = False
     batch_size: int = 500
+    #: Rows of each file that types are inferred from; None takes all of them.
+    infer_rows: int | None = None
     rule_options: dict = field(default_factory=dict)
 
     def __post_init__(self):

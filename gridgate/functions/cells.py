@@ -16,14 +16,19 @@ def column_letter(index: int) -> str:
 
 
 def column_letters(index: Column) -> Column:
-    """Letters of a 0-based column index, up to three of them (18,278 columns)."""
+    """Letters of a 0-based column index. Up to three come from one expression each, more from a loop over the digits."""
     i = index.cast("long")
     letter = lambda n: F.char(F.lit(65) + n % 26)
     one = letter(i)
     two = F.concat(letter(F.floor(i / 26) - 1), one)
     j = i - 26
     three = F.concat(letter(F.floor((j - 26 * 26) / (26 * 26))), letter(F.floor(j / 26)), letter(j))
-    return F.when(i < 26, one).when(i < 26 + 26 * 26, two).otherwise(three)
+    state = F.struct((i + 1).alias("rest"), F.lit("").alias("text"))
+    digit = lambda s: F.struct(
+        F.floor((s["rest"] - 1) / 26).alias("rest"),
+        F.when(s["rest"] > 0, F.concat(F.char(F.lit(65) + (s["rest"] - 1) % 26), s["text"])).otherwise(s["text"]).alias("text"))
+    more = F.aggregate(F.sequence(F.lit(1), F.lit(14)), state, lambda s, _: digit(s), lambda s: s["text"])
+    return (F.when(i < 26, one).when(i < 26 + 26 * 26, two).when(i < 26 + 26 * 26 + 26**3, three).otherwise(more))
 
 
 def cell_address(row: Column, index: Column) -> Column:
@@ -45,4 +50,6 @@ def address_index(address: Column) -> Column:
     digit = lambda at: F.ascii(F.substring(letters, at, 1)) - 64
     return (F.when(F.length(letters) == 1, digit(1))
             .when(F.length(letters) == 2, digit(1) * 26 + digit(2))
-            .when(F.length(letters) == 3, digit(1) * 676 + digit(2) * 26 + digit(3)) - 1)
+            .when(F.length(letters) == 3, digit(1) * 676 + digit(2) * 26 + digit(3))
+            .when(F.length(letters) > 3, F.aggregate(F.split(letters, ""), F.lit(0).cast("bigint"),
+                                                     lambda s, c: s * 26 + F.ascii(c) - 64)) - 1)

@@ -98,7 +98,7 @@ def contract_of_table(spark: SparkSession, table: str, dialect: str = "gp") -> C
 # ---------------------------------------------------------------- DDL corpora
 
 _BALANCED = r"\([^()]*+\)"
-for _ in range(3):
+for _ in range(24):  # deeper types are reported, not cut
     _BALANCED = rf"\((?:[^()]++|{_BALANCED})*+\)"
 _PART = rf"(?:[^,()]++|{_BALANCED})++"
 _GP_CONSTRAINT = r"(?i)^\s*(constraint|primary\s+key|foreign\s+key|unique|check)\b"
@@ -112,8 +112,8 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
 
     Result: ``key, status, ordinal, col_name, type_text``. A text that declares
     nothing keeps one row whose ``status`` says why (``empty``,
-    ``no parentheses``, ``unbalanced parentheses``, ``no columns``). Parentheses
-    inside types may nest three deep.
+    ``no parentheses``, ``unbalanced parentheses``, ``no columns``,
+    ``unknown part: …`` for one that is neither column nor constraint).
     """
     dialect = dialect_of(dialect)
     clean = F.regexp_replace(F.regexp_replace(F.col(ddl), r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")
@@ -124,7 +124,7 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
     parts = F.regexp_extract_all(F.substring(body, F.lit(2), F.length(body) - 2), F.lit(f"({_PART})"), 1)
     constraint = _GP_CONSTRAINT if dialect == "gp" else _CH_CONSTRAINT
     quote = '"' if dialect == "gp" else "`"
-    column = rf"^\s*{quote}?(\w+){quote}?\s+(.*)$"
+    column = rf"(?U)^\s*{quote}?(\w+){quote}?\s+(.*)$"
 
     def definition(part: Column) -> Column:
         rest = F.regexp_extract(part, column, 2)
@@ -134,11 +134,13 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
 
     texts = corpus.select(
         F.col(key), F.coalesce(F.trim(ddl), F.lit("")).alias("_ddl"), first_open.alias("_open"),
-        F.when((body != "") & opens, F.transform(parts, definition)).alias("_defs"))
+        F.when((body != "") & opens, F.transform(parts, definition)).alias("_defs"), parts.alias("_parts"))
     declared = F.filter("_defs", lambda d: (d.col_name != "") & (d.type_text != ""))
+    unknown = F.filter("_parts", lambda p: (F.trim(p) != "") & ~p.rlike(constraint) & ~p.rlike(column))
     status = (F.when(F.col("_ddl") == "", "empty").when(F.col("_open") == 0, "no parentheses")
               .when(F.col("_defs").isNull(), "unbalanced parentheses")
-              .when(F.size(declared) == 0, "no columns").otherwise("ok"))
+              .when(F.size(declared) == 0, "no columns")
+              .when(F.size(unknown) > 0, F.concat(F.lit("unknown part: "), F.trim(F.get(unknown, F.lit(0))))).otherwise("ok"))
     rows = texts.select(key, status.alias("status"), F.posexplode_outer(declared).alias("_at", "_def"))
     return rows.select(key, "status", (F.col("_at") + 1).alias("ordinal"), "_def.col_name", "_def.type_text")
 

@@ -152,7 +152,7 @@ def _contract(spark: SparkSession, config: IntakeConfig, scan: Scan, template: T
               table: str) -> Contract | None:
     """Contract by policy: given types, table or template with inference behind them, DDL."""
     inferred = lambda: infer_contract(
-        scan.rows, scan.columns, config.dialect, ordinal=ORDINAL, first_row=config.skip_rows + 1, sample=200)
+        scan.rows, scan.columns, config.dialect, ordinal=ORDINAL, first_row=config.skip_rows + 1, sample=config.infer_rows)
     if config.dtypes:
         contract = Contract.of(config.dtypes, config.dialect)
     elif config.policy == "bd":

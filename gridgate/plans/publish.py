@@ -20,7 +20,14 @@ Load = Callable[[DataFrame, str], None]
 
 
 def _insert(df: DataFrame, table: str) -> None:
-    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+    """Insert by name: columns the table lacks are an error, those the rows lack are NULL."""
+    target = df.sparkSession.table(table).schema
+    held = {c.lower() for c in df.columns}
+    unknown = sorted(c for c in df.columns if c.lower() not in {f.name.lower() for f in target})
+    if unknown:
+        raise ConfigurationError(f"table {table} has no column {', '.join(unknown)}")
+    row = [F.col(f"`{f.name}`") if f.name.lower() in held else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+    df.select(*row).write.insertInto(table)
 
 
 def append(df: DataFrame, table: str, load: Load = _insert) -> None:

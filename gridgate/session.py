@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -36,15 +35,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Only a single-machine session without that setting gets a temporary folder
-    of its own; a cluster without it is a configuration error.
+    Only a single-machine session without that setting gets a folder beside its
+    tables; a cluster without it is a configuration error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ConfigurationError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gridgate-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return root.rstrip("/")
 
 

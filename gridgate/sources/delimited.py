@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from gridgate.config import JVM_CHARSETS
 from gridgate.errors import HeaderError, SourceError
 from gridgate.functions.text import WHITESPACE
+from gridgate.session import staged
 from gridgate.sources.positions import FILE, HEAD, ORDINAL, place, read_lines, with_split
 
 
@@ -39,8 +41,10 @@ def scan_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
     The layout is the header of the first file by path. Files with another
     header are left out and listed in ``rejected`` rather than read askew.
     ``delimiter`` defaults to a tab for ``.tsv`` and a comma for the rest.
-    ``quoted_newlines`` reads records instead of lines, one task per file;
-    records are then counted without blank lines.
+    Files are read by lines. One that holds a line with an odd number of quotes
+    may have records over several lines, so it is read again by records, one task
+    per file; records are counted without blank lines. ``quoted_newlines`` reads
+    all files so from the start.
     """
     files = sorted(spark.read.format("binaryFile").load(paths).inputFiles())
     if not files:
@@ -58,10 +62,17 @@ def scan_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
         cell = lambda i: F.col(f"_c{i}")
     else:
         source = read_lines(spark, paths, encoding)
-        head = F.split("value", _literally(delimiter))
+        head = F.from_csv("value", _layout(len(names) + 1), {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+        head = F.array(*[head[f"_c{i}"] for i in range(len(names) + 1)])
         cell = lambda i: F.col(f"_cells._c{i}")
-    placed, heads = place(with_split(source), head=head, head_row=skip_rows)
-    matches = F.coalesce(_normal(F.col(HEAD)) == F.array([F.lit(n) for n in names]), F.lit(False))
+    lines, torn = staged(with_split(source), "lines"), []
+    if not quoted_newlines:
+        odd = lines.filter((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).select(FILE).distinct()
+        torn = sorted(unquote(r[0]) for r in odd.collect())
+        lines = lines.join(odd, FILE, "left_anti") if torn else lines
+    placed, heads = place(lines, head=head, head_row=skip_rows, pinned=True)
+    spare = [] if quoted_newlines else [F.lit("")]  # a longer header is another header
+    matches = F.coalesce(_normal(F.col(HEAD)) == F.array(*[F.lit(n) for n in names], *spare), F.lit(False))
     data = placed.filter(matches & (F.col(ORDINAL) > skip_rows))
     if max_row is not None:
         data = data.filter(F.col(ORDINAL) <= skip_rows + max_row)
@@ -70,6 +81,13 @@ def scan_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
             "sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}))
     rows = data.select(FILE, ORDINAL, *[cell(i + skip_cols).alias(c) for i, c in enumerate(columns)])
     rejected = heads.filter(~matches).select(FILE, F.lit("header differs from the first file").alias("reason"))
+    if torn:
+        records = scan_delimited(spark, torn, delimiter, encoding, skip_rows, skip_cols, max_row, quoted_newlines=True)
+        if records.columns == columns:
+            rows, rejected = rows.unionByName(records.rows), rejected.unionByName(records.rejected)
+        else:
+            other = records.rows.select(FILE).distinct().withColumn("reason", F.lit("header differs from the first file"))
+            rejected = rejected.unionByName(other)
     return Scan(rows, columns, rejected, skip_cols)
 
 
@@ -77,10 +95,6 @@ def _layout(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width))
 
 
-def _literally(delimiter: str) -> str:
-    return "\\t" if delimiter == "\t" else f"[{delimiter}]" if delimiter not in "^\\]" else "\\" + delimiter
-
-
 def _normal(head: Column) -> Column:
     return F.transform(head, lambda c: F.btrim(F.lower(F.coalesce(c, F.lit(""))), F.lit(WHITESPACE + '"')))
 

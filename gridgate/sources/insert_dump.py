@@ -14,6 +14,8 @@ from gridgate.sources.positions import FILE, ORDINAL, read_lines, retick, with_o
 # Possessive quantifiers keep the patterns linear and free of recursion on long statements.
 _PLAIN_QUOTED = r"'(?:[^']++|'')*+'"
 _ESCAPED_QUOTED = r"'(?:[^'\\]++|''|\\.)*+'"
+# Parentheses inside a tuple; a tuple that nests deeper makes its piece broken.
+_DEPTH = 12
 # Escapes of the ch dialect that stand for another character.
 _CONTROL = {"b": "\b", "f": "\f", "r": "\r", "n": "\n", "t": "\t", "0": "\0", "a": "\a", "v": "\v"}
 
@@ -24,7 +26,8 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
 
     Files split at ``separator``; a piece may still hold several statements. A
     quoted text that contains the separator leaves pieces with an open quote,
-    marked ``_broken``; ``whole_files`` reads such files in one piece.
+    marked ``_broken``; ``whole_files`` reads such files in one piece. A piece of
+    which a tuple cannot be read, say one with an open parenthesis, is broken too.
     Backslashes escape in the ``ch`` dialect only.
     """
     if whole_files:
@@ -38,9 +41,11 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
         text, F.lit(rf"(?s)({quoted})|--[^\n]*+|/\*.*?\*/"), F.lit("$1"))).otherwise(text)
     head = r"INSERT\s+INTO\s+([^\s(]+)\s*\(([^)]+)\)\s*VALUES\s*+"
     row = _tuple(dialect)
-    statement = F.regexp_extract_all("_clean", F.lit(rf"(?is){head}(?:{row}\s*+,?+\s*+)++"), F.lit(0))
+    whole = rf"(?is){head}(?:{row}\s*+,?+\s*+)++"
+    statement = F.regexp_extract_all("_clean", F.lit(whole), F.lit(0))
     pieces = with_split(source).select(FILE, "_split", "_tick", clean.alias("_clean"))
-    found = pieces.select(FILE, "_split", "_tick", _open_quote(F.col("_clean"), dialect).alias("_broken"),
+    unread = F.regexp_replace("_clean", whole, "\x01").rlike("\x01\\s*\\(|" + head)
+    found = pieces.select(FILE, "_split", "_tick", (_open_quote(F.col("_clean"), dialect) | unread).alias("_broken"),
                           F.explode_outer(statement).alias("_statement")).filter("_broken or _statement is not null")
     part = lambda i: F.regexp_extract("_statement", rf"(?is)^{head}", i)
     full = F.lower(F.regexp_replace(part(1), r'[`"\[\]]', ""))
@@ -52,8 +57,12 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
         F.regexp_extract_all(body, F.lit(f"({row})"), F.lit(1)).alias("_tuples"))
 
 
-def _tuple(dialect: str) -> str:
-    return rf"\((?:[^()']++|{_quoted(dialect)}|\([^()']*+\))*+\)"
+def _tuple(dialect: str, depth: int = _DEPTH) -> str:
+    """Balanced parentheses with anything quoted inside, nested up to ``depth`` deep."""
+    nested = rf"\((?:[^()']++|{_quoted(dialect)})*+\)"
+    for _ in range(depth):
+        nested = rf"\((?:[^()']++|{_quoted(dialect)}|{nested})*+\)"
+    return nested
 
 
 def _open_quote(text: Column, dialect: str) -> Column:
@@ -73,7 +82,7 @@ def dump_rows(dump: DataFrame, dialect: str = "gp", kinds: bool = True) -> DataF
     Pieces marked ``_broken`` keep a row even without a tuple. ``kinds=False``
     leaves the kinds out when only the text is of interest.
     """
-    item = rf"\s*+({_quoted(dialect)}|(?:[^,'()]++|\([^()]*+\))*+)\s*+(?:,|$)"
+    item = rf"\s*+({_quoted(dialect)}|(?:[^,'()]++|{_tuple(dialect, _DEPTH - 1)})*+)\s*+(?:,|$)"
     rows = dump.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
                        F.explode_outer("_tuples").alias("_t")).filter("_broken or _t is not null")
     body = F.substring("_t", F.lit(2), F.length("_t") - 2)
@@ -125,7 +134,8 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
     ``table`` may carry a schema, which is then compared too. Without it the
     first table of the first file is taken. Short tuples are padded with NULL.
     The statements are taken apart once; counting and reading use staged tuples.
-    Files with a text that crosses the separator are listed in ``rejected``.
+    Files with a text that crosses the separator, or with a tuple that cannot be
+    read, are listed in ``rejected``.
     """
     rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect, kinds=False)
     if table is None:
@@ -139,12 +149,12 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
     mine = taken.filter("items is not null")
     lead = mine.select("_names").first()
     broken = taken.filter("_broken").select(FILE).distinct().withColumn(
-        "reason", F.lit("quoted text contains the statement separator"))
+        "reason", F.lit("quoted text contains the statement separator, or a tuple cannot be read"))
     if lead is None:
         known = [r[0] for r in rows.select("_full_table").distinct().limit(20).collect()]
         raise SourceError(f"table {table!r} not found in the dump; it has {sorted(k for k in known if k)}")
     columns = list(lead._names)
-    placed = with_ordinals(mine)
+    placed = with_ordinals(mine, pinned=True)
     at = lambda i: F.get("items", F.array_position("_names", columns[i]).cast("int") - 1)["text"]
     cells = [at(i).alias(c) for i, c in enumerate(columns)]
     return Scan(placed.select(FILE, ORDINAL, *cells), columns, broken, 0, 2)

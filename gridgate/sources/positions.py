@@ -45,22 +45,28 @@ def split_offsets(ticked: DataFrame, head: Column | None = None) -> DataFrame:
         F.first(HEAD).over(splits).alias(HEAD))
 
 
-def with_ordinals(ticked: DataFrame, name: str = ORDINAL) -> DataFrame:
+def with_ordinals(ticked: DataFrame, name: str = ORDINAL, pinned: bool = False) -> DataFrame:
     """0-based position of every row in its file, see :func:`place`."""
-    return place(ticked, name)[0]
+    return place(ticked, name, pinned=pinned)[0]
 
 
 def place(ticked: DataFrame, name: str = ORDINAL, head: Column | None = None,
-          head_row: int = 0) -> tuple[DataFrame, DataFrame]:
+          head_row: int = 0, pinned: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows with their 0-based position in the file, and ``_file, _head`` per file.
 
     ``ticked`` is any narrow, deterministic transformation of a file scan whose
     last step was :func:`retick`. With ``head`` the rows also carry ``_head``:
     that expression for row ``head_row`` of their file.
 
-    The offsets are staged. That pins them to one reading of the splits and
-    shows Spark their true size, so it broadcasts them only when they are small.
+    The source is read once: rows are staged with their split and running id, and
+    counts and rows both come from that copy. How a source is cut into splits may
+    change between two readings, say when the cluster grows; ids of one reading
+    would then miss the counts of another. ``pinned`` rows are staged already.
+    The offsets are staged too, which shows Spark their true size, so it
+    broadcasts them only when they are small.
     """
+    if not pinned:
+        ticked = staged(ticked, "lines")
     offsets = staged(split_offsets(ticked, head if head_row == 0 else None), "splits")
     if head is not None and head_row > 0:
         found = _placed(ticked, offsets.drop(HEAD), name).filter(F.col(name) == head_row)

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from gridgate.operators.contract import Contract
 from gridgate.operators.project import clean_cells, drop_blank_rows
 from gridgate.operators.validate import apply_contract
-from gridgate.session import scratch_path
 
 
 def read_arriving(spark: SparkSession, folder: str, columns: list[str], delimiter: str = ",") -> DataFrame:
@@ -29,9 +28,8 @@ def checked_stream(rows: DataFrame, contract: Contract, strip: bool = False) ->
     return apply_contract(clean_cells(drop_blank_rows(rows, columns), columns, strip), contract, columns)
 
 
-def append_stream(checked: DataFrame, path: str, checkpoint: str | None = None, once: bool = False) -> StreamingQuery:
-    """Append every micro-batch to a Parquet folder, exactly once."""
-    location = checkpoint or scratch_path(checked.sparkSession, "stream")
+def append_stream(checked: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Append every micro-batch to a Parquet folder, exactly once over restarts with the same ``checkpoint``."""
     writer = checked.writeStream.format("parquet").outputMode("append").option("path", path).option(
-        "checkpointLocation", location)
+        "checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -61,14 +61,19 @@ def align_ragged(spark, t):
     return t.documents.select("doc_id", cells.alias("cells")).select("doc_id", "cells.*")
 
 
-@query("""WITH c AS (SELECT event_id, event_id + 1 AS r, event_id % 18278 AS i FROM events),
+@query("""WITH c AS (SELECT event_id, event_id + 1 AS r, event_id * 7 AS i FROM events),
 a AS (SELECT event_id, r, CASE WHEN i < 26 THEN chr(cast(65 + i AS int))
   WHEN i < 702 THEN chr(cast(65 + (i - 26) // 26 AS int)) || chr(cast(65 + (i - 26) % 26 AS int))
-  ELSE chr(cast(65 + (i - 702) // 676 AS int)) || chr(cast(65 + ((i - 702) // 26) % 26 AS int))
-    || chr(cast(65 + (i - 702) % 26 AS int)) END AS letters FROM c)
+  WHEN i < 18278 THEN chr(cast(65 + (i - 702) // 676 AS int)) || chr(cast(65 + ((i - 702) // 26) % 26 AS int))
+    || chr(cast(65 + (i - 702) % 26 AS int))
+  WHEN i < 475254 THEN chr(cast(65 + (i - 18278) // 17576 AS int)) || chr(cast(65 + ((i - 18278) // 676) % 26 AS int))
+    || chr(cast(65 + ((i - 18278) // 26) % 26 AS int)) || chr(cast(65 + (i - 18278) % 26 AS int))
+  ELSE chr(cast(65 + (i - 475254) // 456976 AS int)) || chr(cast(65 + ((i - 475254) // 17576) % 26 AS int))
+    || chr(cast(65 + ((i - 475254) // 676) % 26 AS int)) || chr(cast(65 + ((i - 475254) // 26) % 26 AS int))
+    || chr(cast(65 + (i - 475254) % 26 AS int)) END AS letters FROM c)
 SELECT event_id, letters || cast(r AS varchar) AS cell, letters, r AS row_number FROM a""")
 def cell_address_of_events(spark, t):
-    cell = cell_address(F.col("event_id") + 1, F.col("event_id") % 18278)
+    cell = cell_address(F.col("event_id") + 1, F.col("event_id") * 7)
     return t.events.select("event_id", cell.alias("cell")).select(
         "event_id", "cell", address_letters(F.col("cell")).alias("letters"),
         address_row(F.col("cell")).alias("row_number"))
