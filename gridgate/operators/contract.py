@@ -280,10 +280,10 @@ def translate(frame: DataFrame) -> DataFrame:
 def coverage(headers: DataFrame, contract: DataFrame, keys: list[str]) -> DataFrame:
     """How header and contract meet, per column: ``checked`` when both have it,
     ``unchecked`` when only the file has it, ``missing`` when only the contract has."""
-    left = headers.select(*keys).distinct().withColumn("_h", F.lit(True))
-    right = contract.select(*keys).distinct().withColumn("_c", F.lit(True))
-    state = (F.when(F.col("_h") & F.col("_c"), "checked").when(F.col("_h"), "unchecked").otherwise("missing"))
-    return left.join(right, keys, "full_outer").select(*keys, state.alias("coverage"))
+    both = headers.select(*keys, F.lit(True).alias("_h")).union(contract.select(*keys, F.lit(False).alias("_h")))
+    held, wanted = F.bool_or("_h"), F.bool_or(~F.col("_h"))
+    state = F.when(held & wanted, "checked").when(held, "unchecked").otherwise("missing")
+    return both.groupBy(*keys).agg(state.alias("coverage"))
 
 
 # ------------------------------------------------------------------- DDL text

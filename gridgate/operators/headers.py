@@ -15,10 +15,11 @@ def header_cells(rows: DataFrame, lineage: list[str], cells: str = "cells") -> D
     return rows.select(*lineage, F.posexplode(cells).alias("pos", "raw"))
 
 
-def normalise(headers: DataFrame, lineage: list[str]) -> DataFrame:
-    """Lower-case stripped names up to the last filled cell of each header."""
-    last = headers.groupBy(*lineage).agg(F.max(F.when(F.col("raw").isNotNull(), F.col("pos"))).alias("_last"))
-    return headers.join(last, lineage).filter("pos <= _last").select(
+def normalise(rows: DataFrame, lineage: list[str], cells: str = "cells") -> DataFrame:
+    """Lower-case stripped names up to the last filled cell of each header row; no shuffle, a header is one row."""
+    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i)))
+    kept = F.when(last.isNotNull(), F.slice(cells, F.lit(1), last + 1))
+    return rows.select(*lineage, F.posexplode(kept).alias("pos", "raw")).select(
         *lineage, "pos", stripped(F.lower("raw")).alias("name"))
 
 

@@ -222,9 +222,8 @@ k AS (SELECT *, CASE WHEN length(raw) % 5 = 0 THEN NULL ELSE raw END AS filled F
 l AS (SELECT conv_id, turn, max(pos) FILTER (WHERE filled IS NOT NULL) AS z FROM k GROUP BY ALL)
 SELECT conv_id, turn, cast(pos AS int) AS pos, lower(filled) AS name FROM k JOIN l USING (conv_id, turn) WHERE pos <= z""")
 def header_normalise(spark, t):
-    cells = headers.header_cells(_turn_words(t), ["conv_id", "turn"])
-    filled = cells.withColumn("raw", F.when(F.length("raw") % 5 != 0, F.col("raw")))
-    return headers.normalise(filled, ["conv_id", "turn"])
+    filled = F.transform("cells", lambda c: F.when(F.length(c) % 5 != 0, c))
+    return headers.normalise(_turn_words(t).withColumn("cells", filled), ["conv_id", "turn"])
 
 
 @query(f"""WITH w AS (SELECT conv_id, turn, lower(unnest({_WORDS})) AS name, generate_subscripts({_WORDS}, 1) - 1 AS pos FROM conversations),
