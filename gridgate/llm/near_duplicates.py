@@ -100,8 +100,8 @@ class IdFilter:
         words = ids.select(places.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
             F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("held"))
         table = np.zeros(IdFilter.BITS // 32, np.uint32)
-        for word, held in words.toLocalIterator():
-            table[word] = held & 0xFFFFFFFF
+        found = words.toArrow()  # at most BITS / 32 rows
+        table[found.column("word").to_numpy()] = (found.column("held").to_numpy() & 0xFFFFFFFF).astype(np.uint32)
         return table
 
 
