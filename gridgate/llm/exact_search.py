@@ -152,11 +152,12 @@ def _to_cells(pivots: np.ndarray):
             if not rows:
                 continue
             sizes = {len(x) for x in rows}
-            cell = np.zeros(len(rows), np.int32)
+            cell, away = np.zeros(len(rows), np.int32), np.full(len(rows), np.inf)
             if sizes == {pivots.shape[1]}:
                 x = np.stack(rows).astype(np.float64)
                 cell = ((x * x).sum(1)[:, None] - 2 * x @ pivots.T + (pivots * pivots).sum(1)).argmin(1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cell), batch.column("v")], ["vec_id", "cell", "v"])
+                away = np.sqrt(((x - pivots[cell]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cell), batch.column("v"), pa.array(away)], ["vec_id", "cell", "v", "away"])
 
     return to_cells
 
@@ -168,8 +169,7 @@ def _build(k: int):
         for row, held in enumerate(frame["ids"]):
             ids[row, :len(held)] = held
         tree = CoverTree(vectors)
-        return pd.DataFrame({"cell": [int(key[0])], "block": [int(key[1])], "tree": [pickle.dumps((tree.packed(), ids[tree.order]))],
-                             "centre": [tree.centres[0].tolist()], "radius": [float(tree.radii[0])]})
+        return pd.DataFrame({"cell": [int(key[0])], "block": [int(key[1])], "tree": [pickle.dumps((tree.packed(), ids[tree.order]))]})
 
     return build
 
@@ -201,7 +201,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _visits(cells: dict[int, tuple[np.ndarray, np.ndarray]]):
-    """The cells that a query tree has to visit: one of their blocks has a bound that reaches its worst k-th score."""
+    """The cells that a query tree has to visit: the ball around their pivot has a bound that reaches its worst k-th score."""
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = sorted(cells)
         if not names:
@@ -240,28 +240,24 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     whole = quantised(vectors, id_col, vector_col, scale)
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(cells, whole.count() * 4 // block))).collect()
     pivots = np.unique(np.array([r.v for r in sample], np.float64).reshape(len(sample), -1), axis=0) if sample else np.zeros((1, 1))
-    placed = staged(whole.mapInArrow(_to_cells(pivots), "vec_id long, cell int, v array<long>"), "vectors")
+    placed = staged(whole.mapInArrow(_to_cells(pivots), "vec_id long, cell int, v array<long>, away double"), "vectors")
     # equal vectors: the k + 1 smallest ids of each, first within slices of ids so that no group meets in one place
     entries = placed
     rank = F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("int")
     part = entries.groupBy("cell", "v", rank.alias("slice")).agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"))
     entries = part.groupBy("cell", "v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
+    covers = {r.cell: (pivots[r.cell], float(r.radius)) for r in sizes.collect()}  # a row per pivot
+    sizes = sizes.drop("radius")
     entries = entries.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / block)).cast("int")).drop("n")
     trees = staged(entries.groupBy("cell", "block").applyInPandas(
-        _build(k), "cell int, block int, tree binary, centre array<double>, radius double"), "trees")
+        _build(k), "cell int, block int, tree binary"), "trees")
     queries = placed.where(is_query).join(F.broadcast(sizes), "cell")
     blocks_of = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / block)).cast("int")
     queries = queries.select("vec_id", "cell", "v", blocks_of.alias("block"),
                              F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / (20 * QUERY_BLOCK))).cast("int").alias("part"))
     nodes = queries.groupBy("cell", "block", "part").applyInPandas(_query_trees(k), "cell int, block int, node string, queries binary")
     met = staged(nodes.join(trees.select("cell", "block", "tree"), ["cell", "block"]).mapInArrow(_meet, "cell int, node string, queries binary"), "queries")
-    reach = trees.groupBy("cell").agg(F.collect_list(F.struct("centre", "radius")).alias("b")).withColumn(
-        "b", F.slice("b", 1, 1 << 20)).select("cell", F.col("b.centre").alias("centre"), F.col("b.radius").alias("radius"))
-    covers = {}
-    for row in reach.toLocalIterator():
-        centre = np.array(row.centre).mean(0)
-        covers[row.cell] = (centre, float(max(np.linalg.norm(np.array(c) - centre) + r for c, r in zip(row.centre, row.radius))))
     home = met.select("cell", "node", "queries")
     ahead = home.mapInArrow(_visits(covers), "cell int, node string, queries binary")
     found = ahead.join(trees.select("cell", "block", "tree"), "cell").mapInArrow(_meet, "cell int, node string, queries binary")
