@@ -31,7 +31,7 @@ SHINGLE_WORDS = 5
 MIN_PERCENT = 75
 SIGNATURE = 128
 TREES = 24
-SMALL_NODE = 64
+SMALL_NODE = 256
 LEVELS = 8
 #: Sketch bits in which a pair may differ. At the threshold 16 of 128 are expected; 41 or more have odds below 1e-7.
 SKETCH_BITS = 40
