@@ -71,7 +71,9 @@ class RollupStore:
         sums, path = sums.where("docs <> 0 or tokens <> 0"), f"{self.path}/batches/{batch_id}"
         if self._exists(f"{path}/_SUCCESS"):
             held = self.spark.read.schema(sums.schema).parquet(path)
-            if not sums.exceptAll(held).isEmpty() or not held.exceptAll(sums).isEmpty():
+            back = held.select(*KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
+            apart = sums.unionByName(back).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+            if not apart.where("docs <> 0 or tokens <> 0").isEmpty():
                 raise ValueError(f"batch {batch_id} was committed with other content")
             return False
         sums.coalesce(1).write.mode("overwrite").parquet(path)
