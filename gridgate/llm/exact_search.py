@@ -120,11 +120,12 @@ def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best)
         q_children, d_children = queries.children[q], data.children[d]
         if not q_children and not d_children:
             a, b = data.ranges[d]
-            rows, scores = np.arange(low, high), queries.points[low:high] @ data.points[a:b].T
-            useful = (scores >= best.scores[low:high, -1:]).any(1)
-            if useful.any():
-                copies = ids.shape[1]
-                best.offer(rows[useful], np.repeat(scores[useful], copies, axis=1), ids[a:b].reshape(1, -1))
+            scores = queries.points[low:high] @ data.points[a:b].T
+            useful = scores >= best.scores[low:high, -1:]
+            rows, points = useful.any(1), np.flatnonzero(useful.any(0))
+            if points.size:
+                point, copy = np.nonzero(ids[a + points] != np.iinfo(np.int64).max)
+                best.offer(low + np.flatnonzero(rows), scores[rows][:, points[point]], ids[a + points[point], copy])
         elif d_children and (not q_children or data.radii[d] >= queries.radii[q]):
             near = data.centres[d_children] @ queries.centres[q]
             stack += [(q, d_children[k]) for k in np.argsort(near).tolist()]  # the most promising is taken first
