@@ -3,16 +3,19 @@
 The base patterns find assignments, access keys and hexadecimal keys. The value of any credential context, also of wider
 words than the base pattern knows, is then priced: the cheapest way to part it into common words, dates, repeats,
 sequences, keyboard walks and brute-force spans gives the guesses that a cracker needs (as log10). Values of wider
-contexts that cost at least `MIN_COST` are added as spans; base spans stay whatever they cost.
+contexts that cost at least `MIN_COST` are added as spans, whatever characters they hold. Base spans stay whatever they cost;
+so do values of base words that the base pattern ends too early, at a character outside its class.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,81 +45,102 @@ KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 LEET = str.maketrans("013457$@", "oieastsa")
 
 MIN_COST = 9.0
-MIN_CHARS = 8
-#: Longer values are priced span by span of this many characters; costs add up.
-SPAN_CHARS = 128
+#: A value that only a blank parts from its context may be prose; there a word in one case costs a pick from 100,000 words.
+PROSE_COST = 5.0
+#: How far back a run may begin besides at its very start, and the longest string whose repeats are priced as such.
+LOOK_BACK = 64
 
 _PATTERNS = [(kind, re.compile(p, re.ASCII), group, least) for kind, p, group, least in BASE]
-_WIDE = re.compile(rf"""(?i:\b({'|'.join(CONTEXT)}))["']?\x20*(?:[:=]\x20*|\x20)["']?([A-Za-z0-9+/_.=@#$%^&*!-]+)""", re.ASCII)
+#: A value up to its closing quote, or as far as the characters of unquoted values go; contexts may overlap.
+_VALUE = r"""(?:"([^"\s]+)"|'([^'\s]+)'|["']?([A-Za-z0-9+/_.=@#$%^&*!-]+))"""
+_FULL = re.compile(rf"""(?i:password|passwd|secret|token|api_?key)(?=["']?\x20*([:=])\x20*{_VALUE})""", re.ASCII)
+_WIDE = re.compile(rf"""(?<![A-Za-z0-9])(?i:{'|'.join(CONTEXT)})(?=["']?\x20*([:=]\x20*|\x20){_VALUE})""", re.ASCII)
 _ASSIGN_WORDS, _WIDE_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key"), tuple(CONTEXT)
 _RANK = {w: k + 1 for k, w in enumerate(COMMON)}
 _LONGEST = max(map(len, COMMON))
+_PROSE = re.compile(r"[A-Za-z]?[a-z]{2,}|[A-Z]{3,}")
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 _NEAR = {(a, b) for row in KEYBOARD for a, b in zip(row, row[1:])} | {
     (a, b) for upper, lower in zip(KEYBOARD, KEYBOARD[1:]) for k, a in enumerate(upper) for b in lower[max(k - 1, 0):k + 1]}
 _NEAR |= {(b, a) for a, b in _NEAR}
 
 
-def _runs(text: str, joins) -> list[tuple[int, int]]:
-    """Maximal stretches, of three characters at least, whose neighbours all `joins`."""
-    out, begin = [], 0
-    for k in range(1, len(text) + 1):
-        if k == len(text) or not joins(text[k - 1], text[k]):
-            if k - begin >= 3:
-                out.append((begin, k))
-            begin = k
-    return out
-
-
 def _alphabet(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses for a value: the cheapest parting into known kinds of spans, each opened at the price of its kind."""
-    total = 0.0
-    for at in range(0, len(value), SPAN_CHARS):
-        total += _span_cost(value[at:at + SPAN_CHARS])
-    return total
+def _run_starts(n: int, joins) -> list[int]:
+    """Per character where its run begins; the characters k - 1 and k of a run join."""
+    out = list(range(n))
+    for k in range(1, n):
+        if joins(k):
+            out[k] = out[k - 1]
+    return out
+
+
+def _periods(value: str) -> dict[int, list[tuple[int, int]]]:
+    """(begin, period) of the longest stretches that say a string of 2 to LOOK_BACK characters again and again, by each of their possible ends."""
+    codes, seen, out = np.frombuffer(value.encode("utf-32-le"), np.uint32), set(), {}
+    for period in range(1, min(len(codes) // 2, LOOK_BACK) + 1):
+        same = np.concatenate(([False], codes[period:] == codes[:-period], [False]))
+        edges = np.flatnonzero(same[1:] != same[:-1]).reshape(-1, 2)
+        for begin, end in (edges[edges[:, 1] - edges[:, 0] >= period] + [0, period]).tolist():
+            if (begin, end) in seen:
+                continue  # repeats of a shorter string
+            seen.add((begin, end))
+            for k in range(begin + 2 * period, end + 1) if period > 1 else ():
+                out.setdefault(k, []).append((begin, period))
+    return out
+
 
+def guess_cost(value: str, prose: bool = False) -> float:
+    """log10 of the guesses for a value: the cheapest parting into known kinds of spans, each opened at the price of its kind.
 
-def _span_cost(value: str) -> float:
+    One dynamic program over the whole value. A span of a run (equal characters, steps, keyboard, repeats) begins where the run
+    does or within the last LOOK_BACK characters.
+    """
     lower, n = value.lower(), len(value)
+    if len(lower) != n:  # some letters become two in lower case
+        lower = "".join(c.lower()[:1] for c in value)
     plain = lower.translate(LEET)
-    ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for end in range(3, n + 1):
+    each = [_alphabet(c) for c in value]
+    before = [0.0, *itertools.accumulate(each)]
+    equal = _run_starts(n, lambda k: lower[k] == lower[k - 1])
+    steps = [_run_starts(n, lambda k: ord(lower[k]) - ord(lower[k - 1]) == step and lower[k].isalnum() and lower[k - 1].isalnum()) for step in (1, -1)]
+    keys = _run_starts(n, lambda k: (lower[k - 1], lower[k]) in _NEAR)
+    turned = [0, *itertools.accumulate(int(0 < k < n - 1 and ord(lower[k + 1]) - ord(lower[k]) != ord(lower[k]) - ord(lower[k - 1])) for k in range(n))]
+    again = _periods(value)
+    words = {m.end(): m.start() for m in _PROSE.finditer(value)} if prose else {}
+    best = [0.0] * (n + 1)
+
+    def begins(start: int, last: int) -> Iterator[int]:
+        near = max(start, last - LOOK_BACK)
+        return itertools.chain((start,) if start < near else (), range(near, last + 1))
+
+    for end in range(1, n + 1):
+        least = best[end - 1] + each[end - 1] - 0.3
         for begin in range(max(0, end - _LONGEST), end - 2):
             for text, extra in ((lower, 0.0), (plain, 0.3)):
                 if rank := _RANK.get(text[begin:end]):
                     upper = 0.3 if value[begin:end] != lower[begin:end] else 0.0
-                    ending[end].append((begin, math.log10(rank + 10) + extra + upper))
+                    least = min(least, best[begin] + math.log10(rank + 10) + extra + upper)
                     break
-    for m in _DATE.finditer(value):
-        ending[m.end()].append((m.start(), math.log10(120) if m.end() - m.start() == 4 else math.log10(365 * 120)))
-    for begin, end in _runs(lower, str.__eq__):
-        ending[end].append((begin, _alphabet(value[begin]) + math.log10(end - begin)))
-    for step in (1, -1):
-        for begin, end in _runs(lower, lambda a, b: ord(b) - ord(a) == step and a.isalnum() and b.isalnum()):
-            ending[end].append((begin, math.log10(20) + math.log10(end - begin)))
-    for begin, end in _runs(lower, lambda a, b: (a, b) in _NEAR):
-        turns = sum((lower[k], lower[k + 1]) in _NEAR and ord(lower[k + 1]) - ord(lower[k]) != ord(lower[k]) - ord(lower[k - 1]) for k in range(begin + 1, end - 1))
-        ending[end].append((begin, math.log10(47 * 4) + math.log10(end - begin) + 0.5 * turns))
-    for period in range(2, n // 2 + 1):  # a word said again and again
-        begin = 0
-        while begin + 2 * period <= n:
-            end = begin + period
-            while end < n and value[end] == value[end - period]:
-                end += 1
-            if end - begin >= 2 * period:
-                ending[end].append((begin, sum(map(_alphabet, value[begin:begin + period])) + math.log10((end - begin) / period)))
-                begin = end - period + 1
-            else:
-                begin += 1
-    best = [0.0] * (n + 1)
-    for end in range(1, n + 1):
-        best[end] = best[end - 1] + _alphabet(value[end - 1])
-        for begin, cost in ending[end]:
-            best[end] = min(best[end], best[begin] + cost + 0.3)
+        if end in words:
+            least = min(least, best[words[end]] + PROSE_COST)
+        if value[end - 1].isdigit():
+            for size in (4, 8, 10):
+                if size <= end and _DATE.fullmatch(value, end - size, end):
+                    least = min(least, best[end - size] + math.log10(120 if size == 4 else 365 * 120))
+        if end - equal[end - 1] >= 3:
+            least = min(least, *(best[k] + each[k] + math.log10(end - k) for k in begins(equal[end - 1], end - 3)))
+        for starts in steps:
+            if end - starts[end - 1] >= 3:
+                least = min(least, *(best[k] + math.log10(20) + math.log10(end - k) for k in begins(starts[end - 1], end - 3)))
+        if end - keys[end - 1] >= 3:
+            least = min(least, *(best[k] + math.log10(47 * 4) + math.log10(end - k) + 0.5 * (turned[end - 1] - turned[k + 1]) for k in begins(keys[end - 1], end - 3)))
+        for start, period in again.get(end, ()):
+            least = min(least, *(best[k] + before[k + period] - before[k] + math.log10((end - k) / period) for k in begins(start, end - 2 * period)))
+        best[end] = min(best[end - 1] + each[end - 1], least + 0.3)
     return best[n]
 
 
@@ -129,10 +153,18 @@ def find(text: str, min_cost: float = MIN_COST) -> list[tuple[int, int, str, flo
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
                 out.append((m.start(), order, m.end(), kind, guess_cost(m[group])))
+    if any(w in lower for w in _ASSIGN_WORDS):
+        taken = {start: end for start, _, end, kind, _ in out if kind == "assign"}
+        for m in _FULL.finditer(text):
+            group = m.lastindex
+            if m.end(group) - m.start(group) >= BASE[0][3] and taken.get(m.start(), 0) < m.end(group):
+                out.append((m.start(), len(_PATTERNS), m.end(group), "guess", guess_cost(m[group])))
     if any(w in lower for w in _WIDE_WORDS):
         for m in _WIDE.finditer(text):
-            if m.end(2) - m.start(2) >= MIN_CHARS and (cost := guess_cost(m[2])) >= min_cost and any(c.isdigit() for c in m[2]):
-                out.append((m.start(), len(_PATTERNS), m.end(), "guess", cost))
+            group = m.lastindex
+            bare = m[1] == " " and text[m.start(group) - 1] == " "
+            if (cost := guess_cost(m[group], bare)) >= min_cost:
+                out.append((m.start(), len(_PATTERNS), m.end(group), "guess", cost))
     return [(start, end, kind, cost) for start, _, end, kind, cost in sorted(out)]
 
 

@@ -129,6 +129,22 @@ def test_guess_costs():
     assert cost("x" * 5000) < 200 and cost("") == 0
 
 
+def test_whole_secret_values(spark):
+    texts = {'password: "Tr#7vQ!9zLx2" on': '[SECRET]" on', "password = P@ssw0rd!2024x": "[SECRET]", "password=Secret12#rest9of;": "[SECRET];",
+             "DB_PWD=kTz#vQwLx!m": "DB_[SECRET]", "user_pwd: kTzvQwLxmRb": "user_[SECRET]", 'token: "a(4)x;Z~9é"': '[SECRET]"',
+             '"aws_access_key": "wJalrXUtnFEMIKKMDENGbPx"': '"aws_[SECRET]"', "auth: bearer dGhpcyBpcyBhbm90aGVy": "auth: [SECRET]",
+             "auth middleware, pin connector, token embeddings": None, "pin: 1234 pwd: qwertyqwerty": None}
+    rows = [(k, text, "en", "a", len(text)) for k, text in enumerate(texts)]
+    got = {r.doc_id: r.text for r in secrets.mask_secrets(frame(spark, rows)).collect()}
+    assert got == {k: want or text for k, (text, want) in enumerate(texts.items())}
+
+
+def test_guess_costs_of_long_values():
+    cost, block = secrets.guess_cost, "k9Zq#xv2LpWm8RtYb4"
+    assert cost("x" * 120 + "password" + "x" * 120) < 12 and cost(block * 40) < cost(block) + 3
+    assert cost("19119990101") < cost("191") + cost("19990101") + 1 and cost("k9" * 100000) < 12
+
+
 def test_patience_alignment():
     text, template = "a x b c d y e".split(), "a b c z d e".split()
     pairs = licenses.matched_pairs(text, template)
