@@ -3,8 +3,8 @@
 A window is `words` consecutive words of an item; an item of fewer words, but not none, is one window. Words are runs of
 digits, ASCII letters (A-Z lower-cased) and characters beyond ASCII. Each task cuts its documents into shards of
 bounded size, indexes the whole shard, finds all windows at once, locates them by sampled suffix positions and merges the
-hit words into removal spans. Documents are never shuffled. Items are held in parts of at most `part_windows` windows; a
-larger benchmark is searched in several passes whose spans are merged per document.
+hit words into removal spans. Documents are never shuffled. Items are held in parts of at most `part_windows` windows; each
+shard of a larger benchmark is searched for one part after the other, always in its whole text, before spans are merged.
 """
 
 from __future__ import annotations
@@ -93,25 +93,32 @@ def shard_hits(windows: Windows, hashes: np.ndarray, firsts: np.ndarray) -> tupl
     return word_of[index.locate(rows)], windows.lengths[which], which
 
 
+def _parts(held: list) -> Iterator[Windows]:
+    """The windows of each broadcast part; where there are several, a task holds one at a time and reads it again per shard."""
+    for part in held:
+        kept = len(held) == 1 or not hasattr(part, "_path")  # encrypted broadcasts are read in when the task starts
+        yield Windows.of(part.value if kept else part.load_from_path(part._path))
+
+
 def _scan(held, with_texts: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows.of(held.value)
         for table in blocks(batches):
             data, offsets = text_bytes(table.column("text"))
             starts, ends, hashes = word_runs(data, offsets)
             firsts = np.searchsorted(starts, offsets)
-            begin, length, which = shard_hits(windows, hashes, firsts[:-1])
-            doc = owner(firsts, begin) if begin.size else begin
-            # texts without words share a first word; the last of them owns it, which is the one that has words
             edge = np.zeros(len(hashes) + 1, np.int32)
-            np.add.at(edge, begin, 1)
-            np.add.at(edge, begin + length, -1)
+            items: dict[int, set[int]] = {}
+            for windows in _parts(held):
+                begin, length, which = shard_hits(windows, hashes, firsts[:-1])
+                # texts without words share a first word; the last of them owns it, which is the one that has words
+                doc = owner(firsts, begin) if begin.size else begin
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + length, -1)
+                for d, w in set(zip(doc.tolist(), which.tolist())):
+                    items.setdefault(d, set()).update(windows.items[w])
             covered = np.cumsum(edge[:-1]) > 0
             span_start, span_end = runs(covered, firsts)
             span_doc = owner(firsts, span_start) if span_start.size else span_start
-            items: dict[int, set[int]] = {}
-            for d, w in set(zip(doc.tolist(), which.tolist())):
-                items.setdefault(d, set()).update(windows.items[w])
             n = table.num_rows
             per_doc = np.searchsorted(span_doc, np.arange(n + 1))
             base = firsts[:-1]
@@ -145,54 +152,44 @@ def _scan(held, with_texts: bool):
 
 
 def windows_of(benchmark: DataFrame, words: int = WINDOW_WORDS, id_col: str = "item_id",
-               part_windows: int = PART_WINDOWS) -> list[Windows]:
-    """The items' windows, in parts of bounded size. Null and empty items have none."""
+               part_windows: int = PART_WINDOWS) -> Iterator[Windows]:
+    """The items' windows, in parts of bounded size; a longer item lies in several. Null and empty items have none."""
     items = with_text(benchmark, id_col).where(F.length("text") > 0)
-    parts, ids, held, size = [], [], [], 0
+    ids, held, size, n = [], [], 0, 0
     for row in items.toLocalIterator():
         data = np.frombuffer(row.text.encode(), np.uint8)
         _, _, hashes = word_runs(data, np.array([0, len(data)]))
-        ids.append(row.doc_id)
-        held.append(hashes)
-        size += max(1, len(hashes) - words + 1)
-        if size >= part_windows:
-            parts.append(Windows(np.array(ids), held, words))
-            ids, held, size = [], [], 0
-    return [*parts, Windows(np.array(ids, np.int64), held, words)] if ids or not parts else parts
+        at, many = 0, max(1, len(hashes) - words + 1)
+        while at < many:
+            room = min(part_windows - size, many - at)
+            ids.append(row.doc_id)
+            held.append(hashes[at:at + room + words - 1])
+            at, size = at + room, size + room
+            if size == part_windows:
+                yield Windows(np.array(ids), held, words)
+                ids, held, size, n = [], [], 0, n + 1
+    if ids or not n:
+        yield Windows(np.array(ids, np.int64), held, words)
+
+
+def _broadcast(benchmark: DataFrame, words: int, part_windows: int) -> list:
+    """The parts, each sent out before the next is built."""
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(part.packed()) for part in windows_of(benchmark, words, part_windows=part_windows)]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, id_col: str = "doc_id",
          text_col: str = "text", part_windows: int = PART_WINDOWS, cleaned: bool = False) -> DataFrame:
     """Per document: n_words, the removal spans as lists of first and end word, the items found; with `cleaned` the
-    text without those spans (for one part of the benchmark).
+    text without those spans.
 
     Null and empty texts have no words and no spans. Repeated documents and items are treated one by one. An empty
-    benchmark leaves every document clean.
+    benchmark leaves every document clean. The number of parts changes no result.
     """
-    spark = ready(docs.sparkSession)
-    source, parts = with_text(docs, id_col, text_col), windows_of(benchmark, words, part_windows=part_windows)
+    ready(docs.sparkSession)
     schema = "doc_id long, n_words long, first_word array<long>, end_word array<long>, items array<long>"
-    if len(parts) == 1:
-        extra = ", clean_text string" if cleaned else ""
-        return source.mapInArrow(_scan(spark.sparkContext.broadcast(parts[0].packed()), cleaned), schema + extra)
-    if cleaned:
-        for part in parts:  # windows of one pass cannot hide those of another: a removed word was part of a hit
-            raise ValueError("remove spans part by part: call scan(cleaned=True) with one part of the benchmark at a time")
-    found = None
-    for part in parts:
-        hits = source.mapInArrow(_scan(spark.sparkContext.broadcast(part.packed()), False), schema)
-        found = hits if found is None else found.unionByName(hits)
-    merged = found.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list(F.arrays_zip("first_word", "end_word")))).alias("s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    joined = F.expr("""aggregate(s, cast(array() as array<struct<first_word: bigint, end_word: bigint>>), (done, x) ->
-        if(size(done) > 0 and x.first_word <= done[size(done) - 1].end_word,
-           concat(slice(done, 1, size(done) - 1), array(struct(done[size(done) - 1].first_word as first_word,
-                  greatest(done[size(done) - 1].end_word, x.end_word) as end_word))),
-           concat(done, array(x))))""")
-    merged = merged.withColumn("s", joined)
-    return merged.select("doc_id", "n_words", F.col("s.first_word").alias("first_word"),
-                         F.col("s.end_word").alias("end_word"), "items")
+    return with_text(docs, id_col, text_col).mapInArrow(
+        _scan(_broadcast(benchmark, words, part_windows), cleaned), schema + (", clean_text string" if cleaned else ""))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -204,16 +201,13 @@ def digest(found: DataFrame) -> DataFrame:
         (hit > 0).alias("contaminated"))
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, part_windows: int = PART_WINDOWS) -> DataFrame:
     """The documents, with every removal span cut out of the text; all other columns are kept as they are.
 
     A document that had words and has none left is dropped; n_chars follows the text where a span was cut.
     """
-    spark = ready(docs.sparkSession)
-    out = docs
-    for part in windows_of(benchmark, words):
-        out = out.mapInArrow(_cut(spark.sparkContext.broadcast(part.packed()), docs.columns), docs.schema)
-    return out
+    ready(docs.sparkSession)
+    return docs.mapInArrow(_cut(_broadcast(benchmark, words, part_windows), docs.columns), docs.schema)
 
 
 def _cut(held, columns):

@@ -134,6 +134,24 @@ def test_decontamination(spark):
     assert all(clean[r[0]] == r[1] for r in rows if not want[r[0]][4])
 
 
+def test_parts_of_a_benchmark_change_nothing(spark):
+    w = [f"w{k}" for k in range(40)]
+    items = spark.createDataFrame([(1, " ".join(w[:10])), (2, " ".join(w[5:15])), (3, " ".join(w[:2] + w[18:26])), (4, " ".join(w[26:40]))],
+                                  "item_id long, text string").coalesce(1)
+    # w0 w1 and w18... stand together only after a cut of part 1
+    texts = [" ".join(w[:15]), "x " + " ".join(w[:15]) + " y", " ".join(w[:2] + w[:10] + w[18:26]), " ".join(w[26:40]), "none"]
+    rows = [(i, t, "en", "a", len(t)) for i, t in zip((None, None, 7, 7, 8), texts)]
+    docs = frame(spark, rows)
+
+    def results(part):
+        found = decontaminate.scan(docs, items, part_windows=part, cleaned=True).collect()
+        return sorted(map(str, found)), sorted(map(str, decontaminate.remove_spans(docs, items, part_windows=part).collect()))
+
+    whole = results(1_000_000)
+    assert len(whole[0]) == 5 and any("clean_text='x  y'" in r for r in whole[0]) and len(whole[1]) == 3
+    assert results(2) == results(1) == whole
+
+
 def sets_plainly(text):
     words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     return frozenset([tuple(words)] if 0 < len(words) < 5 else [tuple(words[k:k + 5]) for k in range(len(words) - 4)])
