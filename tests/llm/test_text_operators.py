@@ -89,6 +89,17 @@ def test_repeats(spark, seed):
     assert {r.doc_id: tuple(r)[1:5] for r in got.collect()} == removed_plainly(rows)
 
 
+@pytest.mark.parametrize("blocks_of_copies", [1, 2])
+def test_repeats_of_rows_given_twice(spark, blocks_of_copies):
+    rows = documents(3)
+    copies = [r for r in rows if len(r[1] or "") > 100][::3]
+    one = frame(spark, rows, extra=False).coalesce(1)
+    docs = one.union(frame(spark, copies, extra=False).coalesce(1)) if blocks_of_copies == 2 else frame(spark, rows + copies, extra=False).coalesce(1)
+    want = removed_plainly(rows)
+    got = sorted(tuple(r)[:5] for r in repeats.remove_repeats(docs, with_kept=False).collect())
+    assert len(copies) > 5 and got == sorted((r[0], *want[r[0]]) for r in rows + copies)
+
+
 def test_repeat_groups_hold_all_occurrences(spark):
     passage = "the quick brown fox jumps over the lazy dog and runs away from it all the way home"
     rows = [(k, f"{k * 7919} {passage} {k * 104729}", "en", "a", 0) for k in range(5)]
