@@ -2,13 +2,15 @@
 
 A stretch of a text is aligned with a template by its anchors, the words that occur once in both; the longest increasing
 subsequence of their places is kept, and each gap between kept anchors is aligned in the same way, after what is equal
-at its two ends. Coverage is the share of the template's words that are aligned. Stretches are found by the template's telling
-words (those outside a short list of common ones): one ends where the next telling word is far, or would occur more often than
-in the template, so that a notice given twice is found twice.
+at its two ends. Coverage is the share of the template's words that are aligned. Regions to align are found by the template's
+telling words (those outside a short list of common ones), and overlap: the longest ones that hold no telling word more often
+than the template, one from each telling word on, and windows of twice the template's length, which may hold more. Of
+findings that overlap the one of the highest coverage stays, so that a notice given twice is found twice.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -47,6 +49,19 @@ TEMPLATES = {
         "conditions are met:"),
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software."),
 }
 #: Words that start no stretch.
 COMMON = frozenset("a an and any are as at be but by for from in is it may not of on or see that the this to under version with you your".split())
@@ -97,34 +112,58 @@ class Template:
     def __init__(self, name: str, words: list[int], common: set[int]):
         self.name, self.words = name, words
         self.telling = Counter(w for w in words if w not in common)
-
-    def stretches(self, places: list[int], words: list[int]) -> Iterator[tuple[int, int]]:
-        """First and last place of each stretch among the places of telling words of a text."""
-        seen: Counter = Counter()
-        begin = last = None
-        for place, word in zip(places, words):
-            if word not in self.telling:
-                continue
-            if begin is not None and (place - last > len(self.words) or seen[word] == self.telling[word]):
-                yield begin, last, sum(seen.values())
-                begin, seen = None, Counter()
-            begin = place if begin is None else begin
-            last = place
-            seen[word] += 1
-        if begin is not None:
-            yield begin, last, sum(seen.values())
+        at = [k for k, w in enumerate(words) if w not in common]
+        self.lead, self.trail = (at[0], len(words) - 1 - at[-1]) if at else (0, 0)
+
+    def regions(self, places: list[int], words: list[int], least: int) -> Iterator[tuple[int, int]]:
+        """First and last place of each region that holds `least` telling words, none counted more often than in the template."""
+        n = len(words)
+        for width in (None, 2 * len(self.words)):
+            seen: Counter = Counter()
+            end = held = reached = 0
+            for begin in range(n):
+                end = max(end, begin)
+                while end < n and (end == begin or places[end] - places[end - 1] <= len(self.words)) and (
+                        seen[words[end]] < self.telling[words[end]] if width is None else places[end] - places[begin] < width):
+                    held += seen[words[end]] < self.telling[words[end]]
+                    seen[words[end]] += 1
+                    end += 1
+                spare = seen[words[begin]] > self.telling[words[begin]]
+                if held >= least and (end > reached if width is None else not spare):
+                    yield places[begin], places[end - 1]
+                    reached = end
+                seen[words[begin]] -= 1
+                held -= not spare
 
     def findings(self, text: np.ndarray, places: list[int], words: list[int], coverage: float) -> list[tuple[str, float, int, int, int]]:
-        """(name, coverage, matched words, first word, end word) of each stretch that is covered enough."""
-        out = []
+        """(name, coverage, matched words, first word, end word) of each notice that is covered enough."""
         n, telling = len(self.words), sum(self.telling.values())
-        for first, last, held in self.stretches(places, words):
-            if held + n - telling < coverage * n:
-                continue  # even with every common word it would fall short
-            low = max(0, first - (n - telling) - 2)
-            pairs = matched_pairs(text[low:last + 1 + n - telling + 2].tolist(), self.words)
-            if len(pairs) >= coverage * n:
-                out.append((self.name, len(pairs) / n, len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1))
+        least = max(1, math.ceil(coverage * n - 1e-9) - (n - telling))  # with fewer, even every common word would not do
+        own = [k for k, w in enumerate(words) if w in self.telling]
+        if len(own) < least:
+            return []
+        found: set[tuple[int, int, int]] = set()
+        done: set[tuple[int, int]] = set()
+        whole = (-1, -1)
+        for first, last in self.regions([places[k] for k in own], [words[k] for k in own], least):
+            if (first, last) in done or whole[0] <= first and last < whole[1]:
+                continue  # what lies inside a notice that stands word for word cannot be better
+            done.add((first, last))
+            for before, after in ((self.lead, self.trail), (n - telling + 2, n - telling + 2)):
+                low = max(0, first - before)
+                pairs = matched_pairs(text[low:last + 1 + after].tolist(), self.words)
+                if len(pairs) >= coverage * n:
+                    found.add((len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1))
+                if len(pairs) == n == pairs[-1][0] + 1 - pairs[0][0]:
+                    whole = (low + pairs[0][0], low + pairs[-1][0] + 1)
+                    break
+        kept: list[tuple[int, int]] = []
+        out = []
+        for matched, low, high in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1])):
+            at = bisect_left(kept, (low, high))
+            if (at == 0 or kept[at - 1][1] <= low) and (at == len(kept) or high <= kept[at][0]):
+                kept.insert(at, (low, high))
+                out.append((self.name, matched / n, matched, low, high))
         return out
 
 

@@ -166,6 +166,40 @@ def test_license_scan(spark):
     assert licenses.scan(frame(spark, rows), templates={}).where("size(found) > 0").count() == 0
 
 
+def license_templates():
+    common = {h for w in licenses.COMMON for h in licenses._hashes(w)}
+    return [licenses.Template(name, licenses._hashes(text), common) for name, text in licenses.TEMPLATES.items()]
+
+
+def findings(template, text):
+    places = [k for k, w in enumerate(text) if w in template.telling]
+    return template.findings(np.array(text, np.uint64), places, [text[k] for k in places], licenses.COVERAGE)
+
+
+def test_license_after_any_of_its_words():
+    for t in license_templates():
+        n, other = len(t.words), list(range(1, 40))
+        for word in t.telling:
+            for text, at in (([word, *t.words], 1), ([word, *other[:9], *t.words, word, *other[:5], *t.words, word], 10)):
+                got = [f[1:] for f in findings(t, text)]
+                assert (1.0, n, at, at + n) in got
+                assert len(text) < 2 * n + 5 or sorted(got)[-1] == (1.0, n, n + 16, 2 * n + 16)
+
+
+def test_license_with_words_put_in():
+    grant = next(t for t in license_templates() if t.name == "MIT-grant")
+    for word in grant.telling:
+        half = len(grant.words) // 2
+        got = findings(grant, [*grant.words[:half], word, 5, word, *grant.words[half:]])
+        assert len(got) == 1 and got[0][1] > 0.9
+
+
+def test_license_after_rights_reserved(spark):
+    text = "All rights reserved. " + licenses.TEMPLATES["MIT-grant"]
+    found = licenses.scan(frame(spark, [(1, text, "en", "a", 0)])).collect()[0].found
+    assert [(f.license, f.coverage, f.first_byte, f.end_byte) for f in found] == [("MIT-grant", 1.0, 21, len(text) - 1)]
+
+
 def test_rollup_store(spark, tmp_path):
     docs = frame(spark, documents(2))
     store = token_rollup.RollupStore(spark, str(tmp_path / "store"))
