@@ -1,4 +1,4 @@
-"""The queries op1 to op10: each operator over its whole table, and the SQL that must give the same rows where there is one."""
+"""The queries op1 to op13: each operator over its whole table, and the SQL that must give the same rows where there is one."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import (decontaminate, exact_search, licenses, near_duplicates, packing, quality, repeats, secrets,
+from gridgate.llm import (decontaminate, exact_copies, exact_search, licenses, near_duplicates, packing, quality, repeats, secrets,
                           token_rollup, toxicity)
 from gridgate.llm.common import new_path, ready
 
@@ -125,3 +125,13 @@ def op2_license_scan(spark, table):
                         F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"]))), ",").alias("licenses"),
                         F.coalesce(F.array_max(F.transform("found", lambda x: x["coverage"])), F.lit(0.0)).alias("best_coverage"),
                         F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["license"], x["first_byte"], x["end_byte"])), ",").alias("spans"))
+
+
+@query("""
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+""")
+def op11_exact_dedup(spark, table):
+    """Of equal texts, the row of the largest id stays."""
+    return exact_copies.digest(table("documents"))
