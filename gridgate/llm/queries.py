@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgate.llm import (decontaminate, exact_copies, exact_search, licenses, near_duplicates, packing, quality, repeats, secrets,
-                          token_rollup, toxicity)
+from gridgate.llm import (conversation_repair, decontaminate, exact_copies, exact_search, licenses, near_duplicates, packing, quality, repeats, secrets,
+                          token_rollup, toxicity, whitening)
 from gridgate.llm.common import new_path, ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,15 @@ from documents window same as (partition by coalesce(text, ''))
 def op11_exact_dedup(spark, table):
     """Of equal texts, the row of the largest id stays."""
     return exact_copies.digest(table("documents"))
+
+
+@query()
+def op13_whitening(spark, table):
+    """The first eight whitened components of every vector."""
+    return whitening.components(table("embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query()
+def op12_conversation_repair(spark, table):
+    """What is wrong with every conversation after the damage of the contract, and its cheapest repair."""
+    return conversation_repair.repair_rows(conversation_repair.damaged(table("conversations")))
