@@ -80,6 +80,11 @@ class IntakeConfig:
     timestamp: str | None = None
     source_name_column: bool = False
     batch_size: int = 500
+    #: Quote every value of a dump that is not NULL.
+    quote_all: bool = False
+    #: What ends a statement of a dump; whole_files reads files in which texts hold it.
+    dump_separator: str = ";\n"
+    whole_files: bool = False
     #: Rows of each file that types are inferred from; None takes all of them.
     infer_rows: int | None = None
     rule_options: dict = field(default_factory=dict)
@@ -91,6 +96,7 @@ class IntakeConfig:
             (self.export in FILE_EXPORTS + TABLE_EXPORTS, f"unknown export {self.export!r}"),
             (self.error_mode in ERROR_MODES, f"unknown error_mode {self.error_mode!r}"),
             (self.policy in CONTRACT_POLICIES, f"unknown policy {self.policy!r}"),
+            (bool(self.dump_separator), "dump_separator must not be empty"),
             (self.batch_size > 0, f"batch_size must be positive, got {self.batch_size}"),
             (self.skip_rows >= 0, f"skip_rows must be >= 0, got {self.skip_rows}"),
             (self.skip_cols >= 0, f"skip_cols must be >= 0, got {self.skip_cols}"),

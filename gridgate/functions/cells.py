@@ -15,20 +15,22 @@ def column_letter(index: int) -> str:
     return letters
 
 
+_LETTERS, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789ABCDEFGHIJKLMNOP"
+#: Index of the first column with so many letters; 14 of them hold any bigint.
+_FIRST = [0, *(sum(26 ** k for k in range(1, n)) for n in range(1, 15))]
+
+
 def column_letters(index: Column) -> Column:
-    """Letters of a 0-based column index. Up to three come from one expression each, more from a loop over the digits."""
+    """Letters of a 0-based column index: one or two from one expression each, more as digits of base 26 after those of fewer letters."""
     i = index.cast("long")
     letter = lambda n: F.char(F.lit(65) + n % 26)
     one = letter(i)
     two = F.concat(letter(F.floor(i / 26) - 1), one)
-    j = i - 26
-    three = F.concat(letter(F.floor((j - 26 * 26) / (26 * 26))), letter(F.floor(j / 26)), letter(j))
-    state = F.struct((i + 1).alias("rest"), F.lit("").alias("text"))
-    digit = lambda s: F.struct(
-        F.floor((s["rest"] - 1) / 26).alias("rest"),
-        F.when(s["rest"] > 0, F.concat(F.char(F.lit(65) + (s["rest"] - 1) % 26), s["text"])).otherwise(s["text"]).alias("text"))
-    more = F.aggregate(F.sequence(F.lit(1), F.lit(14)), state, lambda s, _: digit(s), lambda s: s["text"])
-    return (F.when(i < 26, one).when(i < 26 + 26 * 26, two).when(i < 26 + 26 * 26 + 26**3, three).otherwise(more))
+    size, first = F.lit(14), F.lit(_FIRST[14])
+    for n in range(13, 2, -1):
+        size, first = F.when(i < _FIRST[n + 1], n).otherwise(size), F.when(i < _FIRST[n + 1], F.lit(_FIRST[n])).otherwise(first)
+    digits = F.lpad(F.conv((i - first).cast("string"), 10, 26), size, F.lit("0"))
+    return F.when(i < 26, one).when(i < _FIRST[3], two).otherwise(F.translate(digits, _DIGITS, _LETTERS))
 
 
 def cell_address(row: Column, index: Column) -> Column:
@@ -51,5 +53,6 @@ def address_index(address: Column) -> Column:
     return (F.when(F.length(letters) == 1, digit(1))
             .when(F.length(letters) == 2, digit(1) * 26 + digit(2))
             .when(F.length(letters) == 3, digit(1) * 676 + digit(2) * 26 + digit(3))
-            .when(F.length(letters) > 3, F.aggregate(F.split(letters, ""), F.lit(0).cast("bigint"),
-                                                     lambda s, c: s * 26 + F.ascii(c) - 64)) - 1)
+            .when(F.length(letters) > 3, F.conv(F.translate(letters, _LETTERS, _DIGITS), 26, 10).cast("decimal(20,0)")
+                  + sum(F.when(F.length(letters) >= n, 26 ** (n - 1)).otherwise(0).cast("decimal(20,0)") for n in range(2, 15)) + 1) - 1
+            ).cast("bigint")

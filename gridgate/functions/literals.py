@@ -23,13 +23,18 @@ def _quoted(text: Column, dialect: str) -> Column:
     return F.concat(F.lit("'"), body, F.lit("'"))
 
 
-def literal(cell: Column, source: T.DataType, dialect: str, quote_all: bool = False) -> Column:
+def literal(cell: Column, source: T.DataType, dialect: str, quote_all: bool = False, kind: Column | None = None) -> Column:
     """SQL literal of a cell: NULL, bare numbers, dialect booleans, quoted text.
 
     ``quote_all`` quotes every value that is not NULL and escapes backslashes
-    and quotes by doubling.
+    and quotes by doubling. ``kind`` tells numbers and booleans from text in a
+    text column of a typed source.
     """
-    if quote_all:
+    if kind is not None and not quote_all:
+        true = literal(F.lower(cell) == "true", T.BooleanType(), dialect)
+        shown = (F.when(kind.isin("int", "float"), cell).when(kind == "bool", true)
+                 .otherwise(_quoted(cell.cast("string"), dialect)))
+    elif quote_all:
         text = F.replace(F.replace(cell.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
         shown = F.concat(F.lit("'"), text, F.lit("'"))
     elif isinstance(source, T.BooleanType):
@@ -42,7 +47,7 @@ def literal(cell: Column, source: T.DataType, dialect: str, quote_all: bool = Fa
     return F.coalesce(shown, F.lit("NULL"))
 
 
-def tuple_text(columns: list[tuple[Column, T.DataType]], dialect: str, quote_all: bool = False) -> Column:
-    """``(a, b, …)`` of one row."""
-    return F.concat(F.lit("("), F.concat_ws(", ", *[literal(c, t, dialect, quote_all) for c, t in columns]),
+def tuple_text(columns: list[tuple[Column, T.DataType, Column | None]], dialect: str, quote_all: bool = False) -> Column:
+    """``(a, b, …)`` of one row; each column comes with its type and, from a typed source, its kind."""
+    return F.concat(F.lit("("), F.concat_ws(", ", *[literal(c, t, dialect, quote_all, kind) for c, t, kind in columns]),
                     F.lit(")"))

@@ -262,6 +262,7 @@ def moment(low: str, high: str, kind: str, fraction: bool = False,
                 (f"{at} is null", "not_datetime", "'could not parse date/time value'"),
                 ("true", "out_of_range", f"'date out of allowed range [{low[:10]} — {high[:10]}]'")], parsed)
 
+    build.temporal = True
     return build
 
 
@@ -272,6 +273,7 @@ def time_of_day(day_first: bool = False, formats: tuple[str, ...] = ()) -> Rule:
         return _verdict(cell, slots, f"{slots.parsed or clock} is not null", slots.parsed or clock, [
             ("true", "not_time", "'could not parse time value'")], clock)
 
+    build.temporal = True
     return build
 
 

@@ -7,8 +7,10 @@ tables - and never leave Spark.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from gridgate.config import dialect_of
 from gridgate.errors import ConfigurationError
+from gridgate.functions.brackets import leading_group, parts
 from gridgate.functions.names import canonical_type, translated_type
 
 FRAME = "table_name string, ordinal int, col_name string, type_text string, is_key boolean"
@@ -83,6 +86,32 @@ def declared_type(native: T.DataType, dialect: str) -> str:
     return known.get(native.simpleString(), known["string"])
 
 
+# Native type that holds every accepted value of a declared type.
+_NATIVE_OF_GP = {"smallint": "smallint", "smallserial": "smallint", "integer": "int", "serial": "int", "bigint": "bigint", "bigserial": "bigint",
+                 "real": "float", "double precision": "double", "date": "date", "boolean": "boolean"}
+_NATIVE_OF_CH = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "uint8": "smallint", "uint16": "int",
+                 "uint32": "bigint", "uint64": "decimal(20,0)", "float32": "float", "float64": "double", "date": "date", "date32": "date",
+                 "bool": "boolean"}
+
+
+def native_type(type_text: str, dialect: str, otherwise: T.DataType) -> str:
+    """Column type of a new table for a declared type; ``otherwise`` where the declaration leaves it open."""
+    name = " ".join(type_text.lower().split())
+    if m := re.fullmatch(r"nullable\s*\((.+)\)", name):
+        name = m[1]
+    known = (_NATIVE_OF_GP if dialect == "gp" else _NATIVE_OF_CH).get(name)
+    if known:
+        return known
+    if m := re.fullmatch(r"(?:decimal|numeric) ?\( ?(\d+) ?(?:, ?(\d+) ?)?\)", name):
+        precision, scale = int(m[1]), int(m[2] or 0)
+        return f"decimal({precision},{scale})" if scale <= precision <= 38 else "string"
+    if dialect == "gp" and (m := re.fullmatch(r"(character varying|varchar|character|char) ?\( ?(\d+) ?\)", name)):
+        return f"{'varchar' if 'var' in m[1] else 'char'}({m[2]})"
+    if name.startswith(("timestamp", "datetime")):
+        return "timestamp_ntz"
+    return otherwise.simpleString()
+
+
 def contract_of_schema(schema: T.StructType, dialect: str = "gp", keys: Iterable[str] = ()) -> Contract:
     """Contract of a table or frame that already has native types."""
     return Contract.of({f.name.lower(): declared_type(f.dataType, dialect) for f in schema}, dialect, keys)
@@ -92,15 +121,18 @@ def contract_of_table(spark: SparkSession, table: str, dialect: str = "gp") -> C
     """Contract of a catalog table, None when there is no such table."""
     if not spark.catalog.tableExists(table):
         return None
-    return contract_of_schema(spark.table(table).schema, dialect)
+    return contract_of_schema(T.StructType([T.StructField(n, T.DataType.fromDDL(kind)) for n, kind in table_columns(spark, table)]), dialect)
+
+
+def table_columns(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+    """Columns of a table with their types; only DESCRIBE keeps the lengths of char and varchar."""
+    rows = spark.sql(f"DESCRIBE TABLE {table}").collect()
+    return [(r.col_name, r.data_type) for r in takewhile(lambda r: r.col_name and not r.col_name.startswith("#"), rows)]
 
 
 # ---------------------------------------------------------------- DDL corpora
 
-_BALANCED = r"\([^()]*+\)"
-for _ in range(24):  # deeper types are reported, not cut
-    _BALANCED = rf"\((?:[^()]++|{_BALANCED})*+\)"
-_PART = rf"(?:[^,()]++|{_BALANCED})++"
+# First words of parts that declare no column, and type names of several words.
 _GP_CONSTRAINT = r"(?i)^\s*(constraint|primary\s+key|foreign\s+key|unique|check)\b"
 _CH_CONSTRAINT = r"(?i)^\s*(index|projection|constraint)\b"
 _GP_WORDS = ("timestamp without time zone|timestamp with time zone|time without time zone|"
@@ -118,10 +150,8 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
     dialect = dialect_of(dialect)
     clean = F.regexp_replace(F.regexp_replace(F.col(ddl), r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")
     clean = F.translate(clean, "\n\r", "  ")
-    body = F.regexp_extract(clean, rf"({_BALANCED})", 1)
     first_open = F.instr(clean, "(")
-    opens = F.instr(clean, body) == first_open
-    parts = F.regexp_extract_all(F.substring(body, F.lit(2), F.length(body) - 2), F.lit(f"({_PART})"), 1)
+    body = leading_group(F.substring(clean, first_open, F.length(clean)))
     constraint = _GP_CONSTRAINT if dialect == "gp" else _CH_CONSTRAINT
     quote = '"' if dialect == "gp" else "`"
     column = rf"(?U)^\s*{quote}?(\w+){quote}?\s+(.*)$"
@@ -132,31 +162,37 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
             F.when(~part.rlike(constraint), F.lower(F.regexp_extract(part, column, 1))).alias("col_name"),
             (_gp_type(rest) if dialect == "gp" else _ch_type(rest)).alias("type_text"))
 
-    texts = corpus.select(
-        F.col(key), F.coalesce(F.trim(ddl), F.lit("")).alias("_ddl"), first_open.alias("_open"),
-        F.when((body != "") & opens, F.transform(parts, definition)).alias("_defs"), parts.alias("_parts"))
+    texts = corpus.select(F.col(key), F.coalesce(F.trim(ddl), F.lit("")).alias("_ddl"), first_open.alias("_open"), body.alias("_body"))
+    cut = F.when(F.col("_body") != "", parts(F.substring("_body", F.lit(2), F.length("_body") - 2)))
+    texts = texts.withColumn("_parts", cut).withColumn("_defs", F.transform("_parts", definition))
     declared = F.filter("_defs", lambda d: (d.col_name != "") & (d.type_text != ""))
     unknown = F.filter("_parts", lambda p: (F.trim(p) != "") & ~p.rlike(constraint) & ~p.rlike(column))
     status = (F.when(F.col("_ddl") == "", "empty").when(F.col("_open") == 0, "no parentheses")
               .when(F.col("_defs").isNull(), "unbalanced parentheses")
               .when(F.size(declared) == 0, "no columns")
               .when(F.size(unknown) > 0, F.concat(F.lit("unknown part: "), F.trim(F.get(unknown, F.lit(0))))).otherwise("ok"))
-    rows = texts.select(key, status.alias("status"), F.posexplode_outer(declared).alias("_at", "_def"))
+    # Judged below the explode: a status above it would be worked out for every column again.
+    judged = texts.select(key, status.alias("status"), declared.alias("_declared"))
+    rows = judged.select(key, "status", F.posexplode_outer("_declared").alias("_at", "_def"))
     return rows.select(key, "status", (F.col("_at") + 1).alias("ordinal"), "_def.col_name", "_def.type_text")
 
 
+def _with_arguments(name: Column, rest: Column) -> Column:
+    """The name and the balanced group that follows it, if one does."""
+    after = F.ltrim(F.substring(rest, F.length(name) + 1, F.length(rest)))
+    return F.concat(name, leading_group(after))
+
+
 def _gp_type(rest: Column) -> Column:
     text = F.lower(F.trim(rest))
-    words = F.regexp_extract(text, rf"^({_GP_WORDS})\s*({_BALANCED})?", 1)
-    suffix = F.regexp_extract(text, rf"^({_GP_WORDS})\s*({_BALANCED})?", 2)
-    single = F.concat(F.regexp_extract(text, rf"^([^\s(,]+)\s*({_BALANCED})?", 1),
-                      F.regexp_extract(text, rf"^([^\s(,]+)\s*({_BALANCED})?", 2))
-    return F.when(words != "", F.concat(words, suffix)).otherwise(single)
+    words = F.regexp_extract(text, rf"^({_GP_WORDS})(?!\w)", 1)
+    return _with_arguments(F.when(words != "", words).otherwise(F.regexp_extract(text, r"^([^\s(,]+)", 1)), text)
 
 
 def _ch_type(rest: Column) -> Column:
-    token = F.concat(F.regexp_extract(F.trim(rest), rf"^([^\s(,]+)({_BALANCED})?", 1),
-                     F.regexp_extract(F.trim(rest), rf"^([^\s(,]+)({_BALANCED})?", 2))
+    text = F.trim(rest)
+    name = F.regexp_extract(text, r"^([^\s(,]+)", 1)
+    token = F.concat(name, leading_group(F.substring(text, F.length(name) + 1, F.length(text))))
     inner = F.regexp_extract(token, r"^[Nn]ullable\((.+)\)$", 1)
     return F.when(inner != "", inner).otherwise(token)
 
@@ -228,20 +264,21 @@ def head_sample(rows: DataFrame, lineage: list[str], ordinal: str, sample: int =
 
 
 def infer_contract(rows: DataFrame, columns: list[str], dialect: str = "gp", detect: bool = False,
-                   ordinal: str | None = None, first_row: int = 0, sample: int | None = None) -> Contract:
+                   ordinal: str | None = None, first_row: int = 0, sample: int | None = None, kinds: str | None = None) -> Contract:
     """Contract of one frame: one pass, one row of flags comes back.
 
     Native columns bring their kind along. Text columns are text unless
-    ``detect`` asks to read kinds from them. ``sample`` looks only at that many
-    rows from ``first_row`` on, by ``ordinal``.
+    ``detect`` asks to read kinds from them, or ``kinds`` names the column that
+    holds those of every row. ``sample`` looks only at that many rows from
+    ``first_row`` on, by ``ordinal``.
     """
     if sample is not None and ordinal:
         rows = rows.filter(F.col(ordinal) < first_row + sample)
     dialect, flags = dialect_of(dialect), []
     for i, name in enumerate(columns):
         cell, native = F.col(f"`{name}`"), rows.schema[name].dataType
-        if isinstance(native, T.StringType) and detect:
-            seen = kind_of_text(cell)
+        if isinstance(native, T.StringType) and (detect or kinds):
+            seen = F.when(cell.isNotNull(), F.get(kinds, F.lit(i))) if kinds else kind_of_text(cell)
             flags += [F.bool_or(seen == k).alias(f"{i}_{k}") for k in KINDS]
         else:
             own = "str" if isinstance(native, T.StringType) else kind_of_native(native)

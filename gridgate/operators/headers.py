@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgate.functions.names import cleaned_name
 from gridgate.functions.text import stripped
-from gridgate.operators.numbering import rank_within
 
 
 def header_cells(rows: DataFrame, lineage: list[str], cells: str = "cells") -> DataFrame:
@@ -40,16 +39,17 @@ def check(names: DataFrame, lineage: list[str]) -> DataFrame:
 def alignment(found: DataFrame, expected: DataFrame, lineage: list[str]) -> DataFrame:
     """Positions at which two header lists differ; no rows for an aligned file."""
     keys = [*lineage, "pos"]
-    left = found.select(*keys, F.col("name").alias("found_name"))
-    right = expected.select(*keys, F.col("name").alias("expected_name"))
-    return left.join(right, keys, "full_outer").filter(
+    both = found.select(*keys, F.col("name").alias("found_name"), F.lit(None).cast("string").alias("expected_name")).unionByName(
+        expected.select(*keys, F.lit(None).cast("string").alias("found_name"), F.col("name").alias("expected_name")))
+    return both.groupBy(*keys).agg(F.max("found_name").alias("found_name"), F.max("expected_name").alias("expected_name")).filter(
         ~F.col("found_name").eqNullSafe(F.col("expected_name")))
 
 
 def clean_names(headers: DataFrame, lineage: list[str], raw: str = "raw", pos: str = "pos") -> DataFrame:
     """Technical names from display names; a repeated name gets ``_1``, ``_2``, …"""
     cleaned = headers.withColumn("_clean", cleaned_name(F.col(raw)))
-    ranked = rank_within(cleaned, [*lineage, "_clean"], pos, "_nth")
+    # A header fits one row, so a name's repetitions fit one task.
+    ranked = cleaned.withColumn("_nth", F.row_number().over(Window.partitionBy(*lineage, "_clean").orderBy(pos)))
     name = F.when(F.col("_nth") == 1, F.col("_clean")).otherwise(
         F.concat(F.col("_clean"), F.lit("_"), (F.col("_nth") - 1).cast("string")))
     return ranked.select(*lineage, pos, raw, name.alias("col_name"))

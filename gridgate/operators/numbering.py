@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgate.session import staged
@@ -25,18 +25,22 @@ def rank_within(df: DataFrame, keys: list[str], order: str, name: str, width: in
             .drop("_run", "_inside", "_before"))
 
 
-def number_distinct(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Distinct values of a column with their 1-based place in sorted order.
+def number_by(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows with the 1-based place of their value among the distinct values in sorted order.
 
-    The values are sorted into ranges across tasks and staged, which fixes the
-    ranges; the counts per range then turn local places into global ones.
+    The rows are range-partitioned by value, rows of one value over as many partitions as they need, and staged, which fixes the
+    partitions. A window ranks inside a partition; what is added is the number of distinct values in the partitions before, less one
+    for each of them that ends in the value the next one begins with. No value meets its rows by a join.
     """
-    ordered = df.select(column).distinct().repartitionByRange(F.col(column)).sortWithinPartitions(column)
-    placed = staged(ordered.withColumn("_id", F.monotonically_increasing_id()), "values")
-    task = F.shiftright("_id", 33).alias("_task")
-    counts = placed.groupBy(task).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local: Column = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return (placed.select(column, "_id", task).join(F.broadcast(offsets), "_task")
-            .select(column, (F.col("_before") + local + 1).cast("long").alias(name)))
+    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    placed = staged(spread.repartitionByRange(column, "_spread").withColumn("_part", F.spark_partition_id()).drop("_spread"), "ranges")
+    ranked = placed.withColumn(name, F.dense_rank().over(Window.partitionBy("_part").orderBy(column)))
+    order = Window.orderBy("_part")
+    bounds = placed.groupBy("_part").agg(F.min(F.struct(column)).alias("_least"), F.max(F.struct(column)).alias("_most"))
+    counts = placed.groupBy("_part", column).agg(F.lit(1)).groupBy("_part").agg(F.count("*").alias("_n")).join(bounds, "_part")
+    goes_on = F.coalesce(F.lag("_most").over(order).eqNullSafe(F.col("_least")).cast("int"), F.lit(0))
+    counts = counts.select("_part", "_n", goes_on.alias("_shared"))
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.sum("_shared").over(order)
+    offsets = counts.select("_part", before.alias("_before"))
+    return (ranked.join(F.broadcast(offsets), "_part")
+            .withColumn(name, (F.col("_before") + F.col(name)).cast("long")).drop("_part", "_before"))

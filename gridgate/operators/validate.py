@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridgate.functions.cells import column_letter
-from gridgate.functions.rules import FAULT_TYPE, Slots, finding, rule_for
+from gridgate.functions.rules import FAULT_TYPE, Slots, Verdict, finding, rule_for
 from gridgate.functions.text import sql_name, sql_text
 from gridgate.operators.contract import Contract
 
@@ -15,20 +15,43 @@ FAULTS = "_faults"
 KEY_NULL = "'key column is NULL'"
 
 
+def _by_kind(rule, name: str, kind: str, at: int) -> tuple[list[tuple[str, str]], Verdict, dict[str, str]]:
+    """Numbers and booleans of a typed source are judged as such, everything else as text.
+
+    Result: columns to add first, one verdict out of one per kind, and what each
+    kind parses. Fractions are doubles, so a decimal rounds them before it counts
+    digits; integers read the same as text. Dates and times know only text.
+    """
+    cell = sql_name(name)
+    forms = {"": (cell, T.StringType())}
+    if not getattr(rule, "temporal", False):
+        forms |= {"float": (f"_float_{at}", T.DoubleType()), "bool": (f"_bool_{at}", T.BooleanType())}
+    cast = {"float": "double", "bool": "boolean"}
+    natives = [(f"_{k}_{at}", f"case when {kind} = '{k}' then try_cast({cell} as {cast[k]}) end") for k in forms if k]
+    verdicts = {k: rule(c, source, Slots(f"_parsed_{at}{k}", f"_kept_{at}")) for k, (c, source) in forms.items()}
+    text = verdicts.pop("")
+    choose = lambda part: "case " + " ".join(
+        f"when {kind} = '{k}' then {part(v)}" for k, v in verdicts.items()) + f" else {part(text)} end" if verdicts else part(text)
+    parsed = {f"_parsed_{at}{k}": v.parsed for k, v in [("", text), *verdicts.items()] if v.parsed}
+    return natives, Verdict(choose(lambda v: v.value), choose(lambda v: v.fault)), parsed
+
+
 def apply_contract(df: DataFrame, contract: Contract, columns: list[str] | None = None,
-                   options: dict | None = None) -> DataFrame:
+                   options: dict | None = None, kinds: str | None = None) -> DataFrame:
     """Accepted values in place of the raw ones, plus ``_faults``.
 
     A rejected cell becomes NULL. ``_faults`` is NULL for rows without findings,
     so clean rows build no array; else it has one slot per checked column.
     Columns without a declared type pass as they are. A NULL in a key column is
-    a warning; other NULLs are never checked.
+    a warning; other NULLs are never checked. ``kinds`` names an array column
+    with the kind of every text cell, in the order of ``columns``: numbers in it
+    are judged like native ones.
 
     Four projections keep every expression in the plan once: parse, accept,
     judge, gather. Spark runs them as one stage.
     """
     columns = columns or [c.name for c in contract.columns if c.name in df.columns]
-    parsed, accepted, judged, values, faults = [], [], [], {}, []
+    native, parsed, accepted, judged, values, faults = [], [], [], [], {}, []
     for i, name in enumerate(columns):
         spec, cell, fault = contract.spec(name), sql_name(name), f"_fault_{i}"
         slots = Slots(f"_parsed_{i}", f"_kept_{i}")
@@ -40,9 +63,15 @@ def apply_contract(df: DataFrame, contract: Contract, columns: list[str] | None
                 judged.append(F.expr(f"case {key_null} end").alias(fault))
                 faults.append((i, fault))
             continue
-        verdict = rule_for(spec.type_text, contract.dialect, options)(cell, df.schema[name].dataType, slots)
-        if verdict.parsed:
-            parsed.append(F.expr(verdict.parsed).alias(slots.parsed))
+        rule, source = rule_for(spec.type_text, contract.dialect, options), df.schema[name].dataType
+        if kinds and isinstance(source, T.StringType):
+            natives, verdict, needed = _by_kind(rule, name, f"get({sql_name(kinds)}, {i})", i)
+            native += [F.expr(sql).alias(n) for n, sql in natives]
+            parsed += [F.expr(sql).alias(n) for n, sql in needed.items()]
+        else:
+            verdict = rule(cell, source, slots)
+            if verdict.parsed:
+                parsed.append(F.expr(verdict.parsed).alias(slots.parsed))
         accepted.append(F.expr(verdict.value).alias(slots.kept))
         values[name] = F.col(slots.kept).alias(name)
         sql = f"case {key_null} else {verdict.fault} end" if spec.is_key else verdict.fault
@@ -53,7 +82,7 @@ def apply_contract(df: DataFrame, contract: Contract, columns: list[str] | None
              f"then array({', '.join(f for _, f in faults)}) end" if faults
              else f"cast(null as array<{FAULT_TYPE}>)")
     rows = df
-    for step in (parsed, accepted, judged):
+    for step in (native, parsed, accepted, judged):
         rows = rows.select("*", *step) if step else rows
     return rows.select(
         *[values.get(n, F.col(sql_name(n))) for n in df.columns], F.expr(found).alias(FAULTS))

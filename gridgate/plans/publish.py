@@ -11,12 +11,17 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridgate.errors import ConfigurationError
+from gridgate.functions.text import sql_name
+from gridgate.operators.contract import Contract, native_type
 
 Load = Callable[[DataFrame, str], None]
+# Accepted boolean literals by meaning; the literal null is neither.
+TRUE_WORDS, FALSE_WORDS = ("true", "t", "1", "y", "yes", "on"), ("false", "f", "0", "n", "no", "off")
 
 
 def _insert(df: DataFrame, table: str) -> None:
@@ -30,54 +35,76 @@ def _insert(df: DataFrame, table: str) -> None:
     df.select(*row).write.insertInto(table)
 
 
-def append(df: DataFrame, table: str, load: Load = _insert) -> None:
+def create(df: DataFrame, table: str, contract: Contract | None = None) -> None:
+    """An empty table with the columns of ``df``: of the type that the contract declares, else of the frame's own."""
+    declared = contract.types() if contract else {}
+    columns = [f"{sql_name(f.name)} {native_type(declared[f.name], contract.dialect, f.dataType) if f.name in declared else f.dataType.simpleString()}"
+               for f in df.schema]
+    df.sparkSession.sql(f"CREATE TABLE {table} ({', '.join(columns)})")
+
+
+def shaped(df: DataFrame, table: str) -> DataFrame:
+    """Rows whose text columns are cast to the type that the table has for them."""
+    held = {f.name.lower(): f.dataType for f in df.sparkSession.table(table).schema}
+
+    def cast(field: T.StructField) -> Column:
+        cell, wanted = F.col(sql_name(field.name)), held.get(field.name.lower(), field.dataType)
+        if not isinstance(field.dataType, T.StringType) or isinstance(wanted, T.StringType):
+            return cell
+        if isinstance(wanted, T.BooleanType):
+            word = F.lower(F.trim(cell))
+            return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False).alias(field.name)
+        return cell.cast(wanted).alias(field.name)
+
+    return df.select(*[cast(f) for f in df.schema])
+
+
+def append(df: DataFrame, table: str, load: Load = _insert, contract: Contract | None = None) -> None:
     """Create the table if it is missing, then add the rows in one job.
 
-    The rows show up when the job commits. A table made here goes again when
-    the job fails.
+    The rows show up when the job commits. A table made here has the contract's
+    types and goes again when the job fails.
     """
     spark = df.sparkSession
     created = not spark.catalog.tableExists(table)
     if created:
-        df.limit(0).write.saveAsTable(table)
+        create(df, table, contract)
     try:
-        load(df, table)
+        load(shaped(df, table), table)
     except Exception:
         if created:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         raise
 
 
-def replace(df: DataFrame, table: str, load: Load = _insert) -> None:
+def replace(df: DataFrame, table: str, load: Load = _insert, contract: Contract | None = None) -> None:
     """New rows instead of the old ones; schema and properties of the table stay."""
     if not df.sparkSession.catalog.tableExists(table):
-        return append(df, table, load)
+        return append(df, table, load, contract)
     old = f"{table}_old_{uuid.uuid4().hex}"
-    _swap(df, table, old, load, f"CREATE TABLE {{}} LIKE {table}")
+    _swap(df, table, old, load, lambda fresh: df.sparkSession.sql(f"CREATE TABLE {fresh} LIKE {table}"))
     df.sparkSession.sql(f"DROP TABLE {old}")
 
 
-def via_backup(df: DataFrame, table: str, now: datetime | None = None, load: Load = _insert) -> str | None:
+def via_backup(df: DataFrame, table: str, now: datetime | None = None, load: Load = _insert,
+               contract: Contract | None = None) -> str | None:
     """The old table becomes ``<table>_before_YYMMDD_HHMM``, a new one takes its place.
 
     Returns the name of the backup, None when there was no table. The new table
-    has the columns of ``df``.
+    has the columns of ``df`` in the types of the contract.
     """
     backup = f"{table}_before_{(now or datetime.now()).strftime('%y%m%d_%H%M')}"
     had = df.sparkSession.catalog.tableExists(table)
-    _swap(df, table, backup if had else None, load)
+    _swap(df, table, backup if had else None, load, lambda fresh: create(df, fresh, contract))
     return backup if had else None
 
 
-def _swap(df: DataFrame, table: str, old: str | None, load: Load, create: str | None = None) -> None:
+def _swap(df: DataFrame, table: str, old: str | None, load: Load, make: Callable[[str], object]) -> None:
     spark, fresh = df.sparkSession, f"{table}_next_{uuid.uuid4().hex}"
     moved = False
     try:
-        if create:
-            spark.sql(create.format(fresh))
-        else:
-            df.limit(0).write.saveAsTable(fresh)
-        load(df, fresh)
+        make(fresh)
+        load(shaped(df, fresh), fresh)
         if old:
             spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
             moved = True
@@ -92,10 +119,10 @@ def _swap(df: DataFrame, table: str, old: str | None, load: Load, create: str |
 PUBLISH = {"append": append, "truncate_load": replace, "via_backup": via_backup}
 
 
-def publish(df: DataFrame, table: str, mode: str):
+def publish(df: DataFrame, table: str, mode: str, contract: Contract | None = None):
     if mode not in PUBLISH:
         raise ConfigurationError(f"unknown publish mode {mode!r}")
-    return PUBLISH[mode](df, table)
+    return PUBLISH[mode](df, table, contract=contract)
 
 
 # ----------------------------------------------------------------------- JDBC

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgate.config import JVM_CHARSETS
@@ -31,16 +31,19 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", encoding: str = "u
 
 
 def insert_statements(df: DataFrame, columns: list[str], target: str, dialect: str, position: Column,
-                      batch_size: int = 500, keys: list[str] | None = None, quote_all: bool = False) -> DataFrame:
+                      batch_size: int = 500, keys: list[str] | None = None, quote_all: bool = False,
+                      kinds: dict[str, Column] | None = None) -> DataFrame:
     """One ``INSERT`` per batch of ``batch_size`` consecutive rows.
 
+    ``kinds`` gives the kind of the cells of text columns that hold numbers too.
+
     ``position`` is the 0-based place of a row in its file (or in the whole
     frame), without gaps. A batch is the unit of the shuffle, so no file and no
     table gathers in one task.
     """
     keys = keys or []
     types = {f.name: f.dataType for f in df.schema}
-    row = tuple_text([(F.col(f"`{c}`"), types[c]) for c in columns], dialect, quote_all)
+    row = tuple_text([(F.col(f"`{c}`"), types[c], (kinds or {}).get(c)) for c in columns], dialect, quote_all)
     batched = df.select(*keys, F.floor(position / batch_size).alias("batch"),
                         F.struct(position.alias("p"), row.alias("t")).alias("_row"))
     head = f"INSERT INTO {target} ({', '.join(columns)})\n\tVALUES "
@@ -48,10 +51,24 @@ def insert_statements(df: DataFrame, columns: list[str], target: str, dialect: s
         *keys, "batch", F.concat(F.lit(head), F.array_join(F.col("_rows.t"), ",\n\t\t"), F.lit(";")).alias("statement"))
 
 
-def write_dump(statements: DataFrame, path: str, order: list[str], encoding: str = "utf-8",
+def split_statements(df: DataFrame, columns: list[str], target: str, dialect: str, batch_size: int, place: list[str],
+                     quote_all: bool = False, kinds: dict[str, Column] | None = None) -> DataFrame:
+    """Statements in the order of ``place`` (file, split, running id), batches formed inside a split.
+
+    One range exchange by split brings rows into order; numbering a split's rows, forming its batches and sorting them keep to it.
+    """
+    file, split, tick = place
+    ordered = df.repartitionByRange(file, split)
+    position = F.row_number().over(Window.partitionBy(file, split).orderBy(tick)) - 1
+    numbered = ordered.withColumn("_position", position)
+    statements = insert_statements(numbered, columns, target, dialect, F.col("_position"), batch_size, [file, split], quote_all, kinds)
+    return statements.sortWithinPartitions(file, split, "batch")
+
+
+def write_dump(statements: DataFrame, path: str, order: list[str] | None = None, encoding: str = "utf-8",
                mode: str = "errorifexists") -> None:
-    """Statements in batch order, a line end after each."""
-    lines = in_order(statements, order)
+    """Statements in batch order, a line end after each; without ``order`` they are in order already."""
+    lines = in_order(statements, order) if order else statements
     charset = JVM_CHARSETS[encoding.lower()]
     if charset == "UTF-8":
         lines.select("statement").write.mode(mode).text(path)

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from gridgate.config import JVM_CHARSETS
 from gridgate.errors import SourceError
+from gridgate.functions.brackets import deepest, groups, parts
 from gridgate.session import staged
-from gridgate.sources.delimited import Scan
-from gridgate.sources.positions import FILE, ORDINAL, read_lines, retick, with_ordinals, with_split
+from gridgate.sources.delimited import Scan, numbered_scan
+from gridgate.sources.positions import FILE, KINDS, SPLIT, TICK, Reading, read_lines, retick, with_split
 
 # Possessive quantifiers keep the patterns linear and free of recursion on long statements.
 _PLAIN_QUOTED = r"'(?:[^']++|'')*+'"
 _ESCAPED_QUOTED = r"'(?:[^'\\]++|''|\\.)*+'"
-# Parentheses inside a tuple; a tuple that nests deeper makes its piece broken.
-_DEPTH = 12
+# Beyond this depth a pattern would recurse too far; deeper statements are cut by running depth, with the same result.
+_PATTERN_DEPTH = 40
+_COMMA = r"\s*+,?+\s*+"
+# What may follow the tuples of a statement.
+_CLAUSE = r"(?is)^\s*+(?:,\s*+)?(?:$|(?:ON\s+CONFLICT|ON\s+DUPLICATE\s+KEY|RETURNING|SETTINGS)\b)"
 # Escapes of the ch dialect that stand for another character.
 _CONTROL = {"b": "\b", "f": "\f", "r": "\r", "n": "\n", "t": "\t", "0": "\0", "a": "\a", "v": "\v"}
 
@@ -24,11 +28,11 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
               separator: str = ";\n", whole_files: bool = False) -> DataFrame:
     """Statements of dump files, one row each.
 
-    Files split at ``separator``; a piece may still hold several statements. A
-    quoted text that contains the separator leaves pieces with an open quote,
-    marked ``_broken``; ``whole_files`` reads such files in one piece. A piece of
-    which a tuple cannot be read, say one with an open parenthesis, is broken too.
-    Backslashes escape in the ``ch`` dialect only.
+    Files split at ``separator``; a piece may still hold several statements. A statement ends at a semicolon
+    or at the next INSERT. A quoted text that contains the separator leaves pieces with an open quote, marked
+    ``_broken``; ``whole_files`` reads such files in one piece. A statement of which anything but tuples and a
+    known clause follows VALUES, or that names no columns, makes its piece broken too. Parentheses may nest to
+    any depth. Backslashes escape in the ``ch`` dialect only.
     """
     if whole_files:
         files = spark.read.format("binaryFile").load(paths)
@@ -40,29 +44,46 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
     clean = F.when(commented, F.regexp_replace(
         text, F.lit(rf"(?s)({quoted})|--[^\n]*+|/\*.*?\*/"), F.lit("$1"))).otherwise(text)
     head = r"INSERT\s+INTO\s+([^\s(]+)\s*\(([^)]+)\)\s*VALUES\s*+"
-    row = _tuple(dialect)
-    whole = rf"(?is){head}(?:{row}\s*+,?+\s*+)++"
-    statement = F.regexp_extract_all("_clean", F.lit(whole), F.lit(0))
+    whole = rf"(?is){head}(?:[^';iI]++|{quoted}|(?!INSERT\s+INTO\s)[iI])*+"
     pieces = with_split(source).select(FILE, "_split", "_tick", clean.alias("_clean"))
-    unread = F.regexp_replace("_clean", whole, "\x01").rlike("\x01\\s*\\(|" + head)
-    found = pieces.select(FILE, "_split", "_tick", (_open_quote(F.col("_clean"), dialect) | unread).alias("_broken"),
-                          F.explode_outer(statement).alias("_statement")).filter("_broken or _statement is not null")
+    other = F.regexp_replace(F.regexp_replace("_clean", whole, ""), f"(?s){quoted}", "")
+    unread = other.rlike(r"(?is)INSERT\s+INTO\s+[^\s(]+\s*(?:\([^)]*\)\s*)?VALUES\b")
+    found = pieces.select(FILE, "_split", "_tick", (_open_quote(F.col("_clean"), dialect) | unread).alias("_odd"),
+                          F.explode_outer(F.regexp_extract_all("_clean", F.lit(whole), F.lit(0))).alias("_statement")
+                          ).filter("_odd or _statement is not null")
     part = lambda i: F.regexp_extract("_statement", rf"(?is)^{head}", i)
     full = F.lower(F.regexp_replace(part(1), r'[`"\[\]]', ""))
     names = F.transform(F.split(part(2), ","), lambda c: F.btrim(F.lower(c), F.lit(' `"[]\n\r\t')))
     body = F.substring("_statement", F.length(part(0)) + 1, F.length("_statement"))
-    return found.select(
-        FILE, "_split", "_tick", "_broken", full.alias("_full_table"),
-        F.regexp_replace(full, r"^[^.]*\.", "").alias("_table"), names.alias("_names"),
-        F.regexp_extract_all(body, F.lit(f"({row})"), F.lit(1)).alias("_tuples"))
+    read = found.select(FILE, "_split", "_tick", "_odd", full.alias("_full_table"), names.alias("_names"), body.alias("_body")
+                        ).withColumn("_read", _read_tuples(F.col("_body"), dialect))
+    broken = F.col("_odd") | F.coalesce(~F.col("_read.tail").rlike(_CLAUSE) | (F.size("_read.groups") == 0), F.lit(False))
+    return read.select(
+        FILE, "_split", "_tick", broken.alias("_broken"), "_full_table",
+        F.regexp_replace("_full_table", r"^[^.]*\.", "").alias("_table"), "_names", F.col("_read.groups").alias("_tuples"))
 
 
-def _tuple(dialect: str, depth: int = _DEPTH) -> str:
-    """Balanced parentheses with anything quoted inside, nested up to ``depth`` deep."""
-    nested = rf"\((?:[^()']++|{_quoted(dialect)})*+\)"
-    for _ in range(depth):
-        nested = rf"\((?:[^()']++|{_quoted(dialect)}|{nested})*+\)"
-    return nested
+def _tuple(dialect: str, depth: Column) -> Column:
+    """Pattern of balanced parentheses with anything quoted inside, nested ``depth`` deep."""
+    inside = rf"\((?:[^()']++|{_quoted(dialect)}"
+    return F.aggregate(F.sequence(F.lit(2), F.greatest(depth, F.lit(2))), F.lit(rf"{inside})*+\)"), lambda nested, _: F.concat(
+        F.lit(f"{inside}|"), nested, F.lit(r")*+\)")))
+
+
+def _read_tuples(body: Column, dialect: str) -> Column:
+    """``struct<groups, tail>`` of a statement's body: its tuples, and what follows them."""
+    quoted = _quoted(dialect)
+    flat = rf"\((?:[^()']++|{quoted})*+\)"
+
+    def by_pattern(row: Column) -> Column:
+        lead = F.call_function("regexp_extract", body, F.concat(F.lit(f"(?s)^(?:{_COMMA}"), row, F.lit(")*+")), F.lit(0))
+        return F.struct(F.regexp_extract_all(lead, F.concat(F.lit("(?s)"), row), F.lit(0)).alias("groups"),
+                        F.substring(body, F.length(lead) + 1, F.length(body)).alias("tail"))
+
+    depth = deepest(body, quoted)
+    nested = body.rlike(rf"(?s)\((?:[^()']++|{quoted})*+\(")
+    return (F.when(body.isNull(), None).when(~nested, by_pattern(F.lit(flat)))
+            .when(depth <= _PATTERN_DEPTH, by_pattern(_tuple(dialect, depth))).otherwise(groups(body, quoted, _COMMA)))
 
 
 def _open_quote(text: Column, dialect: str) -> Column:
@@ -76,22 +97,24 @@ def _quoted(dialect: str) -> str:
     return _ESCAPED_QUOTED if dialect == "ch" else _PLAIN_QUOTED
 
 
-def dump_rows(dump: DataFrame, dialect: str = "gp", kinds: bool = True) -> DataFrame:
+def dump_rows(dump: DataFrame, dialect: str = "gp") -> DataFrame:
     """One row per tuple: ``items`` as ``struct<kind, text>``, NULL for SQL NULL.
 
-    Pieces marked ``_broken`` keep a row even without a tuple. ``kinds=False``
-    leaves the kinds out when only the text is of interest.
+    Pieces marked ``_broken`` keep a row even without a tuple.
     """
-    item = rf"\s*+({_quoted(dialect)}|(?:[^,'()]++|{_tuple(dialect, _DEPTH - 1)})*+)\s*+(?:,|$)"
+    quoted = _quoted(dialect)
+    item = rf"\s*+({quoted}|(?:[^,'()]++|{quoted})*+)\s*+(?:,|$)"
     rows = dump.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
                        F.explode_outer("_tuples").alias("_t")).filter("_broken or _t is not null")
     body = F.substring("_t", F.lit(2), F.length("_t") - 2)
-    items = F.transform(F.regexp_extract_all(body, F.lit(item), F.lit(1)), lambda raw: _typed(raw, dialect, kinds))
-    return rows.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names", items.alias("items"))
+    nested = body.rlike(rf"(?s)^(?:[^()']++|{quoted})*+\(")
+    raw = F.when(nested, parts(body, quoted)).otherwise(F.regexp_extract_all(body, F.lit(f"(?s){item}"), F.lit(1)))
+    return rows.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
+                       F.transform(raw, lambda word: _typed(word, dialect)).alias("items"))
 
 
-def _typed(raw: Column, dialect: str, kinds: bool) -> Column:
-    """Quoted means text; bare words are NULL, booleans, numbers, or text."""
+def _typed(raw: Column, dialect: str) -> Column:
+    """Quoted means text; bare words are NULL, booleans, integers without plus sign and leading zeros, fractions, or text."""
     word = F.trim(raw)
     quoted = F.startswith(word, F.lit("'"))
     text = F.replace(F.substring(word, F.lit(2), F.length(word) - 2), F.lit("''"), F.lit("'"))
@@ -101,13 +124,13 @@ def _typed(raw: Column, dialect: str, kinds: bool) -> Column:
             plain = F.replace(plain, F.lit("\\" + letter), F.lit(char))
         plain = F.replace(F.regexp_replace(plain, r"\\([^\x01])", "$1"), F.lit("\\\x01"), F.lit("\\"))
         text = F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
-    value = F.when(quoted, text).otherwise(word)
+    whole = word.rlike(r"^[+-]?\d+$")
+    value = F.when(quoted, text).when(whole, F.regexp_replace(F.regexp_replace(word, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")).otherwise(word)
     kind = (F.when(quoted, "str").when(F.upper(word).isin("TRUE", "FALSE"), "bool")
-            .when(word.rlike(r"^[+-]?\d+$"), "int")
+            .when(whole, "int")
             .when(word.rlike(r"^[+-]?(\d+\.\d*|\.\d+|\d+(\.\d*)?[eE][+-]?\d+)$"), "float").otherwise("str"))
     absent = (~quoted & (F.upper(word) == "NULL")) | (value == "")
-    fields = [kind.alias("kind"), value.alias("text")] if kinds else [value.alias("text")]
-    return F.when(~absent, F.struct(*fields))
+    return F.when(~absent, F.struct(kind.alias("kind"), value.alias("text")))
 
 
 def dump_tables(rows: DataFrame) -> DataFrame:
@@ -129,15 +152,21 @@ def first_table(spark: SparkSession, paths, dialect: str = "gp", encoding: str =
 
 def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, dialect: str = "gp",
                      encoding: str = "utf-8", separator: str = ";\n", whole_files: bool = False) -> Scan:
-    """Text cells of one table of a dump; rows of all its statements together.
+    """Cells of one table of a dump, with their kinds; see :func:`open_insert_dump`."""
+    return numbered_scan(open_insert_dump(spark, paths, table, dialect, encoding, separator, whole_files))
+
+
+def open_insert_dump(spark: SparkSession, paths, table: str | None = None, dialect: str = "gp",
+                     encoding: str = "utf-8", separator: str = ";\n", whole_files: bool = False) -> Reading:
+    """Rows of one table of a dump, those of all its statements together.
 
     ``table`` may carry a schema, which is then compared too. Without it the
     first table of the first file is taken. Short tuples are padded with NULL.
-    The statements are taken apart once; counting and reading use staged tuples.
-    Files with a text that crosses the separator, or with a tuple that cannot be
-    read, are listed in ``rejected``.
+    The statements are taken apart once; everything else uses staged tuples.
+    Files with a text that crosses the separator, or with a statement that
+    cannot be read, are listed in ``rejected``.
     """
-    rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect, kinds=False)
+    rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect)
     if table is None:
         wanted = F.col("_table") == first_table(spark, paths, dialect, encoding, separator, whole_files)
     else:
@@ -145,16 +174,16 @@ def scan_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
         wanted = F.col("_full_table" if "." in key else "_table") == key
     wanted = wanted & F.col("items").isNotNull()
     taken = staged(retick(rows.filter(wanted | F.col("_broken")).select(
-        FILE, "_split", "_broken", "_names", F.when(wanted, F.col("items")).alias("items"))), "tuples")
+        FILE, SPLIT, "_broken", "_names", F.when(wanted, F.col("items")).alias("items"))), "tuples")
     mine = taken.filter("items is not null")
     lead = mine.select("_names").first()
     broken = taken.filter("_broken").select(FILE).distinct().withColumn(
-        "reason", F.lit("quoted text contains the statement separator, or a tuple cannot be read"))
+        "reason", F.lit("quoted text contains the statement separator, or something that is no tuple follows VALUES"))
     if lead is None:
         known = [r[0] for r in rows.select("_full_table").distinct().limit(20).collect()]
         raise SourceError(f"table {table!r} not found in the dump; it has {sorted(k for k in known if k)}")
     columns = list(lead._names)
-    placed = with_ordinals(mine, pinned=True)
-    at = lambda i: F.get("items", F.array_position("_names", columns[i]).cast("int") - 1)["text"]
-    cells = [at(i).alias(c) for i, c in enumerate(columns)]
-    return Scan(placed.select(FILE, ORDINAL, *cells), columns, broken, 0, 2)
+    at = lambda c: F.get("items", F.array_position("_names", c).cast("int") - 1)
+    cells = [at(c)["text"].alias(c) for c in columns]
+    kinds = F.array(*[at(c)["kind"] for c in columns]).alias(KINDS)
+    return Reading(mine.select(FILE, SPLIT, TICK, *cells, kinds), columns, row_base=2, typed=True, rejected=broken, pinned=True)

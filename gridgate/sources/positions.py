@@ -1,84 +1,155 @@
-"""Row positions of splittable text files, without a global sort or window.
+"""Row positions of splittable text files, without a global sort or window, and only for the rows that need one.
 
-Spark reads a split in order, so the running id of a task numbers the rows of
-one split. What is missing is the number of rows in the earlier splits of the
-file: one count per split, summed up per file on a frame with one row per split.
+Spark reads a split in order, so the running id of a task numbers the rows of one split. Rows carry file, split and running id
+through the checks and are written once, checked or not. What is missing for a row number is the number of rows in the earlier
+splits of the file: one count per split, taken from the three columns of that copy and summed up per file on a frame with one row
+per split. Only findings, and callers that ask for all numbers, ever meet that frame.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridgate.config import JVM_CHARSETS
 from gridgate.session import staged
 
-FILE, ORDINAL, HEAD = "_file", "_ordinal", "_head"
-_SPLIT, _TICK = "_split", "_tick"
+FILE, ORDINAL, SPLIT, TICK = "_file", "_ordinal", "_split", "_tick"
+#: Kinds of a row's cells in column order, beside the text cells of a source that has typed ones.
+KINDS = "_kinds"
+#: Marks of a row of a delimited file: it reads like the header; its line ends inside a quoted cell.
+HEAD, TORN = "_head", "_torn"
 
 
 def with_split(df: DataFrame) -> DataFrame:
     """Add file, split start and running id to a frame read straight from files."""
     placed = df.select("*", F.col("_metadata.file_path").alias(FILE),
-                       F.col("_metadata.file_block_start").alias(_SPLIT))
+                       F.col("_metadata.file_block_start").alias(SPLIT))
     return retick(placed)
 
 
 def retick(df: DataFrame) -> DataFrame:
     """(Re)start the running id, say after rows were filtered out or exploded."""
-    return df.withColumn(_TICK, F.monotonically_increasing_id())
+    return df.withColumn(TICK, F.monotonically_increasing_id())
+
+
+def split_offsets(ticked: DataFrame, **more) -> DataFrame:
+    """One row per split: first running id, rows in it, rows of the file before it, and ``more`` aggregates.
+
+    The window runs over the splits of one file, not over rows.
+    """
+    counts = ticked.groupBy(FILE, SPLIT).agg(
+        F.min(TICK).alias("_first"), F.count("*").alias("_n"), *[agg.alias(name) for name, agg in more.items()])
+    splits = Window.partitionBy(FILE).orderBy(SPLIT)
+    before = F.coalesce(F.sum("_n").over(splits.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.select("*", before.alias("_before"))
+
+
+def number(rows: DataFrame, offsets: DataFrame, name: str = ORDINAL) -> DataFrame:
+    """Rows with their 0-based position in the file; split and running id go."""
+    return (rows.join(offsets.select(FILE, SPLIT, "_first", "_before"), [FILE, SPLIT])
+            .withColumn(name, F.col("_before") + F.col(TICK) - F.col("_first"))
+            .drop(SPLIT, TICK, "_first", "_before"))
+
+
+def with_ordinals(ticked: DataFrame, name: str = ORDINAL) -> DataFrame:
+    """0-based position of every row in its file.
+
+    ``ticked`` is any narrow, deterministic transformation of a file scan whose last step was :func:`retick`. The source is read
+    once: how it is cut into splits may change between two readings, say when the cluster grows, and ids of one reading would
+    then miss the counts of another.
+    """
+    held = staged(ticked, "lines")
+    return number(held, staged(split_offsets(held), "splits"), name)
 
 
-def split_offsets(ticked: DataFrame, head: Column | None = None) -> DataFrame:
-    """One row per split: first running id, rows of the file before the split.
+@dataclass(frozen=True)
+class Reading:
+    """A source as it is read: lazy rows with file, split, running id and cells, header rows and all.
 
-    With ``head`` every split also carries the first row of its file. The
-    windows run over the splits of one file, not over rows.
+    ``skip_rows`` is the row of the header, None for sources without one; such rows carry ``_head`` and ``_torn``. ``files`` lists
+    the files of the source. ``again`` reads the files of a list by records, where lines are torn by quoted line ends. ``pinned``
+    rows come from a written copy already; ``exact`` ones have their row number as running id.
     """
-    head = F.lit(None).cast("string") if head is None else head
-    counts = ticked.groupBy(FILE, _SPLIT).agg(
-        F.min(_TICK).alias("_first"), F.count("*").alias("_n"), F.min_by(head, _TICK).alias(HEAD))
-    splits = Window.partitionBy(FILE).orderBy(_SPLIT)
-    return counts.select(
-        FILE, _SPLIT, "_first",
-        F.coalesce(F.sum("_n").over(splits.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.first(HEAD).over(splits).alias(HEAD))
-
-
-def with_ordinals(ticked: DataFrame, name: str = ORDINAL, pinned: bool = False) -> DataFrame:
-    """0-based position of every row in its file, see :func:`place`."""
-    return place(ticked, name, pinned=pinned)[0]
-
-
-def place(ticked: DataFrame, name: str = ORDINAL, head: Column | None = None,
-          head_row: int = 0, pinned: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows with their 0-based position in the file, and ``_file, _head`` per file.
-
-    ``ticked`` is any narrow, deterministic transformation of a file scan whose
-    last step was :func:`retick`. With ``head`` the rows also carry ``_head``:
-    that expression for row ``head_row`` of their file.
-
-    The source is read once: rows are staged with their split and running id, and
-    counts and rows both come from that copy. How a source is cut into splits may
-    change between two readings, say when the cluster grows; ids of one reading
-    would then miss the counts of another. ``pinned`` rows are staged already.
-    The offsets are staged too, which shows Spark their true size, so it
-    broadcasts them only when they are small.
+
+    rows: DataFrame
+    columns: list[str]
+    skip_rows: int | None = None
+    skip_cols: int = 0
+    max_row: int | None = None
+    row_base: int = 1
+    typed: bool = False
+    files: DataFrame | None = None
+    rejected: DataFrame | None = None
+    again: Callable[[list[str]], Reading] | None = None
+    pinned: bool = False
+    exact: bool = False
+
+    @property
+    def row(self) -> str:
+        """SQL of the 1-based sheet row."""
+        return f"{ORDINAL} + {self.row_base}"
+
+
+@dataclass(frozen=True)
+class Placed:
+    """Written data rows of a reading, still with split and running id, and what numbers them. ``rejected`` lists files left out."""
+
+    rows: DataFrame
+    offsets: DataFrame | None
+    rejected: DataFrame
+
+    def numbered(self, rows: DataFrame) -> DataFrame:
+        """These rows, or any narrow transformation of them, by number."""
+        return number(rows, self.offsets) if self.offsets is not None else rows.withColumnRenamed(TICK, ORDINAL).drop(SPLIT)
+
+
+HEADER_DIFFERS = "header differs from the first file"
+NO_HEADER = "the file is empty or has only skipped rows"
+OPEN_QUOTE = "a quoted cell is never closed"
+
+
+def settle(reading: Reading, prepare: Callable[[DataFrame], DataFrame] | None = None, label: str = "rows") -> Placed:
+    """Write the prepared rows once; header rows, rows beyond ``max_row`` and files with another header do not come back.
+
+    ``prepare`` keeps file, split, running id and the marks. Header rows are known by their running ids, a few per file, so no
+    row meets its offset here; only ``max_row`` makes rows meet the bounds of their split.
     """
-    if not pinned:
-        ticked = staged(ticked, "lines")
-    offsets = staged(split_offsets(ticked, head if head_row == 0 else None), "splits")
-    if head is not None and head_row > 0:
-        found = _placed(ticked, offsets.drop(HEAD), name).filter(F.col(name) == head_row)
-        offsets = staged(offsets.drop(HEAD).join(found.select(FILE, head.alias(HEAD)), FILE, "left"), "splits")
-    heads = offsets.filter(F.col(_SPLIT) == 0).select(FILE, HEAD)
-    return _placed(ticked, offsets if head is not None else offsets.drop(HEAD), name), heads
-
-
-def _placed(ticked: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
-    return (ticked.join(offsets, [FILE, _SPLIT])
-            .withColumn(name, F.col("_before") + F.col(_TICK) - F.col("_first"))
-            .drop(_SPLIT, _TICK, "_first", "_before"))
+    held = reading.rows if reading.pinned and not prepare else staged(prepare(reading.rows) if prepare else reading.rows, label)
+    if reading.skip_rows is None:
+        return Placed(held, None if reading.exact else staged(split_offsets(held), "splits"), reading.rejected)
+    offsets = staged(split_offsets(held, torn=F.bool_or(TORN), lead=F.min_by(HEAD, TICK)), "splits")
+    skip = reading.skip_rows
+    in_head = offsets.filter(F.col("_before") <= skip).withColumn("_place", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.least(F.col("_n"), skip + 1 - F.col("_before")) - 1)))
+    heads = in_head.select(FILE, (F.col("_first") + F.col("_place")).alias(TICK), (F.col("_before") + F.col("_place")).alias("_at"), "lead")
+    heads = staged(heads, "heads")
+    judged = heads.filter(F.col("_at") == skip)
+    judged = (judged.withColumnRenamed("lead", HEAD) if skip == 0 else judged.drop("lead").join(held.select(TICK, HEAD), TICK)).select(FILE, HEAD)
+    torn = offsets.groupBy(FILE).agg(F.bool_or("torn").alias("torn"))
+    verdict = reading.files.join(torn, FILE, "left").join(judged, FILE, "left")
+    by_records = F.coalesce(F.col("torn"), F.lit(False))
+    reason = (F.when(by_records, F.lit(OPEN_QUOTE) if reading.again is None else F.lit(None))
+              .when(F.col(HEAD).isNull(), NO_HEADER).when(~F.col(HEAD), HEADER_DIFFERS))
+    verdict = staged(verdict.select(FILE, reason.alias("reason"), by_records.alias("torn")).filter("torn or reason is not null"), "files")
+    rejected = verdict.filter("reason is not null").select(FILE, "reason")
+    rows = held.join(heads.select(TICK), TICK, "left_anti")
+    odd = [r.torn for r in verdict.select("torn").distinct().collect()]
+    if odd:
+        rows = rows.join(verdict.select(FILE), FILE, "left_anti")
+    if reading.max_row is not None:
+        last = F.col("_first") + (skip + reading.max_row - F.col("_before"))
+        rows = rows.join(offsets.select(FILE, SPLIT, last.alias("_last")), [FILE, SPLIT]).filter(F.col(TICK) <= F.col("_last")).drop("_last")
+    rows, offsets = rows.drop(HEAD, TORN), offsets.drop("torn", "lead")
+    if True in odd and reading.again is not None:
+        files = [r[0] for r in verdict.filter("torn").select(FILE).collect()]
+        other = settle(reading.again(files), prepare, label)
+        offsets = offsets.join(verdict.filter("torn").select(FILE), FILE, "left_anti").unionByName(other.offsets)
+        return Placed(rows.unionByName(other.rows), offsets, rejected.unionByName(other.rejected))
+    return Placed(rows, offsets, rejected)
 
 
 def read_lines(spark: SparkSession, paths, encoding: str = "utf-8", separator: str | None = None) -> DataFrame:

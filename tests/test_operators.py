@@ -10,7 +10,7 @@ from gridgate.functions.literals import literal
 from gridgate.functions.names import cleaned_name
 from gridgate.operators import contract as contracts
 from gridgate.operators import headers, reports
-from gridgate.operators.numbering import number_distinct, rank_within
+from gridgate.operators.numbering import number_by, rank_within
 from gridgate.operators.project import add_lineage, clean_cells
 
 
@@ -25,11 +25,12 @@ def ranges_of(rows, shown=10):
     return len(rows), len(spans), text, sum(z - a + 1 for a, z in spans[shown:])
 
 
-@pytest.mark.parametrize("width", [1, 2, 5, 1000])
+@pytest.mark.parametrize("width", [1, 64, 128, 1000])
 def test_row_ranges_match_brute_force(spark, width):
     dice = random.Random(width)
     groups = {"dense": list(range(2, 120)), "pairs": [r for r in range(2, 200) if r % 3], "one": [7], "dup": [3, 3, 4, 9, 9],
-              "fixture": [1, 2, 3, 5, 6, 8], "random": [dice.randrange(1, 300) for _ in range(150)], "alternate": list(range(1, 400, 2))}
+              "fixture": [1, 2, 3, 5, 6, 8], "random": [dice.randrange(1, 300) for _ in range(150)], "alternate": list(range(1, 400, 2)),
+              "words": [63, 64, 127, 128, 191, *range(256, 512), 640, 1023, 1024]}
     df = spark.createDataFrame([(g, r) for g, rows in groups.items() for r in rows], "g string, row bigint")
     found = {r.g: (r.n_rows, r.n_ranges, r.ranges, r.hidden_rows) for r in reports.row_ranges(df, ["g"], width=width).collect()}
     assert found == {g: ranges_of(rows) for g, rows in groups.items()}
@@ -41,7 +42,7 @@ def test_ranges_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_rank_within_and_number_distinct(spark):
+def test_rank_within_and_number_by(spark):
     rows = [("hot" if i % 3 else f"k{i % 7}", i * 3) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, o bigint")
     found = {(r.k, r.o): r.n for r in rank_within(df, ["k"], "o", "n", width=50).collect()}
@@ -50,8 +51,17 @@ def test_rank_within_and_number_distinct(spark):
         seen[k] = seen.get(k, 0) + 1
         wanted[k, o] = seen[k]
     assert found == wanted
-    numbers = {r.k: r.n for r in number_distinct(df, "k", "n").collect()}
-    assert numbers == {k: i for i, k in enumerate(sorted({k for k, _ in rows}), 1)}
+    numbered = number_by(df, "k", "n").collect()
+    places = {k: i for i, k in enumerate(sorted({k for k, _ in rows}), 1)}
+    assert sorted((r.k, r.o, r.n) for r in numbered) == sorted((k, o, places[k]) for k, o in rows)
+
+
+def test_number_by_spreads_a_hot_value(spark):
+    df = spark.createDataFrame([(None if i % 50 == 0 else "hot" if i % 3 else f"k{i % 11:02}", i) for i in range(4000)], "k string, o bigint").repartition(8)
+    numbered = number_by(df, "k", "n")
+    assert "Join [k" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    order = [None, *sorted({r.k for r in df.collect() if r.k is not None})]
+    assert {(r.k, r.n) for r in numbered.collect()} == {(k, i) for i, k in enumerate(order, 1)} and numbered.count() == 4000
 
 
 def checked(spark, rows, dtypes, keys=(), schema=None):

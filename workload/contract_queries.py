@@ -59,7 +59,7 @@ def contract_coverage(spark, t):
 _GP_DDL = ("CASE p_partkey % 8 WHEN 6 THEN '' WHEN 7 THEN 'create table t (id int' WHEN 5 THEN 'create table t' ELSE "
            "'CREATE TABLE s.t' || p_partkey || ' ( -- parts, all of them\n  id bigint not null, \"' || upper(replace(p_name, ' ', '_')) "
            "|| '\" character varying(' || p_size || ') default ''x'',\n /* money */ price numeric(' || (p_size + 10) || ', 2) null, "
-           "seen timestamp without time zone, ratio double precision, constraint pk primary key (id))\ndistributed by (id)' END")
+           "seen timestamp without time zone, ratio double precision default ' || repeat('(', p_partkey % 40) || '1' || repeat(')', p_partkey % 40) || ', constraint pk primary key (id))\ndistributed by (id)' END")
 
 
 @query("""WITH p AS (SELECT 't' || p_partkey AS table_name, p_partkey % 8 AS k, lower(replace(p_name, ' ', '_')) AS n, p_size FROM part)
@@ -78,12 +78,12 @@ def contract_from_ddl(spark, t):
 SELECT table_name, CASE WHEN k = 2 THEN 'no columns' ELSE 'ok' END AS status,
   unnest(CASE WHEN k = 2 THEN [NULL] ELSE [1, 2, 3] END) AS ordinal,
   unnest(CASE WHEN k = 2 THEN [NULL] ELSE ['id', n, 'tags'] END) AS col_name,
-  unnest(CASE WHEN k = 2 THEN [NULL] ELSE ['UInt64', 'Decimal(' || (p_size + 2) || ', 2)', 'Array(Tuple(a Int8, b String))'] END)
+  unnest(CASE WHEN k = 2 THEN [NULL] ELSE ['UInt64', 'Decimal(' || (p_size + 2) || ', 2)', repeat('Array(', 30) || 'Tuple(a Int8, b String)' || repeat(')', 30)] END)
     AS type_text FROM p""")
 def contract_from_ch_ddl(spark, t):
     ddl = F.expr("if(p_partkey % 3 = 2, 'CREATE TABLE t (INDEX i id TYPE minmax)', "
                  "concat('CREATE TABLE t (`id` UInt64 CODEC(ZSTD), `', replace(p_name, ' ', '_'), '` Nullable(Decimal(', p_size + 2, "
-                 "', 2)) DEFAULT NULL,\n tags Array(Tuple(a Int8, b String)), INDEX i id TYPE minmax) ENGINE = MergeTree ORDER BY id'))")
+                 "', 2)) DEFAULT NULL,\n tags ', repeat('Array(', 30), 'Tuple(a Int8, b String)', repeat(')', 30), ', INDEX i id TYPE minmax) ENGINE = MergeTree ORDER BY id'))")
     return contracts.parse_ddl(t.part.select(F.concat(F.lit("t"), "p_partkey").alias("table_name"), ddl.alias("ddl")), "ch")
 
 

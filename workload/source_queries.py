@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridgate.config import IntakeConfig
 from gridgate.errors import DataValidationError
-from gridgate.operators.contract import contract_of_table
+from gridgate.operators.contract import contract_from_ddl as contract_of_ddl
+from gridgate.operators.contract import contract_of_table, table_columns
 from gridgate.plans import publish
 from gridgate.plans.load import run_load
 from gridgate.plans.sinks import in_order, insert_statements, write_by_table, write_csv, write_dump
 from gridgate.session import scratch_path
 from gridgate.sources.delimited import scan_delimited
 from gridgate.sources.insert_dump import dump_rows, dump_tables, read_dump, scan_insert_dump
-from gridgate.sources.positions import FILE, ORDINAL
+from gridgate.sources.positions import FILE, KINDS, ORDINAL
 from gridgate.sources.routing import route
 from gridgate.sources.workbook import scan_workbooks
 from workload.books import text_files, workbooks_of
@@ -56,7 +58,7 @@ def scan_quoted_newlines(spark, t):
     """Whole texts with quotes and line ends, written by the CSV sink and read back."""
     path = scratch_path(spark, "documents")
     write_csv(in_order(t.documents.select("doc_id", "text", "lang", "source"), ["doc_id"]), path)
-    return scan_delimited(spark, path, quoted_newlines=True).rows.drop(FILE, ORDINAL)
+    return scan_delimited(spark, path).rows.drop(FILE, ORDINAL)
 
 
 @query("SELECT cast(c_custkey AS varchar) AS c_custkey, c_name, cast(cast(c_acctbal AS decimal(18,2)) AS varchar) AS c_acctbal, "
@@ -113,7 +115,79 @@ def _order_statements(t):
 def scan_insert_dump_rows(spark, t):
     path = scratch_path(spark, "dump")
     write_dump(_order_statements(t), path, ["batch"])
-    return scan_insert_dump(spark, path, "s.orders").rows.drop(FILE, ORDINAL)
+    return scan_insert_dump(spark, path, "s.orders").rows.drop(FILE, ORDINAL, KINDS)
+
+
+@query("""SELECT cast(o_orderkey AS varchar) AS o_orderkey,
+  repeat('f(', cast(o_orderkey % 50 AS int)) || o_orderkey || ', ' || chr(39) || ')' || chr(39) || repeat(')', cast(o_orderkey % 50 AS int)) AS nest,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'a), (b' END AS note FROM orders WHERE o_orderkey % 50 > 0""")
+def scan_nested_tuples(spark, t):
+    """Calls nested up to 49 deep inside tuples, parentheses in texts, clauses behind tuples."""
+    path, quote, deep = scratch_path(spark, "dump"), F.lit("'"), (F.col("o_orderkey") % 50).cast("int")
+    nest = F.concat(F.repeat(F.lit("f("), deep), F.col("o_orderkey"), F.lit(", "), quote, F.lit(")"), quote, F.repeat(F.lit(")"), deep))
+    note = F.when(F.col("o_orderkey") % 3 == 0, F.concat(quote, F.lit("a), (b"), quote)).otherwise(F.lit("null"))
+    clause = F.when(F.col("o_orderkey") % 2 == 0, F.lit(" ON CONFLICT (o_orderkey) DO NOTHING")).otherwise(F.lit(""))
+    write_dump(t.orders.filter(deep > 0).select(F.concat(
+        F.lit("INSERT INTO s.orders (o_orderkey, nest, note) VALUES ("), F.col("o_orderkey"), F.lit(", "), nest, F.lit(", "), note, F.lit(")"),
+        clause, F.lit(";")).alias("statement")), path)
+    return scan_insert_dump(spark, path, "s.orders").rows.drop(FILE, ORDINAL, KINDS)
+
+
+_LINE_DUMP = {"l_orderkey": "l_orderkey", "l_tax": "l_tax", "l_flag": "if(l_linenumber > 3, true, false)", "l_comment": "l_linestatus",
+              "l_mixed": "if(l_linenumber > 3, l_linestatus, null)", "l_none": "cast(null as string)"}
+
+
+def _line_dump(spark, t):
+    """A dump of line items: whole and fractional numbers, booleans, texts, NULLs."""
+    path = scratch_path(spark, "lines") + "/in.sql"
+    rows = t.lineitem.selectExpr(*[f"{sql} as {name}" for name, sql in _LINE_DUMP.items()])
+    write_dump(insert_statements(rows, list(_LINE_DUMP), "s.lines", "gp", F.monotonically_increasing_id(), 200), path, ["batch"])
+    return path
+
+
+@query("""SELECT col_name, kind, count(*) AS cells FROM (SELECT unnest(['l_orderkey', 'l_tax', 'l_flag', 'l_comment', 'l_mixed']) AS col_name,
+  unnest(['int', CASE WHEN l_tax IS NOT NULL THEN 'float' END, 'bool', CASE WHEN l_linestatus IS NOT NULL THEN 'str' END,
+          CASE WHEN l_linenumber > 3 AND l_linestatus IS NOT NULL THEN 'str' END]) AS kind FROM lineitem) WHERE kind IS NOT NULL GROUP BY 1, 2""")
+def scan_dump_kinds(spark, t):
+    """What the cells of a dump are, counted by column."""
+    scan = scan_insert_dump(spark, _line_dump(spark, t))
+    named = F.arrays_zip(F.array(*[F.lit(c) for c in scan.columns]).alias("col_name"), F.col(KINDS).alias("kind"))
+    return scan.rows.select(F.explode(named).alias("x")).select(F.col("x")["col_name"].alias("col_name"), F.col("x")["kind"].alias("kind")).filter(
+        "kind is not null").groupBy("col_name", "kind").agg(F.count("*").alias("cells"))
+
+
+@query("""SELECT unnest(['l_orderkey', 'l_tax', 'l_flag', 'l_comment', 'l_mixed', 'l_none']) AS col_name,
+  unnest([CASE WHEN n > 0 THEN 'bigint' ELSE 'text' END, CASE WHEN taxes > 0 THEN 'decimal(18,6)' ELSE 'text' END,
+          CASE WHEN n > 0 THEN 'boolean' ELSE 'text' END, 'text', 'text', 'text']) AS type_text, n AS rows_written
+  FROM (SELECT count(*) AS n, count(l_tax) AS taxes FROM lineitem)""")
+def infer_run_types(spark, t):
+    """The contract that a run infers from a dump, and the rows that it publishes under it."""
+    run = run_load(spark, IntakeConfig(_line_dump(spark, t), error_mode="coerce", policy="bd", output_dir=scratch_path(spark, "out")))
+    types = F.explode(F.create_map(*[F.lit(x) for pair in run.contract.types().items() for x in pair])).alias("col_name", "type_text")
+    return run.metrics.agg(F.sum("rows_written").alias("rows_written")).select(types, "rows_written")
+
+
+@query("""SELECT '(' || o_orderkey || ', ' || chr(39) || o_orderstatus || chr(39) || ', ' || cast(o_totalprice AS decimal(18,2)) || ', '
+  || CASE WHEN o_orderkey % 4 = 0 THEN 'NULL' ELSE chr(39) || 'it' || chr(39) || chr(39) || 's ' || o_orderpriority || chr(39) END || ')' AS tuple
+  FROM orders""")
+def run_dump_to_dump(spark, t):
+    """A dump through an unchecked run into a dump: numbers stay bare."""
+    path = scratch_path(spark, "dump") + "/in.sql"
+    write_dump(_order_statements(t), path, ["batch"])
+    run = run_load(spark, IntakeConfig(path, output_dir=scratch_path(spark, "out")))
+    return spark.read.text(run.output).select(F.regexp_extract("value", r"^\t(?:VALUES |\t)(\(.*\))[,;]$", 1).alias("tuple")).filter("tuple != ''")
+
+
+@query("SELECT row_number() OVER (ORDER BY c_custkey) AS place, cast(c_custkey AS varchar) AS c_custkey FROM customer")
+def export_order(spark, t):
+    """The rows of a run's files, one file after the other, stand in the order of its input."""
+    inbox = scratch_path(spark, "inbox")
+    write_csv(in_order(t.customer.select(*_COLUMNS), ["c_custkey"]), inbox)
+    back = scan_delimited(spark, run_load(spark, IntakeConfig(inbox, export="csv", output_dir=scratch_path(spark, "out"))).output)
+    sizes = back.rows.groupBy(FILE).agg(F.max(ORDINAL).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return back.rows.join(sizes.select(FILE, before.alias("before")), FILE).select(
+        (F.col("before") + F.col(ORDINAL)).alias("place"), "c_custkey")
 
 
 @query("SELECT cast(doc_id AS varchar) AS doc_id, nullif(text, '') AS text, source FROM documents")
@@ -122,7 +196,7 @@ def scan_dump_texts(spark, t):
     path = scratch_path(spark, "dump")
     rows = t.documents.select("doc_id", "text", "source")
     write_dump(insert_statements(rows, rows.columns, "s.documents", "ch", F.col("doc_id"), 100), path, ["batch"])
-    return scan_insert_dump(spark, path, dialect="ch").rows.drop(FILE, ORDINAL)
+    return scan_insert_dump(spark, path, dialect="ch").rows.drop(FILE, ORDINAL, KINDS)
 
 
 @query("SELECT 'customer' AS table_name, count(*) AS \"rows\", sum(length(c_name))::bigint AS chars FROM customer "
@@ -173,12 +247,32 @@ def _database(spark) -> str:
     return name
 
 
-@query("SELECT unnest([1, 2]) AS load_no, o_orderkey, o_orderstatus FROM orders")
+_ORDER_DDL = ("create table t (load_no smallint, o_orderkey bigint, o_orderstatus char(1), price decimal(18,2), note varchar(40), "
+              "urgent boolean, ordered date)")
+_ORDER_KINDS = "smallint,bigint,char(1),decimal(18,2),varchar(40),boolean,date"
+_DECLARED = ("o_orderkey, o_orderstatus, cast(o_totalprice AS decimal(18,2)) AS price, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS note, "
+             f"o_orderkey % 2 = 0 AS urgent, cast(o_orderdate AS date) AS ordered, '{_ORDER_KINDS}' AS kinds FROM orders")
+
+
+def _declared_orders(t, number):
+    """Orders as text cells, as an unchecked run hands them on."""
+    return t.orders.selectExpr(
+        f"'{number}' as load_no", "cast(o_orderkey as string) as o_orderkey", "o_orderstatus", "cast(cast(o_totalprice as decimal(18,2)) as string) as price",
+        "if(o_orderkey % 4 = 0, null, o_orderpriority) as note", "if(o_orderkey % 2 = 0, 'on', 'F') as urgent", "date_format(o_orderdate, 'yyyy-MM-dd') as ordered")
+
+
+def _with_kinds(spark, table):
+    kinds = ",".join(kind for _, kind in table_columns(spark, table))
+    return spark.table(table).withColumn("kinds", F.lit(kinds)).withColumn("load_no", F.col("load_no").cast("int"))
+
+
+@query(f"SELECT unnest([1, 2]) AS load_no, {_DECLARED}")
 def publish_append(spark, t):
-    table = f"{_database(spark)}.orders"
+    """Two loads of text cells into a table whose types come from DDL."""
+    table, contract = f"{_database(spark)}.orders", contract_of_ddl(spark, _ORDER_DDL, "gp")
     for number in (1, 2):
-        publish.append(t.orders.select(F.lit(number).alias("load_no"), "o_orderkey", "o_orderstatus"), table)
-    return spark.table(table)
+        publish.append(_declared_orders(t, number), table, contract=contract)
+    return _with_kinds(spark, table)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
@@ -189,13 +283,13 @@ def publish_replace(spark, t):
     return spark.table(table)
 
 
-@query("SELECT 'new' AS kept_in, o_orderkey, o_orderstatus FROM orders UNION ALL SELECT 'backup', o_orderkey, 'old' FROM orders")
+@query(f"SELECT 'new' AS kept_in, 2 AS load_no, {_DECLARED} UNION ALL SELECT 'backup', 1, {_DECLARED}")
 def publish_with_backup(spark, t):
-    table = f"{_database(spark)}.orders"
-    publish.append(t.orders.select("o_orderkey", F.lit("old").alias("o_orderstatus")), table)
-    backup = publish.via_backup(t.orders.select("o_orderkey", "o_orderstatus"), table)
-    return spark.table(table).select(F.lit("new").alias("kept_in"), "*").union(
-        spark.table(backup).select(F.lit("backup").alias("kept_in"), "*"))
+    table, contract = f"{_database(spark)}.orders", contract_of_ddl(spark, _ORDER_DDL, "gp")
+    publish.append(_declared_orders(t, 1), table, contract=contract)
+    backup = publish.via_backup(_declared_orders(t, 2), table, contract=contract)
+    return _with_kinds(spark, table).withColumn("kept_in", F.lit("new")).unionByName(
+        _with_kinds(spark, backup).withColumn("kept_in", F.lit("backup")))
 
 
 @query("SELECT 'o_orderkey' AS col_name, 'bigint' AS type_text, 0::bigint AS free FROM orders UNION "
