@@ -9,9 +9,10 @@ there. In expectation a pair at the threshold stays together along one branch pe
 trees miss a pair in a node of depth d with probability (1 - p)**TREES, p = 0.63, 0.47, 0.37, ... for d = 1, 2, 3.
 
 First, each text of a node is compared with the node's smallest one, and links that hold form groups. A node then needs only
-pairs across groups: each text outside its largest group against all of the node. Nodes that are small, or have few such
-texts, are compared so; others go down a level, and at the last level all are compared, so no size is left out. A node of
-one group is done. Compared pairs pass a sketch of 128 minwise bits; links are confirmed on the full sets.
+pairs across groups. Where few texts are outside its largest group, a join compares those with all of the node; other nodes of up to
+`WHOLE_NODE` texts are compared whole, in blocks of `BLOCK` texts, each pair in the first branch that it shares. Larger nodes go down a
+level, and at the last level all are compared, so no size is left out. A node of one group is done. Compared pairs pass a sketch of 256
+minwise values, 4 bits of each; links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -32,13 +33,19 @@ MIN_PERCENT = 75
 SIGNATURE = 128
 TREES = 24
 SMALL_NODE = 256
+#: Nodes up to this size are compared whole as well, in blocks of texts; larger ones go down a level.
+WHOLE_NODE, BLOCK = 16_384, 512
 LEVELS = 8
-#: Sketch bits in which a pair may differ. At the threshold 16 of 128 are expected; 41 or more have odds below 1e-7.
-SKETCH_BITS = 40
+#: Minwise values of a sketch, of each of which 4 bits are kept, in columns of 16 values.
+SKETCH = 256
+COLUMNS = [f"sketch_{i}" for i in range(SKETCH // 16)]
+#: Standard deviations by which a pair at the threshold may fall short of the sketch values it is expected to share: odds of 3e-7.
+DEVIATIONS = 5
 
 _RANDOM = np.random.default_rng(7)
 _MULTIPLY = _RANDOM.integers(1, 2**63, SIGNATURE, dtype=np.uint64) | np.uint64(1)
 _MIX_WORD = [int(x) | 1 for x in _RANDOM.integers(1, 2**63, 64, dtype=np.uint64)]
+_MULTIPLY = np.concatenate([_MULTIPLY, _RANDOM.integers(1, 2**63, SKETCH - SIGNATURE, dtype=np.uint64) | np.uint64(1)])
 
 
 def shingle_sets(table: pa.Table, words: int) -> Iterator[np.ndarray]:
@@ -67,22 +74,23 @@ def _features(words: int):
             sets = list(shingle_sets(table, words))
             sizes = np.array([len(x) for x in sets], np.int64)
             full = np.flatnonzero(sizes)
-            signature = np.zeros((len(sets), SIGNATURE), np.uint64)
+            signature = np.zeros((len(sets), SKETCH), np.uint64)
             one, two = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
             if full.size:
                 flat = np.concatenate(sets)
                 begin = (np.cumsum(sizes) - sizes)[full]
                 one[full] = np.add.reduceat(flat, begin)
                 two[full] = np.add.reduceat(mix(flat), begin)
-                for k in range(SIGNATURE):
+                for k in range(SKETCH):
                     signature[full, k] = np.minimum.reduceat(flat * _MULTIPLY[k], begin)
             signature = mix(signature)
-            bits = np.packbits((signature & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-            tokens = (signature >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            nibbles = (signature & np.uint64(15)).astype(np.uint8)
+            sketch = (nibbles[:, ::2] << np.uint8(4) | nibbles[:, 1::2]).view(np.int64)
+            tokens = (signature[:, :SIGNATURE] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": table.column("doc_id").combine_chunks(), "n_shingles": pa.array(sizes),
                 "set_a": pa.array(one.view(np.int64)), "set_b": pa.array(two.view(np.int64)),
-                "bits_a": pa.array(bits[:, 0].copy()), "bits_b": pa.array(bits[:, 1].copy()),
+                **{name: pa.array(sketch[:, i].copy()) for i, name in enumerate(COLUMNS)},
                 "tokens": pa.ListArray.from_arrays(pa.array(np.arange(0, tokens.size + 1, SIGNATURE), pa.int32()),
                                                    pa.array(tokens.reshape(-1)))})
 
@@ -127,10 +135,92 @@ def _picked(node: int, place: int, odds: int) -> bool:
     return int(mix(np.array([node * 1_000_003 + place + 1], np.uint64))[0] % np.uint64(odds)) == 0
 
 
-def _roots(trees: int, odds: int) -> Column:
-    """The first-level nodes of a text: for each tree and token place that its root picks, a hash with the token."""
-    return F.array(*[F.xxhash64(F.lit(tree), F.lit(place), F.col("tokens")[place])
-                     for tree in range(trees) for place in range(SIGNATURE) if _picked(tree, place, odds)])
+def _root_places(trees: int, odds: int) -> list[tuple[int, int]]:
+    """Tree and token place of every first-level branch; a root that picks no place takes one by its number, so no tree is idle."""
+    picked = [(tree, [place for place in range(SIGNATURE) if _picked(tree, place, odds)]) for tree in range(trees)]
+    return [(tree, place) for tree, places in picked for place in places or [tree * 5 % SIGNATURE]]
+
+
+def _roots(places: list[tuple[int, int]]) -> Column:
+    """The first-level nodes of a text, by branch."""
+    return F.array(*[F.xxhash64(F.lit(tree), F.lit(place), F.col("tokens")[place]) for tree, place in places])
+
+
+def _compared(percent: int, once: bool):
+    """Rows sorted by pair of blocks to the pairs of texts in them that may be linked; `once` counts a pair in its first common branch alone."""
+    most = _most(percent)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(table: pa.Table) -> pa.RecordBatch | None:
+        whole = lambda name: table.column(name).to_numpy()
+        ids, root, size, block, low, high = (whole(n) for n in ("id", "root", "n_shingles", "block", "low", "high"))
+        sketch = np.stack([whole(n).view(np.uint64) for n in COLUMNS], 1)
+        left, right = (np.flatnonzero(block == low), np.flatnonzero(block == high))
+        found = []
+        for start in range(0, len(left), 256):
+            i = left[start:start + 256]
+            apart = root[i][:, None] != root[right]
+            apart &= 100 * np.minimum(size[i][:, None], size[right]) >= percent * np.maximum(size[i][:, None], size[right])
+            if low[0] == high[0]:
+                apart &= ids[i][:, None] < ids[right]
+            x, y = np.nonzero(apart)
+            x, y = i[x], right[y]
+            for part in range(0, len(x), 1 << 18):
+                p, q = x[part:part + (1 << 18)], y[part:part + (1 << 18)]
+                differ = np.zeros(len(p), np.int64)
+                for k in range(len(COLUMNS)):
+                    odd = sketch[p, k] ^ sketch[q, k]
+                    odd |= odd >> np.uint64(2)
+                    odd |= odd >> np.uint64(1)
+                    differ += np.bitwise_count(odd & np.uint64(0x1111111111111111))
+                    if k == len(COLUMNS) // 2 - 1:  # too far apart already
+                        near = differ <= most
+                        p, q, differ = p[near], q[near], differ[near]
+                near = differ <= most
+                found.append((p[near], q[near]))
+        p, q = (np.concatenate(side) for side in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        if once and len(p):
+            branch, done = whole("branch"), whole("done")
+            roots = np.array(table.column("roots").to_pylist(), np.int64)
+            met = (roots[p] == roots[q]) & ((done[p][:, None] >> np.arange(roots.shape[1])) & 1).astype(bool)
+            first = met.argmax(1) == branch[p]
+            p, q = p[first], q[first]
+        if not len(p):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[p], ids[q])), pa.array(np.maximum(ids[p], ids[q]))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("node", "low", "high")], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start == end:
+                    continue
+                if key is not None and key != tuple(keys[start]):
+                    out = pairs(pa.Table.from_batches(held))
+                    held = []
+                    if out is not None:
+                        yield out
+                key = tuple(keys[start])
+                held.append(batch.slice(start, end - start))
+        if held:
+            out = pairs(pa.Table.from_batches(held))
+            if out is not None:
+                yield out
+
+    return run
+
+
+def _within_nodes(members: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Pairs across groups of whole nodes: a node's texts are dealt into blocks by hash, and each pair of blocks is one small table."""
+    blocks_of = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = members.withColumn("parts", blocks_of).withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    met = met.select("node", "low", "high", "block", "id", "root", "n_shingles", *COLUMNS, "branch", "done", "roots")
+    keys = ["node", "low", "high"]
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared(percent, once), "a long, b long")
 
 
 def _children(odds: int) -> Column:
@@ -140,12 +230,23 @@ def _children(odds: int) -> Column:
     return F.filter(chosen, lambda x: x.isNotNull())
 
 
+def _most(percent: int) -> int:
+    """Sketch values in which a pair may differ."""
+    share = percent / 100 + (1 - percent / 100) / 16
+    return int(SKETCH * (1 - share) + DEVIATIONS * (SKETCH * share * (1 - share)) ** 0.5)
+
+
 def _alike(a: str, b: str, percent: int) -> Column:
-    """What every linked pair fulfils: sizes within the ratio, and sketches near enough."""
+    """What every linked pair fulfils: sizes within the ratio, and enough sketch values in common."""
     size_a, size_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    differ = (F.bit_count(F.col(f"{a}.bits_a").bitwiseXOR(F.col(f"{b}.bits_a")))
-              + F.bit_count(F.col(f"{a}.bits_b").bitwiseXOR(F.col(f"{b}.bits_b"))))
-    return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (differ <= SKETCH_BITS)
+    most = _most(percent)
+    differ = F.lit(0)
+    for name in COLUMNS:
+        odd = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
+        odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 2))
+        odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 1)).bitwiseAND(F.lit(0x1111111111111111))
+        differ = differ + F.bit_count(odd)
+    return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (differ <= most)
 
 
 def _confirm(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
@@ -180,7 +281,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
-                    percent: int = MIN_PERCENT, trees: int = TREES, small: int = SMALL_NODE, levels: int = LEVELS) -> DataFrame:
+                    percent: int = MIN_PERCENT, trees: int = TREES, small: int = SMALL_NODE,
+                    largest: int = WHOLE_NODE, levels: int = LEVELS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (it is its own).
 
     Null, empty and blank texts have no shingles and are linked with nothing. Texts of equal sets are linked with each
@@ -189,14 +291,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ready(docs.sparkSession)
     odds = round(SIGNATURE * percent / 100)
     source = with_text(docs, id_col, text_col)
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, bits_a long, bits_b long, tokens array<int>"
+    schema = f"doc_id long, n_shingles long, set_a long, set_b long, {', '.join(f'{c} long' for c in COLUMNS)}, tokens array<int>"
     features = staged(source.mapInArrow(_features(words), schema), "features")
     key = ["set_a", "set_b", "n_shingles"]
     classes = features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("id"))
     classes = staged(classes, "classes")
     reps = features.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    sketches = reps.select("id", "n_shingles", "bits_a", "bits_b")
-    members = reps.select("id", F.explode(_roots(trees, odds)).alias("node"))
+    sketches = reps.select("id", "n_shingles", *COLUMNS)
+    places = _root_places(trees, odds)
+    reps = reps.withColumn("roots", _roots(places))
+    members = reps.select("id", F.posexplode("roots").alias("branch", "node"))
     nodes = members.groupBy("node").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = staged(members.join(nodes, "node"), "members")
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
@@ -205,23 +309,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(_confirm(stars, source, words, percent), "links")
     groups, pairs = staged(components(links), "groups"), None
     for level in range(1, levels + 1):
-        tagged = members.select("id", "node").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        tagged = members.select("id", "branch", "node").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
         sizes = tagged.groupBy("node", "root").agg(F.count("*").alias("n")).groupBy("node").agg(
             F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
         sizes = sizes.select("node", "n", F.col("most.root").alias("main"), (F.col("n") - F.col("most.n")).alias("rest")).where("rest > 0")
         tagged = staged(tagged.join(sizes, "node"), "open")
-        now = F.lit(True) if level == levels else (F.col("n") <= small) | (F.col("rest") <= small)
-        x, y = (tagged.where(now).join(sketches, "id").alias(k) for k in "xy")
-        fresh = (x.join(y.where("root <> main"), F.col("x.node") == F.col("y.node"))
-                 .where((F.col("x.root") != F.col("y.root")) & ((F.col("x.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id")))
-                        & _alike("x", "y", percent))
-                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+        few = (F.col("n") <= small) | (F.col("rest") <= small)
+        whole = ~few & (F.lit(True) if level == levels else F.col("n") <= largest)
+        x, y = (tagged.where(few).join(sketches, "id").alias(k) for k in "xy")
+        across = (F.col("x.root") != F.col("y.root")) & ((F.col("x.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id")))
+        fresh = (x.join(y.where("root <> main"), F.col("x.node") == F.col("y.node")).where(across & _alike("x", "y", percent))
+                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+        large = tagged.where(whole)
+        done = large.groupBy("id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("branch"))).alias("done"))
+        large = large.join(sketches, "id").join(done, "id").join(reps.select("id", "roots"), "id")
+        fresh = fresh.unionByName(_within_nodes(large, percent, level == 1)).distinct()
         fresh = staged(fresh, "alike")
         pairs = fresh if pairs is None else pairs.unionByName(fresh)
-        deep = tagged.where(~now)
+        deep = tagged.where(~few & ~whole)
         if level == levels or deep.isEmpty():
             break
-        members = deep.select("id", "node").join(reps.select("id", "tokens"), "id").select("id", F.explode(_children(odds)).alias("node"))
+        members = deep.select("id", "node").join(reps.select("id", "tokens"), "id").select(
+            "id", F.lit(0).alias("branch"), F.explode(_children(odds)).alias("node"))
     links = staged(links.unionByName(_confirm(pairs.distinct(), source, words, percent)), "links")
     groups = components(links)
     named = classes.join(groups, "id", "left").select(*key, F.coalesce("root", "id").alias("root"))

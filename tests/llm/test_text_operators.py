@@ -1,6 +1,7 @@
 """Repeats, decontamination, near duplicates, packing and their kernels against plain versions."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -192,6 +193,26 @@ def test_near_duplicates(spark, small):
     assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == groups_plainly(rows)
 
 
+@pytest.mark.parametrize("largest,count", [(10_000, 80), (30, 25)])
+def test_pairs_at_the_threshold_among_texts_with_a_passage(spark, monkeypatch, largest, count):
+    """Pairs of 0.75 to 0.77, all of whose texts share two thirds of their words, found in blocks of a node and by branching."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    r = random.Random(8)
+    passage, rows = [f"p{k}" for k in range(60)], []
+    for k in range(count):
+        own = [f"t{k}_{i}" for i in range(40)]
+        rows += [(10 * k, " ".join(passage + own), "en", "a", 0), (10 * k + 3, " ".join(passage + own[:26 + r.randint(0, 1)] + [f"n{k}_{i}" for i in range(9)]), "en", "a", 0)]
+        rows.append((10 * k + 5, " ".join(passage + [f"q{k}_{i}" for i in range(40)]), None, None, 0))
+    rows += [(5000, None, None, None, 0), (5001, "", None, None, 0), (None, " ".join(passage), None, None, 0), rows[0], rows[0], (5002, "long " * 30_000, None, None, 0)]
+    got = near_duplicates.near_duplicates(frame(spark, rows), small=2, largest=largest)
+    want = groups_plainly([row for row in rows if row[0] is not None])
+    assert len({v[1] for v in want.values()}) < len(want) - count // 2
+    found = {x.doc_id: tuple(x)[1:] for x in got.collect() if x.doc_id is not None}
+    linked = [k for k, v in want.items() if not v[2]]
+    assert sum(found[k] == want[k] for k in linked) >= (1 if largest > 1000 else 0.9) * len(linked)
+    assert all(found[k][0] == want[k][0] for k in want) and got.count() == len(rows)
+
+
 def vocabulary():
     return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 
