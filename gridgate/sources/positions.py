@@ -134,21 +134,22 @@ def settle(reading: Reading, prepare: Callable[[DataFrame], DataFrame] | None =
     by_records = F.coalesce(F.col("torn"), F.lit(False))
     reason = (F.when(by_records, F.lit(OPEN_QUOTE) if reading.again is None else F.lit(None))
               .when(F.col(HEAD).isNull(), NO_HEADER).when(~F.col(HEAD), HEADER_DIFFERS))
-    verdict = staged(verdict.select(FILE, reason.alias("reason"), by_records.alias("torn")).filter("torn or reason is not null"), "files")
-    rejected = verdict.filter("reason is not null").select(FILE, "reason")
+    # Files that are odd in some way; their names are part of the listing that the driver holds anyway.
+    odd = [tuple(r) for r in verdict.select(FILE, reason.alias("reason"), by_records.alias("torn")).filter("torn or reason is not null").collect()]
+    session = held.sparkSession
+    rejected = session.createDataFrame([(f, why) for f, why, _ in odd if why], f"{FILE} string, reason string")
     rows = held.join(heads.select(TICK), TICK, "left_anti")
-    odd = [r.torn for r in verdict.select("torn").distinct().collect()]
     if odd:
-        rows = rows.join(verdict.select(FILE), FILE, "left_anti")
+        rows = rows.join(session.createDataFrame([(f,) for f, *_ in odd], f"{FILE} string"), FILE, "left_anti")
     if reading.max_row is not None:
         last = F.col("_first") + (skip + reading.max_row - F.col("_before"))
         rows = rows.join(offsets.select(FILE, SPLIT, last.alias("_last")), [FILE, SPLIT]).filter(F.col(TICK) <= F.col("_last")).drop("_last")
     rows, offsets = rows.drop(HEAD, TORN), offsets.drop("torn", "lead")
-    if True in odd and reading.again is not None:
-        files = [r[0] for r in verdict.filter("torn").select(FILE).collect()]
-        other = settle(reading.again(files), prepare, label)
-        offsets = offsets.join(verdict.filter("torn").select(FILE), FILE, "left_anti").unionByName(other.offsets)
-        return Placed(rows.unionByName(other.rows), offsets, rejected.unionByName(other.rejected))
+    again = [f for f, why, by_records in odd if by_records and not why]
+    if again:
+        other = settle(reading.again(again), prepare, label)
+        mine = offsets.join(session.createDataFrame([(f,) for f in again], f"{FILE} string"), FILE, "left_anti")
+        return Placed(rows.unionByName(other.rows), mine.unionByName(other.offsets), rejected.unionByName(other.rejected))
     return Placed(rows, offsets, rejected)
 
 
