@@ -39,6 +39,8 @@ LEVELS = 8
 #: Minwise values of a sketch, of each of which 4 bits are kept, in columns of 16 values.
 SKETCH = 256
 COLUMNS = [f"sketch_{i}" for i in range(SKETCH // 16)]
+#: Columns that a first look at a pair takes.
+QUICK = 2
 #: Standard deviations by which a pair at the threshold may fall short of the sketch values it is expected to share: odds of 3e-7.
 DEVIATIONS = 5
 
@@ -142,8 +144,14 @@ def _root_places(trees: int, odds: int) -> list[tuple[int, int]]:
 
 
 def _roots(places: list[tuple[int, int]]) -> Column:
-    """The first-level nodes of a text, by branch."""
-    return F.array(*[F.xxhash64(F.lit(tree), F.lit(place), F.col("tokens")[place]) for tree, place in places])
+    """The tokens of a text at the places of the first-level branches; a branch and its token name a node."""
+    return F.array(*[F.col("tokens")[place] for _, place in places])
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sketches are alike."""
+    return (pairs.join(sketches.withColumnRenamed("id", "a").alias("x"), "a").join(sketches.withColumnRenamed("id", "b").alias("y"), "b")
+            .where(_alike("x", "y", percent)).select("a", "b"))
 
 
 def _compared(percent: int, once: bool):
@@ -230,18 +238,18 @@ def _children(odds: int) -> Column:
     return F.filter(chosen, lambda x: x.isNotNull())
 
 
-def _most(percent: int) -> int:
+def _most(percent: int, values: int = SKETCH) -> int:
     """Sketch values in which a pair may differ."""
     share = percent / 100 + (1 - percent / 100) / 16
-    return int(SKETCH * (1 - share) + DEVIATIONS * (SKETCH * share * (1 - share)) ** 0.5)
+    return int(values * (1 - share) + DEVIATIONS * (values * share * (1 - share)) ** 0.5)
 
 
-def _alike(a: str, b: str, percent: int) -> Column:
-    """What every linked pair fulfils: sizes within the ratio, and enough sketch values in common."""
+def _alike(a: str, b: str, percent: int, columns: int = len(COLUMNS)) -> Column:
+    """What every linked pair fulfils: sizes within the ratio, and enough of the values in the first columns of the sketch in common."""
     size_a, size_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    most = _most(percent)
+    most = _most(percent, 16 * columns)
     differ = F.lit(0)
-    for name in COLUMNS:
+    for name in COLUMNS[:columns]:
         odd = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
         odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 2))
         odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 1)).bitwiseAND(F.lit(0x1111111111111111))
@@ -296,17 +304,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["set_a", "set_b", "n_shingles"]
     classes = features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("id"))
     classes = staged(classes, "classes")
-    reps = features.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    sketches = reps.select("id", "n_shingles", *COLUMNS)
     places = _root_places(trees, odds)
-    reps = reps.withColumn("roots", _roots(places))
-    members = reps.select("id", F.posexplode("roots").alias("branch", "node"))
+    reps = features.select(F.col("doc_id").alias("id"), "n_shingles", *COLUMNS, _roots(places).alias("roots"))
+    reps = staged(reps.join(classes.select("id"), "id", "left_semi"), "texts")
+    sketches = reps.select("id", "n_shingles", *COLUMNS)
+    members = reps.select("id", F.posexplode("roots").alias("branch", "token")).select(
+        "id", "branch", F.xxhash64("branch", "token").alias("node"))
     nodes = members.groupBy("node").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = staged(members.join(nodes, "node"), "members")
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    stars = (stars.join(sketches.withColumnRenamed("id", "a").alias("x"), "a").join(sketches.withColumnRenamed("id", "b").alias("y"), "b")
-             .where(_alike("x", "y", percent)).select("a", "b"))
-    links = staged(_confirm(stars, source, words, percent), "links")
+    links = staged(_confirm(_near(stars, sketches, percent), source, words, percent), "links")
     groups, pairs = staged(components(links), "groups"), None
     for level in range(1, levels + 1):
         tagged = members.select("id", "branch", "node").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -316,10 +323,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tagged = staged(tagged.join(sizes, "node"), "open")
         few = (F.col("n") <= small) | (F.col("rest") <= small)
         whole = ~few & (F.lit(True) if level == levels else F.col("n") <= largest)
-        x, y = (tagged.where(few).join(sketches, "id").alias(k) for k in "xy")
+        x, y = (tagged.where(few).join(sketches.select("id", "n_shingles", *COLUMNS[:QUICK]), "id").alias(k) for k in "xy")
         across = (F.col("x.root") != F.col("y.root")) & ((F.col("x.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id")))
-        fresh = (x.join(y.where("root <> main"), F.col("x.node") == F.col("y.node")).where(across & _alike("x", "y", percent))
-                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+        fresh = (x.join(y.where("root <> main"), F.col("x.node") == F.col("y.node")).where(across & _alike("x", "y", percent, QUICK))
+                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+        fresh = _near(fresh, sketches, percent)
         large = tagged.where(whole)
         done = large.groupBy("id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("branch"))).alias("done"))
         large = large.join(sketches, "id").join(done, "id").join(reps.select("id", "roots"), "id")
@@ -329,7 +337,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         deep = tagged.where(~few & ~whole)
         if level == levels or deep.isEmpty():
             break
-        members = deep.select("id", "node").join(reps.select("id", "tokens"), "id").select(
+        members = deep.select("id", "node").join(features.select(F.col("doc_id").alias("id"), "tokens").dropDuplicates(["id"]), "id").select(
             "id", F.lit(0).alias("branch"), F.explode(_children(odds)).alias("node"))
     links = staged(links.unionByName(_confirm(pairs.distinct(), source, words, percent)), "links")
     groups = components(links)
