@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -213,7 +215,7 @@ def _finish(spark: SparkSession, config: IntakeConfig, reading: Reading, placed:
     columns = [c for c in ready.columns if c not in aside]
     path, target = None, f"{config.scheme_name}.{table}"
     if config.export in FILE_EXPORTS:
-        path = scratch_path(spark, "output") if config.output_dir is None else f"{config.output_dir}/{_run_name(spark)}"
+        path = scratch_path(spark, "output") if config.output_dir is None else f"{config.output_dir}/{_run_name(spark, config.source)}"
         _write_files(ready, columns, path, target, config, _open_kinds(reading, contract if outcome else None))
         target = None
     else:
@@ -237,5 +239,9 @@ def _write_files(ready: DataFrame, columns: list[str], path: str, target: str, c
     write_dump(statements, path, encoding=config.encoding_output)
 
 
-def _run_name(spark: SparkSession) -> str:
-    return spark.sql("select date_format(current_timestamp(), 'ddMMyy_HHmmss') t").first().t
+def _run_name(spark: SparkSession, source: str) -> str:
+    """``<stem of the source>_<ddmmyy_HHMMSS>_<token>``: two runs in one second do not meet."""
+    base = source.rstrip("/").rsplit("/", 1)[-1]
+    stem = re.sub(r"[^\w-]+", "", base.rsplit(".", 1)[0]) or "run"
+    stamp = spark.sql("select date_format(current_timestamp(), 'ddMMyy_HHmmss') t").first().t
+    return f"{stem}_{stamp}_{uuid.uuid4().hex[:6]}"

@@ -81,8 +81,11 @@ def write_dump(statements: DataFrame, path: str, order: list[str] | None = None,
 
 def write_reports(reports: DataFrame, path: str, mode: str = "append") -> None:
     """A text file per input file that has errors, in a folder named after it."""
-    named = reports.filter(~F.col("is_valid")).select(
-        F.regexp_replace(F.element_at(F.split("_file", "/"), -1), "%20", "_").alias("source"), "report")
+    base = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), "%20", "_")
+    # Files of one name in several folders: the path's checksum tells them apart. One row per file, so the window is small.
+    shared = F.count("*").over(Window.partitionBy("source")) > 1
+    named = reports.filter(~F.col("is_valid")).select(base.alias("source"), "_file", "report")
+    named = named.withColumn("source", F.when(shared, F.concat("source", F.lit("-"), F.hex(F.crc32("_file")))).otherwise(F.col("source"))).drop("_file")
     named.write.mode(mode).partitionBy("source").text(path)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridgate.errors import HeaderError, SourceError
 from gridgate.functions.text import WHITESPACE
-from gridgate.sources.positions import FILE, HEAD, ORDINAL, SPLIT, TICK, TORN, Reading, read_lines, settle, with_split
+from gridgate.sources.positions import FILE, HEAD, ORDINAL, SPLIT, TICK, TORN, Reading, odd_lines, read_lines, settle, with_split
 from gridgate.sources.records import assemble, torn
 
 
@@ -64,7 +64,7 @@ def open_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
     if not files:
         raise SourceError(f"no files in {paths}")
     tabs = [f.lower().split("?")[0].endswith(".tsv") for f in files]
-    names = _header(spark, files[0], delimiter or _default_delimiter(tabs[0]), encoding, skip_rows)
+    names = _header(spark, unquote(files[0]), delimiter or _default_delimiter(tabs[0]), encoding, skip_rows)
     columns = names[skip_cols:]
     if not columns:
         raise SourceError(f"no columns left after skip_cols={skip_cols}")
@@ -75,12 +75,15 @@ def open_delimited(spark: SparkSession, paths, delimiter: str | None = None, enc
     listed = spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in files], f"{FILE} string")
 
     def reading(some, by_records: bool, listed: DataFrame) -> Reading:
-        lines = with_split(read_lines(spark, some, encoding, "\n" if by_records else None)).select(FILE, SPLIT, TICK, "value")
+        source = read_lines(spark, some, encoding, "\n" if by_records else None)
+        if by_records and encoding.lower().startswith("utf-16") and not source.filter("value is null").isEmpty():
+            source = odd_lines(spark, some, encoding)
+        lines = with_split(source).select(FILE, SPLIT, TICK, "value")
         parts = []
         for mark in delimiters:
             mine = lines if len(delimiters) == 1 else lines.filter(F.lower(FILE).endswith(".tsv") == (mark == "\t"))
             value = F.col("value")
-            rows = assemble(mine, mark) if by_records else mine.withColumn(TORN, torn(value, mark))
+            rows = assemble(mine, mark) if by_records else mine.withColumn(TORN, value.isNull() | torn(value, mark))
             head = F.when((F.col(SPLIT) == 0) & F.contains(F.lower(value), F.lit(_guard(names))), _same(value, names, mark))
             cells = F.from_csv(value, _layout(len(names)), _options(mark)).alias("_cells")
             parts.append(rows.select(FILE, SPLIT, TICK, TORN, F.coalesce(head, F.lit(False)).alias(HEAD), cells).select(

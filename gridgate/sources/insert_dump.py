@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,7 +146,7 @@ def first_table(spark: SparkSession, paths, dialect: str = "gp", encoding: str =
                 separator: str = ";\n", whole_files: bool = False) -> str:
     """Name of the first table of the first file that has one; reads no further."""
     for path in sorted(spark.read.format("binaryFile").load(paths).inputFiles()):
-        lead = read_dump(spark, path, dialect, encoding, separator, whole_files).filter("_table != ''").first()
+        lead = read_dump(spark, unquote(path), dialect, encoding, separator, whole_files).filter("_table != ''").first()
         if lead is not None:
             return lead._table
     raise SourceError("no INSERT statements found")

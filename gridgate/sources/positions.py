@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -157,18 +158,44 @@ def read_lines(spark: SparkSession, paths, encoding: str = "utf-8", separator: s
     """Lines (or pieces between ``separator``) of text files in one ``value`` column.
 
     Charsets other than UTF-8 go through the CSV reader with a separator that
-    cannot occur and without quotes; UTF-16 files cannot be split, one task each.
+    cannot occur and without quotes; those of two bytes a character see
+    :func:`read_wide_lines`.
     """
     charset = JVM_CHARSETS[encoding.lower()]
     if charset in ("UTF-8", "US-ASCII"):
         reader = spark.read.option("lineSep", separator) if separator else spark.read
         return reader.text(paths)
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = (spark.read.schema("value string").option("sep", "\x01").option("quote", "")
-              .option("encoding", charset).option("maxCharsPerColumn", -1)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if charset.startswith("UTF-16"):
-        reader = reader.option("multiLine", True)
-    elif separator:
-        reader = reader.option("lineSep", separator)
-    return reader.csv(paths)
+        return read_wide_lines(spark, paths, charset, separator or "\n")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    reader = _plain_csv(spark, charset)
+    return (reader.option("lineSep", separator) if separator else reader).csv(paths)
+
+
+def _plain_csv(spark: SparkSession, charset: str):
+    return (spark.read.schema("value string").option("sep", "\x01").option("quote", "")
+            .option("encoding", charset).option("maxCharsPerColumn", -1)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def read_wide_lines(spark: SparkSession, paths, charset: str, separator: str = "\n") -> DataFrame:
+    """Lines of UTF-16 files, read split by split: cut at the bytes of the separator, then decoded.
+
+    Without a byte order in its name the charset takes that of the first file's mark, or the higher byte first. The separator's bytes may
+    lie across two characters, U+0Axx before U+xx00; such a piece has an odd number of bytes and is NULL, see :func:`odd_lines`.
+    """
+    if charset == "UTF-16":
+        lead = sorted(spark.read.format("binaryFile").load(paths).inputFiles())
+        mark = spark.read.text(unquote(lead[0])).select(F.substring(F.col("value").cast("binary"), 1, 2)).first() if lead else None
+        charset = "UTF-16LE" if mark and bytes(mark[0]) == b"\xff\xfe" else "UTF-16BE"
+    raw = spark.read.option("encoding", charset).option("lineSep", separator).text(paths)
+    piece = F.col("value").cast("binary")
+    text = F.when(F.length(piece) % 2 == 0, F.decode(piece, charset))
+    text = F.when(F.col("_metadata.file_block_start") == 0, F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
+    return raw.select((F.regexp_replace(text, r"\r$", "") if separator == "\n" else text).alias("value"), "_metadata")
+
+
+def odd_lines(spark: SparkSession, paths, encoding: str) -> DataFrame:
+    """Lines of UTF-16 files in which a character pair looks like a line end: by characters, one task per file."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return _plain_csv(spark, JVM_CHARSETS[encoding.lower()]).option("multiLine", True).csv(paths)

@@ -125,3 +125,35 @@ def test_closed(spark):
     got = assemble(spark.createDataFrame([("f", 0, 5, "a"), ("f", 9, 8, '"b'), ("f", 9, 9, 'c"'), ("f", 20, 30, '"d'), ("f", 40, 50, "e"), ("f", 60, 70, 'f"'), ("f", 60, 71, "g")],
                                          "_file string, _split long, _tick long, value string"), ",")
     assert sorted((r._split, r._tick, r.value) for r in got.collect()) == [(0, 5, "a"), (9, 8, '"b\nc"'), (20, 30, '"d\ne\nf"'), (60, 70, "g")]
+
+
+def test_reports_and_outputs_do_not_collide(spark, tmp_path):
+    from pyspark.sql import Row
+
+    from gridgate.plans.sinks import write_reports
+    write_reports(spark.createDataFrame([Row(_file="/a/in.csv", is_valid=False, report="one"), Row(_file="/b/in.csv", is_valid=False, report="two"),
+                                         Row(_file="/b/x.csv", is_valid=False, report="three"), Row(_file="/b/ok.csv", is_valid=True, report="-")]), str(tmp_path / "r"))
+    folders = sorted(p.name for p in (tmp_path / "r").iterdir() if p.is_dir())
+    assert len(folders) == 3 and folders[-1] == "source=x.csv" and all(f.startswith("source=in.csv-") for f in folders[:2])
+    (tmp_path / "sales 1.csv").write_text("id\n1\n")
+    runs = [run_load(spark, IntakeConfig(str(tmp_path / "sales 1.csv"), export="csv", output_dir=str(tmp_path / "out"))).output for _ in range(2)]
+    assert runs[0] != runs[1] and all(r.rsplit("/", 1)[-1].startswith("sales1_") for r in runs)
+
+
+@pytest.mark.parametrize("encoding", ["utf-16", "utf-16-le", "utf-16-be"])
+def test_utf_16_in_several_tasks(spark, tmp_path, tiny_splits, encoding):
+    text = "id,имя\r\n" + "".join(f"{i},Пётр {i}\r\n" if i % 7 else "\n" for i in range(60))
+    (tmp_path / "in.csv").write_bytes(text.encode(encoding))
+    lines = with_split(read_lines(spark, str(tmp_path / "in.csv"), encoding))
+    assert lines.rdd.getNumPartitions() > 3
+    assert rows_of(scan_delimited(spark, str(tmp_path / "in.csv"), encoding=encoding)) == [
+        (i + 1, str(i), f"Пётр {i}") if i % 7 else (i + 1, "", "") for i in range(60)]
+
+
+def test_utf_16_records_and_pairs_that_look_like_line_ends(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('id,b\n1,"x\ny"\n2,z\n'.encode("utf-16-le"))
+    assert rows_of(scan_delimited(spark, str(tmp_path / "a.csv"), encoding="utf-16-le")) == [(1, "1", "x\ny"), (2, "2", "z")]
+    odd = "\u0a85\u0100"
+    assert b"\x0a\x00" in odd.encode("utf-16-le")
+    (tmp_path / "b.csv").write_bytes(f"id,b\n1,{odd}\n2,z\n".encode("utf-16-le"))
+    assert rows_of(scan_delimited(spark, str(tmp_path / "b.csv"), encoding="utf-16-le")) == [(1, "1", odd), (2, "2", "z")]

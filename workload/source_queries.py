@@ -72,16 +72,19 @@ def export_csv(spark, t):
     return scan_delimited(spark, path).rows.drop(FILE, ORDINAL)
 
 
-_ENCODED = ("cp1251", "utf-16", "koi8-r", "utf-8")
+# A word that the charset can hold, for every charset of a run.
+_ENCODED = {**dict.fromkeys(("utf-8", "utf-16", "utf-16-le", "utf-16-be", "cp1251", "cp866", "koi8-r", "koi8-u", "iso-8859-5"), "Клиент"),
+            "ascii": "client", "latin1": "Käufer", "cp1252": "Käufer", **dict.fromkeys(("gbk", "big5", "shift_jis", "euc-jp", "euc-kr"), "客")}
+_ENCODED_SQL = ", ".join(f"('{encoding}', '{word}')" for encoding, word in _ENCODED.items())
 
 
-@query("SELECT unnest(['cp1251', 'utf-16', 'koi8-r', 'utf-8']) AS encoding, cast(c_custkey AS varchar) AS c_custkey, "
-       "'Клиент ' || c_custkey AS title FROM customer")
+@query(f"SELECT encoding, cast(c_custkey AS varchar) AS c_custkey, word || ' ' || c_custkey AS title "
+       f"FROM customer CROSS JOIN (VALUES {_ENCODED_SQL}) AS e(encoding, word)")
 def scan_encodings(spark, t):
-    rows = t.customer.select("c_custkey", F.concat(F.lit("Клиент "), "c_custkey").alias("title"))
     frames = []
-    for encoding in _ENCODED:
+    for encoding, word in _ENCODED.items():
         path = scratch_path(spark, "encoded")
+        rows = t.customer.select("c_custkey", F.concat(F.lit(word + " "), "c_custkey").alias("title"))
         write_csv(in_order(rows, ["c_custkey"]), path, encoding=encoding)
         scan = scan_delimited(spark, path, encoding=encoding)
         frames.append(scan.rows.select(F.lit(encoding).alias("encoding"), "c_custkey", "title"))
