@@ -8,7 +8,10 @@ block holds a cover tree; the queries of a block form trees of their own. Two ro
 2. They then meet each block of a cell whose bound <c, c'> + |c| r' + |c'| r + r r' reaches the worst k-th score of their
    queries. Cell bounds are few (at most `CELLS`) and broadcast; blocks and node pairs inside are pruned by the same bound.
 
-Scores are integers and are summed exactly in doubles; bounds carry a margin for rounding.
+Scores are whole numbers, exact in doubles or, for long vectors, in 64-bit integers; bounds carry a margin for rounding.
+
+The trees depart from a textbook cover tree in two points: a node's centre is the mean of its points, which makes radii smaller,
+and a node has at most 16 children, since in many dimensions a cover by half the radius takes nearly every point for itself.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgate.llm.common import ready, staged
@@ -46,7 +49,7 @@ class CoverTree:
         self.norms = np.linalg.norm(self.centres, axis=1) if len(points) else np.zeros(0)
 
     def packed(self) -> tuple:
-        return self.points.astype(np.int32), self.centres, self.radii, self.norms, self.ranges, self.children
+        return self.points.astype(np.int64), self.centres, self.radii, self.norms, self.ranges, self.children
 
     @classmethod
     def of(cls, packed: tuple) -> CoverTree:
@@ -100,6 +103,8 @@ class Best:
         """scores and ids (queries by candidates) for the queries `rows`; a query's own id is left out."""
         ids = np.broadcast_to(ids, scores.shape)
         scores = np.where((ids == self.query_ids[rows][:, None]) | (ids == np.iinfo(np.int64).max), -np.inf, scores)
+        if scores.dtype != self.scores.dtype:  # doubles until some score needs more digits
+            self.scores = self.scores.astype(np.result_type(self.scores, scores))
         everything, names = np.hstack((self.scores[rows], scores)), np.hstack((self.ids[rows], ids))
         names = np.where(np.isneginf(everything), np.iinfo(np.int64).max, names)
         order = np.lexsort((names, -everything), axis=1)[:, :self.k]
@@ -120,7 +125,7 @@ def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best)
         q_children, d_children = queries.children[q], data.children[d]
         if not q_children and not d_children:
             a, b = data.ranges[d]
-            scores = queries.points[low:high] @ data.points[a:b].T
+            scores = _scores(queries.points[low:high], data.points[a:b])
             useful = scores >= best.scores[low:high, -1:]
             rows, points = useful.any(1), np.flatnonzero(useful.any(0))
             if points.size:
@@ -133,17 +138,30 @@ def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best)
             stack += [(c, d) for c in q_children]
 
 
+def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products: in doubles where no sum can leave their whole numbers, else in 64-bit integers."""
+    largest = np.sqrt((a ** 2).sum(1).max() * (b ** 2).sum(1).max())
+    if largest < 2.0 ** 52:
+        return a @ b.T
+    if largest >= 9.2e18 or max(np.abs(a).max(), np.abs(b).max()) >= 2.0 ** 53:
+        raise ValueError("vectors too long: a score would not fit 64 bits")
+    return (a.astype(np.int64) @ b.astype(np.int64).T).astype(np.longdouble)
+
+
 def _bound(c, n, r, c2, n2, r2):
     """No inner product of a point within r of c and one within r2 of c2 is larger."""
     return (c * c2).sum(-1) + n * r2 + n2 * r + r * r2 + 1e-6 * (1 + (n + r) * (n2 + r2))
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """vec_id and the vector with components floor(scale * x), as long; rows with a null or non-finite component are left out."""
+    """vec_id and the vector with components floor(scale * x), as long; rows with a null or non-finite component, and those
+    of another length than the most frequent one (of equally frequent ones the longest), are left out."""
     v = F.col(f"`{vector_col}`").cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     held = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null")
-    return held.where(fine).select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale))).alias("v"))
+    whole = held.where(fine).select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale))).alias("v"))
+    lengths = whole.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
+    return whole.where(F.size("v") == lengths[0]["n"]) if lengths else whole
 
 
 def _to_cells(pivots: np.ndarray):
@@ -234,19 +252,20 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
           cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of each query row, ties to the smaller id.
 
-    `is_query` is a condition on vec_id. Vectors that are null or hold null or non-finite components take no part; all others
-    must have one length. Fewer than k other rows: all of them. An empty table gives no row. Ids must be distinct.
+    `is_query` is a condition on vec_id. Vectors that are null or hold null or non-finite components take no part, nor do those of
+    another length than the most frequent one; rows without an id neither. Fewer than k other rows: all of them. An empty table
+    gives no row. A row given more than once counts once; rows of one id with different vectors each keep their score, and a query
+    id with several vectors has one list over all of them. Further columns are not read. A score that 64 bits cannot hold is an error.
     """
     spark = ready(vectors.sparkSession)
     whole = quantised(vectors, id_col, vector_col, scale)
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(cells, whole.count() * 4 // block))).collect()
     pivots = np.unique(np.array([r.v for r in sample], np.float64).reshape(len(sample), -1), axis=0) if sample else np.zeros((1, 1))
     placed = staged(whole.mapInArrow(_to_cells(pivots), "vec_id long, cell int, v array<long>, away double"), "vectors")
-    # equal vectors: the k + 1 smallest ids of each, first within slices of ids so that no group meets in one place
-    entries = placed
-    rank = F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("int")
-    part = entries.groupBy("cell", "v", rank.alias("slice")).agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"))
-    entries = part.groupBy("cell", "v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
+    # equal vectors: the k + 1 smallest ids of each, cut in every task before they meet
+    place = F.dense_rank().over(Window.partitionBy("cell", "v").orderBy("vec_id"))
+    entries = placed.select("cell", "v", "vec_id").withColumn("place", place).where(F.col("place") <= k + 1)
+    entries = entries.groupBy("cell", "v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
     covers = {r.cell: (pivots[r.cell], float(r.radius)) for r in sizes.collect()}  # a row per pivot
     sizes = sizes.drop("radius")

@@ -32,6 +32,28 @@ def test_few_vectors_and_none(spark):
     assert exact_search.top_k(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_large_components_repeated_rows_and_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (20, [4e7, 0.0]), (1, [1.0, 0.5]), (2, [0.5, 0.5]), (3, [0.25, 0.0]), (4, [1.0]), (5, [1.0, 2.0, 3.0]), (6, []), (None, [1.0, 1.0])]
+    rows += [(1, [1.0, 0.5])] * 30 + [(7, [0.125, 0.0]), (7, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as cell", "2 as v", "3 as ids")
+    got = [tuple(r) for r in exact_search.top_k(df, F.col("vec_id") % 20 == 0).collect()]
+    whole = {(i, tuple(int(np.floor(64 * c)) for c in v)) for i, v in rows if i is not None and len(v) == 2}
+    for q in (0, 20):
+        mine = next(v for i, v in whole if i == q)
+        best = sorted((-sum(a * b for a, b in zip(mine, v)), i) for i, v in whole if i != q)[:20]
+        assert sorted(r[1:] for r in got if r[0] == q) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert (20, 1, 0, 163840000000) in got or max(r[3] for r in got) == 163840000000
+
+
+def test_scores_beyond_doubles_are_exact_or_an_error(spark):
+    big = float(2 ** 24 + 1)
+    df = spark.createDataFrame([(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, 0.984375])], "vec_id long, embedding array<double>")
+    scores = {r.vec_id: r.score for r in exact_search.top_k(df, F.col("vec_id") == 0).collect()}
+    assert scores == {1: (64 * int(big)) ** 2 + 64 * 64, 2: (64 * int(big)) ** 2 + 64 * 63}
+    with pytest.raises(Exception, match="64 bits"):
+        exact_search.top_k(spark.createDataFrame([(0, [1e12, 0.0]), (1, [1e12, 1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+
+
 def labelled(spark, n=240):
     r = random.Random(1)
     words = ["alpha", "river", "stone", "walk", "green", "light", "paper", "house", "cloud", "seven"]
