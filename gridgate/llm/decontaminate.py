@@ -151,6 +151,10 @@ def _scan(held, with_texts: bool):
     return scan
 
 
+#: Stands for the id of items that have none; they count as one item without a name.
+NO_ID = -(1 << 63)
+
+
 def windows_of(benchmark: DataFrame, words: int = WINDOW_WORDS, id_col: str = "item_id",
                part_windows: int = PART_WINDOWS) -> Iterator[Windows]:
     """The items' windows, in parts of bounded size; a longer item lies in several. Null and empty items have none."""
@@ -162,7 +166,7 @@ def windows_of(benchmark: DataFrame, words: int = WINDOW_WORDS, id_col: str = "i
         at, many = 0, max(1, len(hashes) - words + 1)
         while at < many:
             room = min(part_windows - size, many - at)
-            ids.append(row.doc_id)
+            ids.append(NO_ID if row.doc_id is None else row.doc_id)
             held.append(hashes[at:at + room + words - 1])
             at, size = at + room, size + room
             if size == part_windows:
@@ -184,7 +188,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, id_co
     text without those spans.
 
     Null and empty texts have no words and no spans. Repeated documents and items are treated one by one. An empty
-    benchmark leaves every document clean. The number of parts changes no result.
+    benchmark leaves every document clean. Items without an id are found like others and count as one item without a name. The
+    number of parts changes no result.
     """
     ready(docs.sparkSession)
     schema = "doc_id long, n_words long, first_word array<long>, end_word array<long>, items array<long>"
@@ -197,7 +202,7 @@ def digest(found: DataFrame) -> DataFrame:
     hit = F.aggregate(F.zip_with("first_word", "end_word", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join(F.array_sort(F.transform("items", lambda i: F.when(i == NO_ID, "").otherwise(i.cast("string")))), ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,6 +66,17 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = B
                 held, size = [], 0
     if held:
         yield pa.concat_tables(held).combine_chunks()
+    held = table = None
+    release()
+
+
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: its worker lives on, and so do those of other operators."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
