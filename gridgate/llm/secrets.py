@@ -45,6 +45,8 @@ KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 LEET = str.maketrans("013457$@", "oieastsa")
 
 MIN_COST = 9.0
+#: What a value costs at least to count beside a base pattern: words such as password say outright what it is.
+MIN_STATED = 5.0
 #: A value that only a blank parts from its context may be prose; there a word in one case costs a pick from 100,000 words.
 PROSE_COST = 5.0
 #: How far back a run may begin besides at its very start, and the longest string whose repeats are priced as such.
@@ -158,7 +160,8 @@ def find(text: str, min_cost: float = MIN_COST) -> list[tuple[int, int, str, flo
         for m in _FULL.finditer(text):
             group = m.lastindex
             if m.end(group) - m.start(group) >= BASE[0][3] and taken.get(m.start(), 0) < m.end(group):
-                out.append((m.start(), len(_PATTERNS), m.end(group), "guess", guess_cost(m[group])))
+                if (cost := guess_cost(m[group])) >= min(MIN_STATED, min_cost):
+                    out.append((m.start(), len(_PATTERNS), m.end(group), "guess", cost))
     if any(w in lower for w in _WIDE_WORDS):
         for m in _WIDE.finditer(text):
             group = m.lastindex

@@ -1,5 +1,6 @@
 """Search, scores, scans and rollups against plain versions, held-out labels and random cases."""
 
+import itertools
 import random
 import re
 
@@ -248,3 +249,46 @@ def test_failed_commit_is_written_again(spark, tmp_path):
     store.commit("a", rows)
     (tmp_path / "store/batches/a/_SUCCESS").unlink()
     assert store.totals().count() == 0 and store.commit("a", rows) and store.totals().count() > 0
+
+
+def test_cost_decides_beside_base_patterns():
+    assert not secrets.find("token: 'hello!' and more")
+    assert [k for *_, k, _ in secrets.find("secret = changeme! x")] == ["assign"]
+    assert [k for *_, k, _ in secrets.find("password = P@ssw0rd!2024x")] == ["guess"]
+    assert [k for *_, k, _ in secrets.find("password = hello1 x")] == ["assign"]  # base findings stay, whatever they cost
+
+
+def price(value, i, j, near):
+    """The cheapest kind for the span i to j as a whole, without looking at runs beyond it."""
+    span, lower, n = value[i:j], value[i:j].lower(), j - i
+    each = [secrets._alphabet(c) for c in span]
+    found = [each[0] - 0.3] if n == 1 else []
+    if n >= 3:
+        upper = 0.3 if span != lower else 0.0
+        for text, extra in ((lower, 0.0), (lower.translate(secrets.LEET), 0.3)):
+            if text in secrets.COMMON:
+                found.append(np.log10(secrets.COMMON.index(text) + 11) + extra + upper)
+                break
+        if len(set(lower)) == 1:
+            found.append(each[0] + np.log10(n))
+        gaps = [ord(b) - ord(a) for a, b in zip(lower, lower[1:])]
+        if lower.isalnum() and set(gaps) in ({1}, {-1}):
+            found.append(np.log10(20) + np.log10(n))
+        if all(pair in near for pair in zip(lower, lower[1:])):
+            turns = sum(a != b for a, b in zip(gaps, gaps[1:]))
+            found.append(np.log10(188) + np.log10(n) + 0.5 * turns)
+    if n in (4, 8, 10) and span[-1].isdigit() and secrets._DATE.fullmatch(span):
+        found.append(np.log10(120 if n == 4 else 365 * 120))
+    for period in range(2, n // 2 + 1):
+        if all(span[k] == span[k - period] for k in range(period, n)):
+            found.append(sum(each[:period]) + np.log10(n / period))
+    return min(found, default=np.inf) + 0.3
+
+
+def test_guess_cost_is_the_least_over_all_segmentations():
+    r = random.Random(3)
+    for _ in range(150):
+        value = "".join(r.choice(["a", "1", "q", "w", "e", "abc", "aaa", "2019", "red", "R3d", "@", "ab", "321"]) for _ in range(r.randint(1, 4)))[:9]
+        whole = [min(sum(price(value, a, b, secrets._NEAR) for a, b in zip((0, *cut), (*cut, len(value)))) for k in range(len(value))
+                     for cut in itertools.combinations(range(1, len(value)), k))]
+        assert abs(secrets.guess_cost(value) - whole[0]) < 1e-9, value
