@@ -41,7 +41,8 @@ SKETCH = 256
 COLUMNS = [f"sketch_{i}" for i in range(SKETCH // 16)]
 #: Columns that a first look at a pair takes.
 QUICK = 2
-#: Standard deviations by which a pair at the threshold may fall short of the sketch values it is expected to share: odds of 3e-7.
+#: Standard deviations by which a pair at the threshold may fall short of the sketch values it is expected to share: odds of 1.3e-6
+#: for the whole sketch and 2.8e-6 for the first look.
 DEVIATIONS = 5
 
 _RANDOM = np.random.default_rng(7)
