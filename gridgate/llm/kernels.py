@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one task works on at a time; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C13
