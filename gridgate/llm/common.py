@@ -17,7 +17,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Tasks get this package's functions by value, so executors need no copy of it. Of the settings only the rows of an Arrow batch
     are lowered: whole texts make long rows, and a batch is held on both sides of the pipe to Python."""
     cloudpickle.register_pickle_by_value(sys.modules["gridgate"])
-    if int(spark.conf.get(BATCH, "10000")) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get(BATCH, "10000")) <= BATCH_ROWS:  # zero and less mean no limit
         spark.conf.set(BATCH, str(BATCH_ROWS))
     return spark
 
