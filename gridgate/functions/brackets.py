@@ -1,7 +1,8 @@
 """Balanced parentheses by running depth: expressions over token arrays, nested as deep as the text is.
 
 A token is a run of text that ends in a mark - a parenthesis or a comma - outside quotes. One pass over the tokens keeps the depth;
-what ends at depth 0 is cut off. Texts that nest a few levels only are cut by a pattern instead, which gives the same parts faster.
+what ends at depth 0 is cut off. Texts that nest up to ``SHALLOW`` levels are cut by a pattern instead, which gives the same parts faster.
+The pattern is fixed, so that a task compiles it once; its possessive loops recurse by level of nesting only.
 """
 
 from __future__ import annotations
@@ -11,14 +12,14 @@ from pyspark.sql import functions as F
 
 
 #: Levels that patterns read.
-SHALLOW = 4
+SHALLOW = 64
 
 
-def _shallow(quoted: str | None = None) -> tuple[str, str]:
-    """Patterns of plain text and of balanced parentheses up to ``SHALLOW`` levels."""
+def shallow_group(quoted: str | None = None, levels: int = SHALLOW) -> tuple[str, str]:
+    """Patterns of plain text and of balanced parentheses up to some levels."""
     plain = rf"[^()']++|{quoted}" if quoted else r"[^()]++"
     group = rf"\((?:{plain})*+\)"
-    for _ in range(SHALLOW - 1):
+    for _ in range(levels - 1):
         group = rf"\((?:{plain}|{group})*+\)"
     return plain, group
 
@@ -52,7 +53,7 @@ def parts(text: Column, quoted: str | None = None) -> Column:
                         F.when(cut, "").otherwise(held).alias("held"),
                         F.when(cut, F.array_append(acc["out"], F.substring(held, F.lit(1), F.length(held) - 1))).otherwise(acc["out"]).alias("out"))
 
-    plain, group = _shallow(quoted)
+    plain, group = shallow_group(quoted)
     between = rf"[^(),']++|{quoted}" if quoted else "[^(),]++"
     shallow = text.rlike(f"(?s)^(?:{plain}|{group})*+$")
     return F.when(shallow, F.regexp_extract_all(F.concat(text, F.lit(",")), F.lit(f"(?s)((?:{between}|{group})*+),"), F.lit(1))).otherwise(
@@ -69,8 +70,8 @@ def leading_group(text: Column) -> Column:
                         (acc["read"] + F.when(over, 0).otherwise(F.length(token))).alias("read"))
 
     size = F.aggregate(tokens(text, "()"), start, step, lambda acc: F.when(acc["depth"] == closed, acc["read"]).otherwise(0))
-    lead = F.regexp_extract(text, f"(?s)^{_shallow()[1]}", 0)
-    return F.when(lead != "", lead).when(F.startswith(text, F.lit("(")), F.substring(text, F.lit(1), size)).otherwise("")
+    lead = F.get(F.regexp_extract_all(text, F.lit(f"(?s)^{shallow_group()[1]}"), F.lit(0)), F.lit(0))
+    return F.coalesce(lead, F.when(F.startswith(text, F.lit("(")), F.substring(text, F.lit(1), size)).otherwise(""))
 
 
 def groups(text: Column, quoted: str, between: str) -> Column:

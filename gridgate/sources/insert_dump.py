@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridgate.config import JVM_CHARSETS
 from gridgate.errors import SourceError
-from gridgate.functions.brackets import deepest, groups, parts
+from gridgate.functions.brackets import SHALLOW, deepest, groups, parts, shallow_group
 from gridgate.session import staged
 from gridgate.sources.delimited import Scan, numbered_scan
 from gridgate.sources.positions import FILE, KINDS, SPLIT, TICK, Reading, read_lines, retick, with_split
@@ -17,8 +17,8 @@ from gridgate.sources.positions import FILE, KINDS, SPLIT, TICK, Reading, read_l
 # Possessive quantifiers keep the patterns linear and free of recursion on long statements.
 _PLAIN_QUOTED = r"'(?:[^']++|'')*+'"
 _ESCAPED_QUOTED = r"'(?:[^'\\]++|''|\\.)*+'"
-# Beyond this depth a pattern would recurse too far; deeper statements are cut by running depth, with the same result.
-_PATTERN_DEPTH = 40
+# Statements that nest deeper are cut by running depth, with the same result.
+_PATTERN_DEPTH = SHALLOW
 _COMMA = r"\s*+,?+\s*+"
 # What may follow the tuples of a statement.
 _CLAUSE = r"(?is)^\s*+(?:,\s*+)?(?:$|(?:ON\s+CONFLICT|ON\s+DUPLICATE\s+KEY|RETURNING|SETTINGS)\b)"
@@ -57,35 +57,27 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
     full = F.lower(F.regexp_replace(part(1), r'[`"\[\]]', ""))
     names = F.transform(F.split(part(2), ","), lambda c: F.btrim(F.lower(c), F.lit(' `"[]\n\r\t')))
     body = F.substring("_statement", F.length(part(0)) + 1, F.length("_statement"))
-    read = found.select(FILE, "_split", "_tick", "_odd", full.alias("_full_table"), names.alias("_names"), body.alias("_body")
-                        ).withColumn("_read", _read_tuples(F.col("_body"), dialect))
+    read = found.select(FILE, "_split", "_tick", "_odd", full.alias("_full_table"), names.alias("_names"), body.alias("_body"))
+    read = _read_tuples(read, dialect)
     broken = F.col("_odd") | F.coalesce(~F.col("_read.tail").rlike(_CLAUSE) | (F.size("_read.groups") == 0), F.lit(False))
     return read.select(
         FILE, "_split", "_tick", broken.alias("_broken"), "_full_table",
         F.regexp_replace("_full_table", r"^[^.]*\.", "").alias("_table"), "_names", F.col("_read.groups").alias("_tuples"))
 
 
-def _tuple(dialect: str, depth: Column) -> Column:
-    """Pattern of balanced parentheses with anything quoted inside, nested ``depth`` deep."""
-    inside = rf"\((?:[^()']++|{_quoted(dialect)}"
-    return F.aggregate(F.sequence(F.lit(2), F.greatest(depth, F.lit(2))), F.lit(rf"{inside})*+\)"), lambda nested, _: F.concat(
-        F.lit(f"{inside}|"), nested, F.lit(r")*+\)")))
+def _read_tuples(read: DataFrame, dialect: str) -> DataFrame:
+    """Add ``_read``, a ``struct<groups, tail>`` of a statement's body: its tuples, and what follows them.
 
-
-def _read_tuples(body: Column, dialect: str) -> Column:
-    """``struct<groups, tail>`` of a statement's body: its tuples, and what follows them."""
-    quoted = _quoted(dialect)
-    flat = rf"\((?:[^()']++|{quoted})*+\)"
-
-    def by_pattern(row: Column) -> Column:
-        lead = F.call_function("regexp_extract", body, F.concat(F.lit(f"(?s)^(?:{_COMMA}"), row, F.lit(")*+")), F.lit(0))
-        return F.struct(F.regexp_extract_all(lead, F.concat(F.lit("(?s)"), row), F.lit(0)).alias("groups"),
-                        F.substring(body, F.length(lead) + 1, F.length(body)).alias("tail"))
-
-    depth = deepest(body, quoted)
-    nested = body.rlike(rf"(?s)\((?:[^()']++|{quoted})*+\(")
-    return (F.when(body.isNull(), None).when(~nested, by_pattern(F.lit(flat)))
-            .when(depth <= _PATTERN_DEPTH, by_pattern(_tuple(dialect, depth))).otherwise(groups(body, quoted, _COMMA)))
+    What is used twice is a column of its own, so that no pattern runs twice over a statement. Statements that nest too deep for the
+    pattern are cut by running depth, with the same result.
+    """
+    quoted, body = _quoted(dialect), F.col("_body")
+    row = shallow_group(quoted, _PATTERN_DEPTH)[1]
+    read = read.withColumn("_lead", F.regexp_extract(body, f"(?s)^(?:{_COMMA}{row})*+", 0))
+    read = read.withColumn("_tail", F.substring(body, F.length("_lead") + 1, F.length(body)))
+    deep = F.col("_tail").rlike(rf"^{_COMMA}\(") & (deepest(body, quoted) > _PATTERN_DEPTH)
+    by_pattern = F.struct(F.regexp_extract_all("_lead", F.lit(f"(?s){row}"), F.lit(0)).alias("groups"), F.col("_tail").alias("tail"))
+    return read.withColumn("_read", F.when(body.isNull(), None).when(deep, groups(body, quoted, _COMMA)).otherwise(by_pattern))
 
 
 def _open_quote(text: Column, dialect: str) -> Column:
@@ -104,6 +96,15 @@ def dump_rows(dump: DataFrame, dialect: str = "gp") -> DataFrame:
 
     Pieces marked ``_broken`` keep a row even without a tuple.
     """
+    words = F.transform("_raw", lambda raw: F.struct(F.trim(raw).alias("word")))
+    kinds = F.transform(words, lambda w: F.struct(w["word"].alias("word"), _kind(w["word"]).alias("kind")))
+    texts = F.transform(kinds, lambda w: F.struct(w["kind"].alias("kind"), _text(w["word"], w["kind"], dialect).alias("text")))
+    items = F.transform(texts, lambda w: F.when(w["text"] != "", w))
+    return _raw_rows(dump, dialect).withColumn("items", items).drop("_raw")
+
+
+def _raw_rows(dump: DataFrame, dialect: str) -> DataFrame:
+    """One row per tuple: ``_raw`` holds its items as they are written."""
     quoted = _quoted(dialect)
     item = rf"\s*+({quoted}|(?:[^,'()]++|{quoted})*+)\s*+(?:,|$)"
     rows = dump.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
@@ -112,27 +113,29 @@ def dump_rows(dump: DataFrame, dialect: str = "gp") -> DataFrame:
     nested = body.rlike(rf"(?s)^(?:[^()']++|{quoted})*+\(")
     raw = F.when(nested, parts(body, quoted)).otherwise(F.regexp_extract_all(body, F.lit(f"(?s){item}"), F.lit(1)))
     return rows.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
-                       F.transform(raw, lambda word: _typed(word, dialect)).alias("items"))
+                       raw.alias("_raw"))
+
 
+def _kind(word: Column) -> Column:
+    """Quoted means text; bare words are NULL, booleans, whole numbers, fractions, or text."""
+    return (F.when(F.startswith(word, F.lit("'")), "str").when(word.rlike(r"^[+-]?\d+$"), "int")
+            .when(F.upper(word) == "NULL", None).when(F.upper(word).isin("TRUE", "FALSE"), "bool")
+            .when(word.rlike(r"^[+-]?(\d+\.\d*|\.\d+|\d+(\.\d*)?[eE][+-]?\d+)$"), "float").otherwise("str"))
 
-def _typed(raw: Column, dialect: str) -> Column:
-    """Quoted means text; bare words are NULL, booleans, integers without plus sign and leading zeros, fractions, or text."""
-    word = F.trim(raw)
-    quoted = F.startswith(word, F.lit("'"))
+
+def _text(word: Column, kind: Column, dialect: str) -> Column:
+    """Cell of a word: text without its quotes and escapes, integers without plus sign and leading zeros; NULL or empty without a value."""
     text = F.replace(F.substring(word, F.lit(2), F.length(word) - 2), F.lit("''"), F.lit("'"))
     if dialect == "ch":
         plain = F.replace(text, F.lit("\\\\"), F.lit("\\\x01"))
         for letter, char in _CONTROL.items():
             plain = F.replace(plain, F.lit("\\" + letter), F.lit(char))
         plain = F.replace(F.regexp_replace(plain, r"\\([^\x01])", "$1"), F.lit("\\\x01"), F.lit("\\"))
-        text = F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
-    whole = word.rlike(r"^[+-]?\d+$")
-    value = F.when(quoted, text).when(whole, F.regexp_replace(F.regexp_replace(word, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")).otherwise(word)
-    kind = (F.when(quoted, "str").when(F.upper(word).isin("TRUE", "FALSE"), "bool")
-            .when(whole, "int")
-            .when(word.rlike(r"^[+-]?(\d+\.\d*|\.\d+|\d+(\.\d*)?[eE][+-]?\d+)$"), "float").otherwise("str"))
-    absent = (~quoted & (F.upper(word) == "NULL")) | (value == "")
-    return F.when(~absent, F.struct(kind.alias("kind"), value.alias("text")))
+        text = F.when(F.contains(word, F.lit("\\")), plain).otherwise(text)
+    # Signs and zeros in front are rare; the patterns that take them off run only there.
+    signed = F.substring(word, F.lit(1), F.lit(1)).isin("+", "0", "-")
+    whole = F.when(signed, F.regexp_replace(F.regexp_replace(word, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")).otherwise(word)
+    return F.when(F.startswith(word, F.lit("'")), text).when(kind == "int", whole).when(kind.isNotNull(), word)
 
 
 def dump_tables(rows: DataFrame) -> DataFrame:
@@ -168,16 +171,16 @@ def open_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
     Files with a text that crosses the separator, or with a statement that
     cannot be read, are listed in ``rejected``.
     """
-    rows = dump_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect)
+    rows = _raw_rows(read_dump(spark, paths, dialect, encoding, separator, whole_files), dialect)
     if table is None:
         wanted = F.col("_table") == first_table(spark, paths, dialect, encoding, separator, whole_files)
     else:
         key = table.lower()
         wanted = F.col("_full_table" if "." in key else "_table") == key
-    wanted = wanted & F.col("items").isNotNull()
+    wanted = wanted & F.col("_raw").isNotNull()
     taken = staged(retick(rows.filter(wanted | F.col("_broken")).select(
-        FILE, SPLIT, "_broken", "_names", F.when(wanted, F.col("items")).alias("items"))), "tuples")
-    mine = taken.filter("items is not null")
+        FILE, SPLIT, "_broken", "_names", F.when(wanted, F.col("_raw")).alias("_raw"))), "tuples")
+    mine = taken.filter("_raw is not null")
     lead = mine.select("_names").first()
     broken = taken.filter("_broken").select(FILE).distinct().withColumn(
         "reason", F.lit("quoted text contains the statement separator, or something that is no tuple follows VALUES"))
@@ -185,7 +188,12 @@ def open_insert_dump(spark: SparkSession, paths, table: str | None = None, diale
         known = [r[0] for r in rows.select("_full_table").distinct().limit(20).collect()]
         raise SourceError(f"table {table!r} not found in the dump; it has {sorted(k for k in known if k)}")
     columns = list(lead._names)
-    at = lambda c: F.get("items", F.array_position("_names", c).cast("int") - 1)
-    cells = [at(c)["text"].alias(c) for c in columns]
-    kinds = F.array(*[at(c)["kind"] for c in columns]).alias(KINDS)
-    return Reading(mine.select(FILE, SPLIT, TICK, *cells, kinds), columns, row_base=2, typed=True, rejected=broken, pinned=True)
+    # Words, kinds and cells are columns, a step each: compiled code works each of them out once.
+    numbers, place = range(len(columns)), [FILE, SPLIT, TICK]
+    words = mine.select(*place, *[F.trim(F.get("_raw", F.array_position("_names", c).cast("int") - 1)).alias(f"_w{i}") for i, c in enumerate(columns)])
+    kinds = words.select("*", *[_kind(F.col(f"_w{i}")).alias(f"_k{i}") for i in numbers])
+    cells = kinds.select(*place, *[f"_k{i}" for i in numbers], *[_text(F.col(f"_w{i}"), F.col(f"_k{i}"), dialect).alias(f"_c{i}") for i in numbers])
+    filled = lambda i, shown: F.when(F.col(f"_c{i}") != "", F.col(shown))
+    typed = cells.select(*place, *[filled(i, f"_c{i}").alias(c) for i, c in enumerate(columns)],
+                         F.array(*[filled(i, f"_k{i}") for i in numbers]).alias(KINDS))
+    return Reading(typed, columns, row_base=2, typed=True, rejected=broken, pinned=True)

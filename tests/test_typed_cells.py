@@ -8,7 +8,7 @@ from gridgate.functions.brackets import deepest, groups, leading_group, parts
 from gridgate.operators.contract import contract_from_ddl, infer_contract, parse_ddl
 from gridgate.sources import insert_dump
 from gridgate.sources.insert_dump import dump_rows, read_dump, scan_insert_dump
-from gridgate.sources.positions import KINDS
+from gridgate.sources.positions import KINDS, ORDINAL
 
 DUMP = ("INSERT INTO s.t (id, amount, ok, name, code, nothing) VALUES (1, 3.149, TRUE, 'a', '007', NULL),\n"
         "(+02, -1.5e2, false, 'it''s', '8', NULL);\nINSERT INTO s.t (id, amount) VALUES (3, 4);\n")
@@ -116,3 +116,30 @@ def test_brackets(spark):
     read = one(groups(F.lit(" (1), (2, (3)) , x (4)"), quoted, r"\s*+,?+\s*+"))
     assert read.groups == ["(1)", "(2, (3))"] and read.tail == " , x (4)"
     assert one(groups(F.lit("(1), (2"), quoted, r"\s*+,?+\s*+")).groups == ["(1)"]
+
+
+def test_patterns_run_once_at_each_use(spark, tmp_path):
+    """Reading a dump or a DDL never lets one pattern grow with its uses, nor with the rows."""
+    path = put(tmp_path, "INSERT INTO t (a, b) VALUES (1, f('x', (2))), (+007, '');\n")
+    plan = read_dump(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence") == 0 and plan.count("ON\\s+CONFLICT") == 1
+
+
+@pytest.mark.parametrize("levels", [1, 4, 5, 40, 63, 64, 65, 90])
+def test_patterns_and_running_depth_agree(spark, levels):
+    quoted, nest = "'(?:[^']++|'')*+'", "f(" * levels + "1, ')'" + ")" * levels
+    frame = spark.createDataFrame([(f"a, {nest}, ',' , {nest}",)], "x string")
+    assert frame.select(parts(F.col("x"), quoted).alias("p")).first().p == ["a", f" {nest}", " ',' ", f" {nest}"]
+    plain = "(" * levels + "1" + ")" * levels
+    assert spark.createDataFrame([(plain + "(2)",)], "x string").select(leading_group(F.col("x")).alias("p")).first().p == plain
+
+
+def test_words_of_a_dump(spark, tmp_path):
+    path = put(tmp_path, "INSERT INTO t (a, b, c) VALUES (+007, -0, 00), (-01.50, 'TRUE', true), ('', null, 'null'), (1e5, x'y', .5), (-, +), (0, '+1', '01');\n")
+    want = [[("int", "7"), ("int", "-0"), ("int", "0")], [("float", "-01.50"), ("str", "TRUE"), ("bool", "true")], [None, None, ("str", "null")],
+            [("float", "1e5"), ("str", "x'y'"), ("float", ".5")], [("str", "-"), ("str", "+"), None], [("int", "0"), ("str", "+1"), ("str", "01")]]
+    rows = dump_rows(read_dump(spark, path)).orderBy("_tick").collect()
+    assert [([i and (i.kind, i.text) for i in r["items"]] + [None])[:3] for r in rows] == want
+    scan = scan_insert_dump(spark, path, "t")
+    got = [[k and (k, v) for k, v in zip(r[KINDS], (r.a, r.b, r.c), strict=True)] for r in scan.rows.orderBy(ORDINAL).collect()]
+    assert got == want
