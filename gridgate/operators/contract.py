@@ -149,52 +149,59 @@ def parse_ddl(corpus: DataFrame, dialect: str = "gp", key: str = "table_name", d
     """
     dialect = dialect_of(dialect)
     clean = F.regexp_replace(F.regexp_replace(F.col(ddl), r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")
-    clean = F.translate(clean, "\n\r", "  ")
-    first_open = F.instr(clean, "(")
-    body = leading_group(F.substring(clean, first_open, F.length(clean)))
     constraint = _GP_CONSTRAINT if dialect == "gp" else _CH_CONSTRAINT
     quote = '"' if dialect == "gp" else "`"
     column = rf"(?U)^\s*{quote}?(\w+){quote}?\s+(.*)$"
-
-    def definition(part: Column) -> Column:
-        rest = F.regexp_extract(part, column, 2)
-        return F.struct(
-            F.when(~part.rlike(constraint), F.lower(F.regexp_extract(part, column, 1))).alias("col_name"),
-            (_gp_type(rest) if dialect == "gp" else _ch_type(rest)).alias("type_text"))
-
-    texts = corpus.select(F.col(key), F.coalesce(F.trim(ddl), F.lit("")).alias("_ddl"), first_open.alias("_open"), body.alias("_body"))
-    cut = F.when(F.col("_body") != "", parts(F.substring("_body", F.lit(2), F.length("_body") - 2)))
-    texts = texts.withColumn("_parts", cut).withColumn("_defs", F.transform("_parts", definition))
-    declared = F.filter("_defs", lambda d: (d.col_name != "") & (d.type_text != ""))
-    unknown = F.filter("_parts", lambda p: (F.trim(p) != "") & ~p.rlike(constraint) & ~p.rlike(column))
+    # What is used twice is a column, or a field of a part, of its own: inlined, its patterns would run at every use.
+    texts = corpus.select(F.col(key), F.coalesce(F.trim(ddl), F.lit("")).alias("_ddl"), F.translate(clean, "\n\r", "  ").alias("_clean"))
+    texts = texts.withColumn("_open", F.instr("_clean", "("))
+    texts = texts.withColumn("_from", F.substring("_clean", F.col("_open"), F.length("_clean")))
+    texts = texts.withColumn("_body", leading_group(F.col("_from")))
+    texts = texts.withColumn("_parts", F.when(F.col("_body") != "", parts(F.substring("_body", F.lit(2), F.length("_body") - 2))))
+    split = F.transform("_parts", lambda part: F.struct(
+        part.alias("part"), part.rlike(constraint).alias("fixed"), F.lower(F.regexp_extract(part, column, 1)).alias("name"),
+        F.regexp_extract(part, column, 2).alias("rest")))
+    types = _gp_types(split) if dialect == "gp" else _ch_types(split)
+    texts = texts.withColumn("_defs", F.transform(types, lambda d: F.struct(
+        F.when(~d["fixed"], d["name"]).alias("col_name"), d["type_text"].alias("type_text"),
+        F.when((F.trim(d["part"]) != "") & ~d["fixed"] & (d["name"] == ""), F.trim(d["part"])).alias("unknown"))))
+    texts = texts.withColumn("_declared", F.transform(F.filter("_defs", lambda d: (d.col_name != "") & (d.type_text != "")), lambda d: F.struct(
+        d.col_name.alias("col_name"), d.type_text.alias("type_text"))))
+    declared, unknown = F.col("_declared"), F.filter(F.col("_defs")["unknown"], lambda p: p.isNotNull())
     status = (F.when(F.col("_ddl") == "", "empty").when(F.col("_open") == 0, "no parentheses")
               .when(F.col("_defs").isNull(), "unbalanced parentheses")
               .when(F.size(declared) == 0, "no columns")
-              .when(F.size(unknown) > 0, F.concat(F.lit("unknown part: "), F.trim(F.get(unknown, F.lit(0))))).otherwise("ok"))
+              .when(F.size(unknown) > 0, F.concat(F.lit("unknown part: "), F.get(unknown, F.lit(0)))).otherwise("ok"))
     # Judged below the explode: a status above it would be worked out for every column again.
-    judged = texts.select(key, status.alias("status"), declared.alias("_declared"))
+    judged = texts.select(key, status.alias("status"), "_declared")
     rows = judged.select(key, "status", F.posexplode_outer("_declared").alias("_at", "_def"))
     return rows.select(key, "status", (F.col("_at") + 1).alias("ordinal"), "_def.col_name", "_def.type_text")
 
 
-def _with_arguments(name: Column, rest: Column) -> Column:
-    """The name and the balanced group that follows it, if one does."""
-    after = F.ltrim(F.substring(rest, F.length(name) + 1, F.length(rest)))
-    return F.concat(name, leading_group(after))
+def _gp_types(defs: Column) -> Column:
+    """Parts with ``type_text``: the words of the type and the balanced group that follows them, if one does."""
+    lowered = F.transform(defs, lambda d: F.struct(*[d[c].alias(c) for c in ("part", "fixed", "name")], F.lower(F.trim(d["rest"])).alias("text")))
+    named = F.transform(lowered, lambda d: F.struct(*[d[c].alias(c) for c in ("part", "fixed", "name", "text")], F.regexp_extract(
+        d["text"], rf"^((?:{_GP_WORDS})(?!\w)|[^\s(,]+)", 1).alias("word")))
+    after = lambda d: F.ltrim(F.substring(d["text"], F.length(d["word"]) + 1, F.length(d["text"])))
+    return _with_arguments(named, after)
 
 
-def _gp_type(rest: Column) -> Column:
-    text = F.lower(F.trim(rest))
-    words = F.regexp_extract(text, rf"^({_GP_WORDS})(?!\w)", 1)
-    return _with_arguments(F.when(words != "", words).otherwise(F.regexp_extract(text, r"^([^\s(,]+)", 1)), text)
+def _ch_types(defs: Column) -> Column:
+    """Parts with ``type_text``: the word of the type and the group right behind it, or what stands inside ``Nullable``."""
+    trimmed = F.transform(defs, lambda d: F.struct(*[d[c].alias(c) for c in ("part", "fixed", "name")], F.trim(d["rest"]).alias("text")))
+    named = F.transform(trimmed, lambda d: F.struct(
+        *[d[c].alias(c) for c in ("part", "fixed", "name", "text")], F.regexp_extract(d["text"], r"^([^\s(,]+)", 1).alias("word")))
+    typed = _with_arguments(named, lambda d: F.substring(d["text"], F.length(d["word"]) + 1, F.length(d["text"])))
+    return F.transform(typed, lambda d: F.struct(*[d[c].alias(c) for c in ("part", "fixed", "name")], F.coalesce(F.get(F.regexp_extract_all(
+        d["type_text"], F.lit(r"^[Nn]ullable\((.+)\)$"), F.lit(1)), F.lit(0)), d["type_text"]).alias("type_text")))
 
 
-def _ch_type(rest: Column) -> Column:
-    text = F.trim(rest)
-    name = F.regexp_extract(text, r"^([^\s(,]+)", 1)
-    token = F.concat(name, leading_group(F.substring(text, F.length(name) + 1, F.length(text))))
-    inner = F.regexp_extract(token, r"^[Nn]ullable\((.+)\)$", 1)
-    return F.when(inner != "", inner).otherwise(token)
+def _with_arguments(named: Column, after) -> Column:
+    """``type_text`` of parts: their ``word`` and the balanced group that opens what ``after`` gives."""
+    cut = F.transform(named, lambda d: F.struct(*[d[c].alias(c) for c in ("part", "fixed", "name", "word")], after(d).alias("after")))
+    return F.transform(cut, lambda d: F.struct(
+        *[d[c].alias(c) for c in ("part", "fixed", "name")], F.concat(d["word"], leading_group(d["after"])).alias("type_text")))
 
 
 def contract_from_ddl(spark: SparkSession, ddl: str, dialect: str) -> Contract:

@@ -123,6 +123,9 @@ def test_patterns_run_once_at_each_use(spark, tmp_path):
     path = put(tmp_path, "INSERT INTO t (a, b) VALUES (1, f('x', (2))), (+007, '');\n")
     plan = read_dump(spark, path)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(sequence") == 0 and plan.count("ON\\s+CONFLICT") == 1
+    ddl = spark.createDataFrame([("t", "create table t (a numeric (10, 2), b text)")], "table_name string, ddl string")
+    for dialect in ("gp", "ch"):
+        assert parse_ddl(ddl, dialect)._jdf.queryExecution().optimizedPlan().toString().count("--[^") == 1
 
 
 @pytest.mark.parametrize("levels", [1, 4, 5, 40, 63, 64, 65, 90])

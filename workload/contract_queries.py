@@ -71,7 +71,7 @@ UNION ALL SELECT table_name, CASE k WHEN 6 THEN 'empty' WHEN 7 THEN 'unbalanced
   NULL, NULL, NULL FROM p WHERE k >= 5""")
 def contract_from_ddl(spark, t):
     ddl = F.expr(_GP_DDL.replace("''x''", "\\'x\\'"))
-    return contracts.parse_ddl(t.part.select(F.concat(F.lit("t"), "p_partkey").alias("table_name"), ddl.alias("ddl")), "gp")
+    return contracts.parse_ddl(spread(t.part).select(F.concat(F.lit("t"), "p_partkey").alias("table_name"), ddl.alias("ddl")), "gp")
 
 
 @query("""WITH p AS (SELECT 't' || p_partkey AS table_name, p_partkey % 3 AS k, lower(replace(p_name, ' ', '_')) AS n, p_size FROM part)
@@ -84,7 +84,7 @@ def contract_from_ch_ddl(spark, t):
     ddl = F.expr("if(p_partkey % 3 = 2, 'CREATE TABLE t (INDEX i id TYPE minmax)', "
                  "concat('CREATE TABLE t (`id` UInt64 CODEC(ZSTD), `', replace(p_name, ' ', '_'), '` Nullable(Decimal(', p_size + 2, "
                  "', 2)) DEFAULT NULL,\n tags ', repeat('Array(', 30), 'Tuple(a Int8, b String)', repeat(')', 30), ', INDEX i id TYPE minmax) ENGINE = MergeTree ORDER BY id'))")
-    return contracts.parse_ddl(t.part.select(F.concat(F.lit("t"), "p_partkey").alias("table_name"), ddl.alias("ddl")), "ch")
+    return contracts.parse_ddl(spread(t.part).select(F.concat(F.lit("t"), "p_partkey").alias("table_name"), ddl.alias("ddl")), "ch")
 
 
 _LINE_CELLS = {
