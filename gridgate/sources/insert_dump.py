@@ -47,11 +47,14 @@ def read_dump(spark: SparkSession, paths, dialect: str = "gp", encoding: str = "
         text, F.lit(rf"(?s)({quoted})|--[^\n]*+|/\*.*?\*/"), F.lit("$1"))).otherwise(text)
     head = r"INSERT\s+INTO\s+([^\s(]+)\s*\(([^)]+)\)\s*VALUES\s*+"
     whole = rf"(?is){head}(?:[^';iI]++|{quoted}|(?!INSERT\s+INTO\s)[iI])*+"
-    pieces = with_split(source).select(FILE, "_split", "_tick", clean.alias("_clean"))
+    pieces = with_split(source).select(FILE, "_split", "_tick", clean.alias("_clean")).withColumn(
+        "_statements", F.regexp_extract_all("_clean", F.lit(whole), F.lit(0)))
+    # Statements that fill a piece leave nothing over to look at.
+    filled = F.length(F.array_join("_statements", "")) == F.length("_clean")
     other = F.regexp_replace(F.regexp_replace("_clean", whole, ""), f"(?s){quoted}", "")
-    unread = other.rlike(r"(?is)INSERT\s+INTO\s+[^\s(]+\s*(?:\([^)]*\)\s*)?VALUES\b")
+    unread = ~filled & other.rlike(r"(?is)INSERT\s+INTO\s+[^\s(]+\s*(?:\([^)]*\)\s*)?VALUES\b")
     found = pieces.select(FILE, "_split", "_tick", (_open_quote(F.col("_clean"), dialect) | unread).alias("_odd"),
-                          F.explode_outer(F.regexp_extract_all("_clean", F.lit(whole), F.lit(0))).alias("_statement")
+                          F.explode_outer("_statements").alias("_statement")
                           ).filter("_odd or _statement is not null")
     part = lambda i: F.regexp_extract("_statement", rf"(?is)^{head}", i)
     full = F.lower(F.regexp_replace(part(1), r'[`"\[\]]', ""))
@@ -110,7 +113,7 @@ def _raw_rows(dump: DataFrame, dialect: str) -> DataFrame:
     rows = dump.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
                        F.explode_outer("_tuples").alias("_t")).filter("_broken or _t is not null")
     body = F.substring("_t", F.lit(2), F.length("_t") - 2)
-    nested = body.rlike(rf"(?s)^(?:[^()']++|{quoted})*+\(")
+    nested = F.contains(body, F.lit("(")) & body.rlike(rf"(?s)^(?:[^()']++|{quoted})*+\(")
     raw = F.when(nested, parts(body, quoted)).otherwise(F.regexp_extract_all(body, F.lit(f"(?s){item}"), F.lit(1)))
     return rows.select(FILE, "_split", "_tick", "_broken", "_full_table", "_table", "_names",
                        raw.alias("_raw"))
