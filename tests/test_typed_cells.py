@@ -146,3 +146,10 @@ def test_words_of_a_dump(spark, tmp_path):
     scan = scan_insert_dump(spark, path, "t")
     got = [[k and (k, v) for k, v in zip(r[KINDS], (r.a, r.b, r.c), strict=True)] for r in scan.rows.orderBy(ORDINAL).collect()]
     assert got == want
+
+
+def test_statements_name_columns_in_any_order(spark, tmp_path):
+    path = put(tmp_path, "INSERT INTO t (a, b, c) VALUES (1, 2, 3);\nINSERT INTO t (C, a) VALUES (6, 4);\nINSERT INTO t (d) VALUES (7);\n")
+    rows = scan_insert_dump(spark, path, "t").rows.orderBy(ORDINAL).collect()
+    assert [(r.a, r.b, r.c, r[KINDS]) for r in rows] == [
+        ("1", "2", "3", ["int"] * 3), ("4", None, "6", ["int", None, "int"]), (None, None, None, [None] * 3)]
