@@ -213,6 +213,18 @@ def test_pairs_at_the_threshold_among_texts_with_a_passage(spark, monkeypatch, l
     assert all(found[k][0] == want[k][0] for k in want) and got.count() == len(rows)
 
 
+def test_links_of_a_large_group_are_as_many_as_its_texts(spark):
+    """Every pair of a group may be linked; no row is made for each pair, neither of what is alike nor of what holds."""
+    rows = [(k, " ".join([f"p{i}" for i in range(200)] + [f"t{k}_{i}" for i in range(9 if k % 2 else 30)]), None, None, 0) for k in range(90)]
+    source = frame(spark, rows, False).select("doc_id", "text")
+    lists = spark.createDataFrame([(a, [b for b in range(90) if b > a]) for a in range(89)], "a long, bs array<long>")
+    got = near_duplicates._confirm(lists, source, 5, 75, 200.0).collect()
+    assert len(got) < 2 * 90 and all(groups_plainly([rows[x.a], rows[x.b]])[x.b][1] == x.a for x in got)
+    links = spark.createDataFrame(got)
+    want = {k: v[1] for k, v in groups_plainly(rows).items()}
+    assert {r.id: r.root for r in near_duplicates.components(links).collect()}.items() <= want.items() and len(set(want.values())) == 1
+
+
 def vocabulary():
     return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 
