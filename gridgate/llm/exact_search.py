@@ -5,8 +5,11 @@ distinct vectors; equal vectors share one entry that keeps their k + 1 smallest
 block holds a cover tree; the queries of a block form trees of their own. Two rounds:
 
 1. Query trees meet the block that they come from, which gives each query a k-th score.
-2. They then meet each block of a cell whose bound <c, c'> + |c| r' + |c'| r + r r' reaches the worst k-th score of their
-   queries. Cell bounds are few (at most `CELLS`) and broadcast; blocks and node pairs inside are pruned by the same bound.
+2. They then meet each other block of a cell whose bound <c, c'> + |c| r' + |c'| r + r r' reaches the worst k-th score of their
+   queries. Cell bounds are few (at most `CELLS`) and broadcast; blocks and node pairs inside are pruned by the same bound. A block
+   goes to a task once for the query trees that meet it there, and only what reaches a query's k-th score comes back.
+
+Leaves are wide, as one product of two of them costs less than to walk and bound many small pairs.
 
 Scores are whole numbers, exact in doubles or, for long vectors, in 64-bit integers; bounds carry a margin for rounding.
 
@@ -29,8 +32,10 @@ from gridgate.llm.common import ready, staged
 
 CELLS = 256
 BLOCK = 4096
-LEAF = 48
+LEAF = 512
 QUERY_BLOCK = 256
+#: Query trees that meet a block in the same task, about.
+MEETINGS = 256
 
 
 class CoverTree:
@@ -49,7 +54,8 @@ class CoverTree:
         self.norms = np.linalg.norm(self.centres, axis=1) if len(points) else np.zeros(0)
 
     def packed(self) -> tuple:
-        return self.points.astype(np.int64), self.centres, self.radii, self.norms, self.ranges, self.children
+        whole = self.points.astype(np.int64)
+        return whole.astype(np.result_type(np.min_scalar_type(-1), *map(np.min_scalar_type, (whole.min(initial=0), whole.max(initial=0))))), self.centres, self.radii, self.norms, self.ranges, self.children
 
     @classmethod
     def of(cls, packed: tuple) -> CoverTree:
@@ -111,26 +117,31 @@ class Best:
         self.scores[rows], self.ids[rows] = np.take_along_axis(everything, order, 1), np.take_along_axis(names, order, 1)
 
 
-def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best) -> None:
-    """Offer every pair that may count. `ids` has a row of ids per data point of the tree; `best` is by tree order of queries."""
+def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best, floor: np.ndarray | None = None) -> None:
+    """Offer every pair that may count. `ids` has a row of ids per data point of the tree; `best` is by tree order of queries, and so is
+    `floor`, scores that a pair has to reach."""
     if not len(queries.points) or not len(data.points):
         return
+    floor = np.full(len(queries.points), -np.inf) if floor is None else floor
+    largest = np.sqrt((queries.points ** 2).sum(1).max() * (data.points ** 2).sum(1).max())
     stack = [(0, 0)]
     while stack:
         q, d = stack.pop()
         low, high = queries.ranges[q]
         reach = _bound(queries.centres[q], queries.norms[q], queries.radii[q], data.centres[d], data.norms[d], data.radii[d])
-        if reach < best.scores[low:high, -1].min():
+        least = np.maximum(best.scores[low:high, -1], floor[low:high])
+        if reach < least.min():
             continue
         q_children, d_children = queries.children[q], data.children[d]
         if not q_children and not d_children:
             a, b = data.ranges[d]
-            scores = _scores(queries.points[low:high], data.points[a:b])
-            useful = scores >= best.scores[low:high, -1:]
-            rows, points = useful.any(1), np.flatnonzero(useful.any(0))
+            scores = _scores(queries.points[low:high], data.points[a:b], largest if largest < 2.0 ** 52 else None)
+            useful = scores >= least[:, None]
+            rows, points = np.flatnonzero(useful.any(1)), np.flatnonzero(useful.any(0))
             if points.size:
                 point, copy = np.nonzero(ids[a + points] != np.iinfo(np.int64).max)
-                best.offer(low + np.flatnonzero(rows), scores[rows][:, points[point]], ids[a + points[point], copy])
+                worth = np.where(useful[rows][:, points], scores[rows][:, points], -np.inf)
+                best.offer(low + rows, worth[:, point], ids[a + points[point], copy])
         elif d_children and (not q_children or data.radii[d] >= queries.radii[q]):
             near = data.centres[d_children] @ queries.centres[q]
             stack += [(q, d_children[k]) for k in np.argsort(near).tolist()]  # the most promising is taken first
@@ -138,12 +149,16 @@ def dual_tree(queries: CoverTree, data: CoverTree, ids: np.ndarray, best: Best)
             stack += [(c, d) for c in q_children]
 
 
-def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products: in doubles where no sum can leave their whole numbers, else in 64-bit integers."""
-    largest = np.sqrt((a ** 2).sum(1).max() * (b ** 2).sum(1).max())
+def _scores(a: np.ndarray, b: np.ndarray, largest: float | None = None) -> np.ndarray:
+    """Exact inner products: in doubles where no sum can leave their whole numbers, else in 64-bit integers. `largest`: no product is larger."""
+    largest = np.sqrt((a ** 2).sum(1).max() * (b ** 2).sum(1).max()) if largest is None else largest
     if largest < 2.0 ** 52:
         return a @ b.T
     if largest >= 9.2e18 or max(np.abs(a).max(), np.abs(b).max()) >= 2.0 ** 53:
+        if len(a) > 32:  # long vectors may be among few only
+            return np.vstack([_scores(x, b) for x in np.array_split(a, 2)])
+        if len(b) > 32:
+            return np.hstack([_scores(a, x) for x in np.array_split(b, 2)])
         raise ValueError("vectors too long: a score would not fit 64 bits")
     return (a.astype(np.int64) @ b.astype(np.int64).T).astype(np.longdouble)
 
@@ -167,13 +182,12 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) ->
 def _to_cells(pivots: np.ndarray):
     def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.asarray(x, np.int64) for x in batch.column("v").to_pylist()]
-            if not rows:
+            n, v = batch.num_rows, batch.column("v")
+            if not n:
                 continue
-            sizes = {len(x) for x in rows}
-            cell, away = np.zeros(len(rows), np.int32), np.full(len(rows), np.inf)
-            if sizes == {pivots.shape[1]}:
-                x = np.stack(rows).astype(np.float64)
+            cell, away = np.zeros(n, np.int32), np.full(n, np.inf)
+            if (v.value_lengths().to_numpy() == pivots.shape[1]).all():
+                x = v.flatten().to_numpy().reshape(n, -1).astype(np.float64)
                 cell = ((x * x).sum(1)[:, None] - 2 * x @ pivots.T + (pivots * pivots).sum(1)).argmin(1).astype(np.int32)
                 away = np.sqrt(((x - pivots[cell]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cell), batch.column("v"), pa.array(away)], ["vec_id", "cell", "v", "away"])
@@ -220,7 +234,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _visits(cells: dict[int, tuple[np.ndarray, np.ndarray]]):
-    """The cells that a query tree has to visit: the ball around their pivot has a bound that reaches its worst k-th score."""
+    """The cells that a query tree has to visit: the ball around their pivot has a bound that reaches its worst k-th score. What goes
+    there is the tree, its ids and k-th scores, but not its lists."""
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = sorted(cells)
         if not names:
@@ -232,20 +247,41 @@ def _visits(cells: dict[int, tuple[np.ndarray, np.ndarray]]):
                 queries, best = _loaded(row["queries"])
                 reach = _bound(centre, norm, radius, queries.centres[0], queries.norms[0], queries.radii[0])
                 go = [names[k] for k in np.flatnonzero(reach >= best.scores[:, -1].min())]
+                packed = pickle.dumps((queries.packed(), (best.query_ids, best.k, best.scores[:, -1])))
                 yield pa.RecordBatch.from_pydict({"cell": pa.array(go, pa.int32()), "node": pa.array([row["node"]] * len(go), pa.string()),
-                                                  "queries": pa.array([row["queries"]] * len(go), pa.binary())})
+                                                  "packed": pa.array([packed] * len(go), pa.binary())})
 
     return visits
 
 
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a block, its tree (without a node) before the query trees that meet it, to the pairs that reach a query's k-th score."""
+    at = data = None
+    for batch in batches:
+        for row in batch.to_pylist():
+            here = row["cell"], row["block"]
+            if row["node"] is None:
+                tree, ids = pickle.loads(row["packed"])
+                at, data = here, CoverTree.of(tree)
+                continue
+            if at != here or row["node"].startswith(f"{here[0]}/{here[1]}/"):  # no tree, or where the queries come from
+                continue
+            tree, (names, k, floor) = pickle.loads(row["packed"])
+            best = Best(names, k)
+            dual_tree(CoverTree.of(tree), data, ids, best, floor)
+            yield _pairs(best)
+
+
+def _pairs(best: Best) -> pa.RecordBatch:
+    real = np.isfinite(best.scores)
+    return pa.RecordBatch.from_pydict({"query_id": pa.array(np.repeat(best.query_ids, real.sum(1))), "vec_id": pa.array(best.ids[real]),
+                                       "score": pa.array(best.scores[real].astype(np.int64))})
+
+
 def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            _, best = _loaded(row["queries"])
-            real = np.isfinite(best.scores)
-            yield pa.RecordBatch.from_pydict({
-                "query_id": pa.array(np.repeat(best.query_ids, real.sum(1))), "vec_id": pa.array(best.ids[real]),
-                "score": pa.array(best.scores[real].astype(np.int64))})
+            yield _pairs(_loaded(row["queries"])[1])
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -279,9 +315,16 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     nodes = queries.groupBy("cell", "block", "part").applyInPandas(_query_trees(k), "cell int, block int, node string, queries binary")
     met = staged(nodes.join(trees.select("cell", "block", "tree"), ["cell", "block"]).mapInArrow(_meet, "cell int, node string, queries binary"), "queries")
     home = met.select("cell", "node", "queries")
-    ahead = home.mapInArrow(_visits(covers), "cell int, node string, queries binary")
-    found = ahead.join(trees.select("cell", "block", "tree"), "cell").mapInArrow(_meet, "cell int, node string, queries binary")
-    rows = found.unionByName(home).mapInArrow(_results, "query_id long, vec_id long, score long").distinct()
+    salts = 1 + home.count() // MEETINGS
+    ahead = home.mapInArrow(_visits(covers), "cell int, node string, packed binary").join(F.broadcast(sizes), "cell")
+    ahead = ahead.select("cell", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / block).cast("int") - 1)).alias("block"),
+                         F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int").alias("salt"), "node", "packed")
+    held = trees.select("cell", "block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(None).cast("string").alias("node"),
+                        F.col("tree").alias("packed"))
+    keys = ["cell", "block", "salt"]
+    found = ahead.unionByName(held).repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_first("node"))
+    pairs = "query_id long, vec_id long, score long"
+    rows = found.mapInArrow(_walk, pairs).unionByName(home.mapInArrow(_results, pairs)).distinct()
     rows = rows.groupBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(8)).alias("slice")).agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id"))), 1, k).alias("best"))
     rows = rows.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))

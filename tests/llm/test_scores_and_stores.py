@@ -26,6 +26,20 @@ def test_exact_top_k(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+
+def test_a_walk_brings_back_what_reaches_the_floor_alone():
+    """Far blocks give a query nothing it does not need, and equal scores at the floor are kept for the tie by id."""
+    r = np.random.default_rng(4)
+    queries, data = r.integers(-60, 60, (40, 8)), r.integers(-60, 60, (900, 8))
+    q, d = exact_search.CoverTree(queries), exact_search.CoverTree(data, 48)
+    scores = queries[q.order] @ data[d.order].T
+    floor = np.sort(scores, 1)[:, -3].astype(float)
+    best = exact_search.Best(np.arange(40) + 10_000, 20)
+    exact_search.dual_tree(exact_search.CoverTree.of(q.packed()), exact_search.CoverTree.of(d.packed()), d.order[:, None], best, floor)
+    got = {(k, int(i)) for k in range(40) for i, x in zip(best.ids[k], best.scores[k]) if np.isfinite(x)}
+    assert got == {(k, int(d.order[j])) for k, j in zip(*np.nonzero(scores >= floor[:, None]))}
+
+
 def test_few_vectors_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = exact_search.top_k(few, F.col("vec_id") % 20 == 0).collect()
