@@ -101,6 +101,31 @@ def test_repeats_of_rows_given_twice(spark, blocks_of_copies):
     assert len(copies) > 5 and got == sorted((r[0], *want[r[0]]) for r in rows + copies)
 
 
+def shuffled(plan):
+    """Bytes that the exchanges of a plan that has run wrote; one that another reuses counts once."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    if kind == "ReusedExchangeExec":
+        return 0
+    own = plan.metrics().apply("shuffleBytesWritten").value() if kind == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return own + sum(shuffled(children.apply(k)) for k in range(children.size()))
+
+
+def test_repeats_move_less_than_the_texts_twice(spark):
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(4000)]
+    passages = [" ".join(r.choices(words, k=60)) for _ in range(300)]
+    rows = [(k, " ".join(r.choice(passages) if r.random() < 0.3 else " ".join(r.choices(words, k=60)) for _ in range(r.randint(1, 8))), None, None, 0)
+            for k in range(1500)]
+    got = repeats.remove_repeats(frame(spark, rows, extra=False), with_kept=False)
+    assert {t.doc_id: tuple(t)[1:5] for t in got.collect()} == removed_plainly(rows)
+    assert shuffled(got._jdf.queryExecution().executedPlan()) < 2 * sum(len(t[1]) for t in rows)
+
+
 def test_repeat_groups_hold_all_occurrences(spark):
     passage = "the quick brown fox jumps over the lazy dog and runs away from it all the way home"
     rows = [(k, f"{k * 7919} {passage} {k * 104729}", "en", "a", 0) for k in range(5)]
