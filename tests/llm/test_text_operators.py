@@ -126,6 +126,34 @@ def test_repeats_move_less_than_the_texts_twice(spark):
     assert shuffled(got._jdf.queryExecution().executedPlan()) < 2 * sum(len(t[1]) for t in rows)
 
 
+def test_repeats_leave_documents_without_an_id(spark):
+    text = "a passage of more than fifty bytes that several of these documents hold as a whole"
+    rows = [(None, text, None, None, 0), (7, text + " and more", None, None, 0), (None, "short", None, None, 0), (9, text, None, None, 0), (None, None, None, None, 0)]
+    got = repeats.remove_repeats(frame(spark, rows, extra=False), with_kept=True).collect()
+    left = sorted((r.doc_id or 0, bytes(r.kept).decode()) for r in got)
+    assert left == [(0, ""), (0, text), (0, "short"), (7, text + " and more"), (9, "")]
+    assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in got)
+
+
+@pytest.mark.parametrize("values", [[], [5], [7, 7, 7], [3, 900, 1], [1 << 40, (1 << 40) + 70_000, 0], [-(1 << 63), (1 << 63) - 1, 0]])
+def test_packed_numbers(values):
+    assert repeats._as_ints(repeats._ints(np.array(values, np.int64))).tolist() == values
+    unsigned = np.unique(np.array(values, np.int64).astype(np.uint32))
+    assert repeats._of_halves(*repeats._halves(unsigned)).tolist() == unsigned.tolist()
+
+
+def test_a_changed_answer_stops_the_run():
+    """An answer about other anchors than a part has now must not be read as one about these."""
+    r = random.Random(2)
+    texts = pa.table({"doc_id": pa.array([1, 2]), "text": pa.array(["".join(r.choice("abcdefgh ") for _ in range(400)) for _ in range(2)])})
+    dealt = pa.Table.from_batches(repeats._deal(1)(iter(texts.to_batches())))
+    asked = next(repeats._list_anchors(50, 1)(iter(dealt.to_batches())))
+    answer = pa.Table.from_batches(repeats._wanted(iter([asked])))
+    assert repeats._contents(50, 1)(dealt, answer).num_rows == 1
+    with pytest.raises(RuntimeError, match="differ"):
+        repeats._contents(50, 1)(dealt, answer.set_column(2, "total", pa.array([1])))
+
+
 def test_repeat_groups_hold_all_occurrences(spark):
     passage = "the quick brown fox jumps over the lazy dog and runs away from it all the way home"
     rows = [(k, f"{k * 7919} {passage} {k * 104729}", "en", "a", 0) for k in range(5)]
